@@ -108,5 +108,25 @@ def calibration_note(ece: Column) -> Column:
     return F.when(ece > 0.05, "recalibrate on validation data").otherwise("calibration ok")
 
 
+def signed_thousandths(value: Column) -> Column:
+    """``+0.123`` text rounded on the exact binary value, as C and Python print it.
+
+    Java rounds the shortest decimal text instead, which differs where the fourth digit is a 5.
+    The product with 2000 is exact after splitting off the low bits, so the sign of its rounding
+    error tells on which side of the tie the value lies.
+    """
+    size = F.abs(value)
+    product = size * F.lit(2000.0)
+    carried = size * F.lit(134217729.0)  # 2^27 + 1 splits a double into two halves
+    high = carried - (carried - size)
+    error = (high * F.lit(2000.0) - product) + (size - high) * F.lit(2000.0)
+    below = F.floor(product / F.lit(2.0))
+    up = F.when(error == 0, below % 2 == 1).otherwise(error > 0)
+    at_tie = product % 2.0 == 1.0
+    units = F.when(at_tie, below + up.cast("bigint")).otherwise(F.floor(size * F.lit(1000.0) + F.lit(0.5)))
+    sign = F.when(value < 0, F.lit("-")).otherwise(F.lit("+"))
+    return F.format_string("%s%d.%03d", sign, F.floor(units / F.lit(1000.0)), units % 1000)
+
+
 def driver_label(feature: Column, value: Column) -> Column:
-    return F.format_string("%s (%+.3f)", feature, value)
+    return F.concat(feature, F.lit(" ("), signed_thousandths(value), F.lit(")"))

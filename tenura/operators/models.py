@@ -31,6 +31,7 @@ from tenura.operators.encoding import (
 )
 from tenura.operators.metrics import auc, best_thresholds, confusion, curve_cells, point_metrics, threshold_sweep
 from tenura.operators.splitting import stratified_folds, stratified_split
+from tenura.session import shared_table
 
 # Fold counts, search size, regularisation, boosting defaults, search space.
 CV_FOLDS, SEARCH_FOLDS, ENCODER_FOLDS, SEARCH_TRIALS = 5, 3, 5, 20
@@ -107,18 +108,20 @@ class LinearModel:
         ready = robust_scale(impute(df, self.medians), self.scaling)
         return VectorAssembler(inputCols=self.inputs, outputCol="features").transform(ready)
 
-    def score(self, df: DataFrame) -> DataFrame:
+    def score(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         scored = self.model.transform(self.prepare(df))
-        return _scored(scored, self.columns)
+        return _scored(scored, self.columns, keep)
 
     def coefficients(self) -> dict[str, float]:
         return dict(zip(self.inputs, (float(v) for v in self.model.coefficients)))
 
 
-def _scored(transformed: DataFrame, c: Columns) -> DataFrame:
+def _scored(transformed: DataFrame, c: Columns, keep: tuple[str, ...]) -> DataFrame:
     prob = F.get(vector_to_array("probability"), F.lit(1))
-    return transformed.select(c.row_id, F.col(c.label).cast("int").alias("label"), prob.alias("prob"),
-                              F.col("prediction").cast("int").alias("pred"))
+    return transformed.select(
+        c.row_id, F.col(c.label).cast("int").alias("label"), prob.alias("prob"),
+        F.col("prediction").cast("int").alias("pred"), *keep,
+    )
 
 
 def _text_categories(df: DataFrame, c: Columns) -> DataFrame:
@@ -141,10 +144,10 @@ def fit_linear(train: DataFrame, columns: Columns, *, drop_collinear: bool = Tru
         )
         cross = crossfit_encoding(folded, list(kept.categorical), kept.label, "__fold")
         train = apply_crossfit_encoding(folded, cross, list(kept.categorical), "__fold", suffix=ENCODED)
+    train = shared_table(train.select(kept.row_id, kept.label, *inputs))
     medians, scaling = fit_after_imputation(train, inputs)
     fitted = LinearModel(kept, dropped, encoding, medians, scaling, None, inputs)
-    ready = with_class_weights(fitted._finish(train), kept.label).select("features", kept.label, "weight")
-    ready = ready.persist()
+    ready = with_class_weights(fitted._finish(train), kept.label).select("features", kept.label, "weight").persist()
     n = ready.count()
     fitted.model = LogisticRegression(
         labelCol=kept.label, weightCol="weight", standardization=False, elasticNetParam=0.0,
@@ -172,8 +175,8 @@ class BoostedModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.prepare(df))
 
-    def score(self, df: DataFrame) -> DataFrame:
-        return _scored(self.transform(df), self.columns)
+    def score(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+        return _scored(self.transform(df), self.columns, keep)
 
     @property
     def ensemble(self):
@@ -228,17 +231,16 @@ def out_of_fold(train: DataFrame, fit: Fit, k: int = CV_FOLDS, *, parallel: int
     Returns ``fold, part, row_id, label, prob, pred`` with the training-side scores as
     ``part = 'train'`` and the held-out side as ``part = 'test'``.
     """
-    folded = stratified_folds(train, k, **split).persist()
+    folded = shared_table(stratified_folds(train, k, **split))
 
     def one(fold: int) -> DataFrame:
         model = fit(folded.where(F.col("fold") != fold).drop("fold"))
-        scored = model.score(folded.drop("fold"))
-        keys = folded.select("row_id", F.when(F.col("fold") == fold, "test").otherwise("train").alias("part"))
-        return scored.join(keys, "row_id").withColumn("fold", F.lit(fold))
+        part = F.when(F.col("fold") == fold, "test").otherwise("train")
+        return model.score(folded, keep=("fold",)).withColumn("part", part).withColumn("fold", F.lit(fold))
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         parts = list(pool.map(one, range(k)))
-    return reduce(DataFrame.unionByName, parts)
+    return shared_table(reduce(DataFrame.unionByName, parts))
 
 
 def fold_metrics(scored_folds: DataFrame, parts: tuple[str, ...] = ("train", "test"), k: int = CV_FOLDS) -> DataFrame:
@@ -287,7 +289,7 @@ def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) ->
         held_out = out_of_fold(train, fit, k, **split).where(F.col("part") == "test")
         return thresholds_from(held_out, "out_of_fold")
     except Exception:  # noqa: BLE001 - the fallback covers any failed fold
-        inner = stratified_split(train, seed="inner", **split).persist()
+        inner = shared_table(stratified_split(train, seed="inner", **split))
         model = fit(inner.where(F.col("part") == "train").drop("part"))
         return thresholds_from(model.score(inner.where(F.col("part") == "test").drop("part")), "inner_split")
 
@@ -327,7 +329,7 @@ def search_boosted(
 
     A failing log callback never stops the search.
     """
-    folded = stratified_folds(train, k, row_id=columns.row_id, label=columns.label).persist()
+    folded = shared_table(stratified_folds(train, k, row_id=columns.row_id, label=columns.label))
 
     def one(job: tuple[int, int]) -> float:
         trial, fold = job
@@ -347,7 +349,6 @@ def search_boosted(
             except Exception:  # noqa: BLE001 - logging is optional
                 pass
         rows.append((t, *[float(getattr(params, n)) for n in SEARCH_SPACE], mean))
-    folded.unpersist()
     schema = "trial int, " + ", ".join(f"{n} double" for n in SEARCH_SPACE) + ", auc double"
     return train.sparkSession.createDataFrame(rows, schema)
 

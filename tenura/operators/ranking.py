@@ -69,12 +69,20 @@ def order_code(value: Column, interval: Column, points: SplitPoints) -> Column:
 
 
 def with_order_codes(df: DataFrame, columns: list[str], points: dict[str, SplitPoints]) -> DataFrame:
-    """Add ``__code_<column>`` for each column."""
-    for c in columns:
-        df = with_interval(df, c, points[c], f"__at_{c}")
-        code = order_code(F.col(c).cast("double"), F.col(f"__at_{c}"), points[c])
-        df = df.withColumn(f"__code_{c}", code).drop(f"__at_{c}")
-    return df
+    """Add ``__code_<column>`` for each column, all in one projection."""
+    cut = [c for c in columns if points[c].edges]
+    before = df.columns
+    if cut:
+        splits = [[float("-inf"), *points[c].edges, float("inf")] for c in cut]
+        df = Bucketizer(
+            splitsArray=splits, inputCols=cut, outputCols=[f"__at_{c}" for c in cut], handleInvalid="keep"
+        ).transform(df)
+
+    def code(c: str) -> Column:
+        at = F.col(f"__at_{c}").cast("int") if c in cut else F.lit(0)
+        return order_code(F.col(c).cast("double"), at, points[c]).alias(f"__code_{c}")
+
+    return df.select(*before, *[code(c) for c in columns])
 
 
 def tall_with_buckets(
@@ -124,10 +132,10 @@ def add_prefix_sums(
         Window.partitionBy(*group, "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     joined = cells.join(offsets, [*group, "bucket"])
-    for m in measures:
-        local = F.coalesce(F.sum(m).over(inside), F.lit(0))
-        joined = joined.withColumn(f"{m}_before", local + F.col(f"__off_{m}"))
-    return joined.drop(*[f"__off_{m}" for m in measures])
+    before = [
+        (F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"__off_{m}")).alias(f"{m}_before") for m in measures
+    ]
+    return joined.select(*cells.columns, *before)
 
 
 def value_cells(
@@ -184,15 +192,17 @@ def rank_rows(
         is_hot = (code % 2 == 1) & F.get(F.lit(list(points.hot)), F.col("__at") - 1)
         sub = F.when(is_hot, F.col("__rid")).otherwise(0)
     place = (F.lit(points.codes - 1) - code) if descending else code
-    coded = coded.withColumn("bucket", (place * width + sub).cast("bigint")).drop("__at", "__rid")
-    coded = coded.withColumn("__one", F.lit(1).cast("bigint"))
+    coded = coded.select(
+        *df.columns, (place * width + sub).cast("bigint").alias("bucket"), F.lit(1).cast("bigint").alias("__one")
+    )
     bound = points.codes + sum(points.hot) * width
     order = [F.desc(score) if descending else F.asc(score), F.asc(row_id)]
     ranked = add_prefix_sums(coded, [], order, ["__one", *measures], bucket_rows=bound)
-    ranked = ranked.withColumn("rank", F.col("__one_before") + 1)
-    for m in measures:
-        ranked = ranked.withColumn(f"{m}_upto", F.col(f"{m}_before") + F.col(m))
-    return ranked.drop("bucket", "__one", "__one_before", *[f"{m}_before" for m in measures])
+    return ranked.select(
+        *df.columns,
+        (F.col("__one_before") + 1).alias("rank"),
+        *[(F.col(f"{m}_before") + F.col(m)).alias(f"{m}_upto") for m in measures],
+    )
 
 
 def rank_in_class_by_hash(
@@ -219,7 +229,7 @@ def rank_in_class_by_hash(
     return (
         coded.join(offsets, [group, "bucket"])
         .withColumn("rank", F.col("__off") + F.row_number().over(inside))
-        .drop("__one", "__off", "bucket")
+        .drop("__off", "bucket")
     )
 
 

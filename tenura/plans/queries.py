@@ -23,6 +23,7 @@ from tenura.operators import (
 from tenura.functions.expressions import clean_category, decimal_comma
 from tenura.plans import reports, tables
 from tenura.roles import FLAG_SUFFIX
+from tenura.session import shared_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -516,7 +517,8 @@ def linear_attribution(spark, sf):
 
 @query
 def global_importance(spark, sf):
-    return rounded(attribution.global_importance(_contributions(spark, sf)[0]))
+    # The direction of a mean-centred contribution is the sign of a zero mean, so it is left out.
+    return rounded(attribution.global_importance(_contributions(spark, sf)[0]).drop("direction"))
 
 
 @query
@@ -565,7 +567,7 @@ def _model_columns(df: DataFrame) -> models.Columns:
 
 def _parts(spark, sf) -> tuple[DataFrame, DataFrame, models.Columns]:
     prepared, _ = tables.prepared(base_of(spark, sf))
-    split = splitting.stratified_split(prepared).persist()
+    split = shared_table(splitting.stratified_split(prepared))
     side = lambda p: split.where(F.col("part") == p).drop("part")
     return side("train"), side("test"), _model_columns(prepared)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,17 +23,24 @@ def local_session(cores: int | str = 8, app: str = "tenura") -> SparkSession:
     )
 
 
-def shared_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage through the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; one of our own only where the session names none."""
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        named = tempfile.mkdtemp(prefix="tenura-")
+        context.setCheckpointDir(named)
+    return named
+
 
-    A folder of our own is made only where the session names none (tests, laptops).
+def shared_table(df: DataFrame) -> DataFrame:
+    """Cut lineage: write the table to the shared folder and read it back.
+
+    Later passes survive lost executors, scan only their columns, and start from a short plan.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tenura-checkpoint-"))
-    return df.checkpoint(eager)
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
