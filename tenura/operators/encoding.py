@@ -6,7 +6,7 @@ Each ``fit_*`` result is a small table computed by Spark from the training rows
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenura.operators.profiling import tall_text
 from tenura.operators.ranking import quantiles_from_cells, value_cells
@@ -78,13 +78,14 @@ def crossfit_encoding(train: DataFrame, columns: list[str], label: str, fold: st
         .groupBy("feature", "category", "fold")
         .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("__y").alias("pos"))
     )
-    by_category = counts.groupBy("feature", "category").agg(F.sum("n").alias("cat_n"), F.sum("pos").alias("cat_pos"))
+    # A window keeps the NULL category, and holds one row per fold.
+    same = Window.partitionBy("feature", "category")
+    with_category = counts.withColumns({"cat_n": F.sum("n").over(same), "cat_pos": F.sum("pos").over(same)})
     by_fold = counts.groupBy("feature", "fold").agg(F.sum("n").alias("fold_n"), F.sum("pos").alias("fold_pos"))
     whole = counts.groupBy("feature").agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
     # (columns x folds) and (columns) rows.
     joined = (
-        counts.join(by_category, ["feature", "category"])
-        .join(F.broadcast(by_fold), ["feature", "fold"])
+        with_category.join(F.broadcast(by_fold), ["feature", "fold"])
         .join(F.broadcast(whole), "feature")
     )
     rest_n, rest_pos = F.col("cat_n") - F.col("n"), F.col("cat_pos") - F.col("pos")

@@ -108,6 +108,10 @@ class LinearModel:
         ready = robust_scale(impute(df, self.medians), self.scaling)
         return VectorAssembler(inputCols=self.inputs, outputCol="features").transform(ready)
 
+    def transformed(self, df: DataFrame) -> DataFrame:
+        """Row id and scaled model inputs as plain columns, for attribution."""
+        return self.prepare(df).select(self.columns.row_id, *self.inputs)
+
     def score(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         scored = self.model.transform(self.prepare(df))
         return _scored(scored, self.columns, keep)
