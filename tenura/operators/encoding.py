@@ -125,10 +125,29 @@ def fit_scaling(train: DataFrame, columns: list[str], probabilities=(0.25, 0.5,
 def fit_after_imputation(train: DataFrame, columns: list[str]) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
     """Medians for imputation, then centre and spread of the imputed columns.
 
-    The quartiles are those of the columns after imputation, so they are taken again.
+    The imputed rows all equal the median, so in the sorted column they stand right behind the
+    values up to it: the quartiles after imputation come from the same cells, with the later ones
+    moved up by the number of missing rows.
     """
-    medians = {c: q.get(0.5, 0.0) for c, q in fit_scaling(train, columns, [0.5]).items()}
-    quartiles = fit_scaling(impute(train, medians), columns)
+    rows = train.count()
+    cells = value_cells(train, columns).select("series", "value", "n", "n_before", "n_total").persist()
+    medians = dict.fromkeys(columns, 0.0) | {
+        r["series"]: r["quantile"] for r in quantiles_from_cells(cells, ["series"], [0.5]).collect()
+    }
+    pairs = [F.lit(x) for c, m in medians.items() for x in (c, float(m))]
+    median = F.try_element_at(F.create_map(*pairs), F.col("series"))
+    moved = F.when(F.col("value") > median, F.lit(rows) - F.col("n_total")).otherwise(0)
+    known = cells.select("series", "value", "n", (F.col("n_before") + moved).alias("n_before"), F.lit(rows).alias("n_total"))
+    filled = (
+        cells.groupBy("series", "n_total")
+        .agg(F.coalesce(F.sum(F.when(F.col("value") <= median, F.col("n"))), F.lit(0)).alias("n_before"))
+        .select("series", median.alias("value"), (F.lit(rows) - F.col("n_total")).alias("n"), "n_before", F.lit(rows).alias("n_total"))
+        .where(F.col("n") > 0)
+    )
+    quartiles: dict[str, dict[float, float]] = {c: {} for c in columns}
+    for r in quantiles_from_cells(known.unionByName(filled), ["series"], [0.25, 0.5, 0.75]).collect():
+        quartiles[r["series"]][r["q"]] = r["quantile"]
+    cells.unpersist()
     return medians, {c: centre_and_spread(q) for c, q in quartiles.items()}
 
 

@@ -69,7 +69,7 @@ def segment_median(df: DataFrame, segment: str, column: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     cells = add_prefix_sums(cells, [segment], [F.asc("value")], ["n"])
-    return quantiles_from_cells(cells, [segment], [0.5], few_groups=False).select(
+    return quantiles_from_cells(cells, [segment], [0.5]).select(
         segment, F.col("quantile").alias("segment_median")
     )
 

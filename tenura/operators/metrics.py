@@ -26,12 +26,9 @@ def f1_of(precision: Column, recall: Column) -> Column:
 
 def curve_cells(df: DataFrame, probs: list[str], label: str) -> DataFrame:
     """Per series and distinct score, best first: counts, counts before, and class totals."""
-    cells = value_cells(df, probs, label, descending=True)
-    totals = cells.groupBy("series").agg(
-        F.sum("pos").alias("all_pos"), (F.sum("n") - F.sum("pos")).alias("all_neg")
+    return value_cells(df, probs, label, descending=True).withColumns(
+        {"all_pos": F.col("pos_total"), "all_neg": F.col("n_total") - F.col("pos_total")}
     )
-    # One row per probability column.
-    return cells.join(F.broadcast(totals), "series")
 
 
 def _with_counts(cells: DataFrame) -> DataFrame:

@@ -116,15 +116,20 @@ def add_prefix_sums(
     descending_buckets: bool = False,
     bucket_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``<measure>_before``: the sum over all rows that come earlier in the group's order.
+    """Add ``<measure>_before``, the sum over all rows earlier in the group's order, and
+    ``<measure>_total``, the sum over the whole group.
 
-    ``cells`` carries ``bucket``; ``order`` must agree with the bucket order.
+    ``cells`` carries ``bucket``; ``order`` must agree with the bucket order. Both come from the
+    bucket sums, so no further pass over the rows is needed for group totals.
     """
     bucket_order = F.desc("bucket") if descending_buckets else F.asc("bucket")
     totals = cells.groupBy(*group, "bucket").agg(*[F.sum(m).alias(m) for m in measures])
-    earlier = Window.partitionBy(*group).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group, "bucket", *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"__off_{m}") for m in measures]
+        *group, "bucket",
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"__off_{m}") for m in measures],
+        *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
     )
     if bucket_rows is not None and bucket_rows <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
@@ -135,7 +140,7 @@ def add_prefix_sums(
     before = [
         (F.coalesce(F.sum(m).over(inside), F.lit(0)) + F.col(f"__off_{m}")).alias(f"{m}_before") for m in measures
     ]
-    return joined.select(*cells.columns, *before)
+    return joined.select(*cells.columns, *before, *[f"{m}_total" for m in measures])
 
 
 def value_cells(
@@ -148,7 +153,8 @@ def value_cells(
 ) -> DataFrame:
     """One row per (series, distinct value) with counts and the counts that come before it.
 
-    Columns: ``series, value, n, pos, n_before, pos_before`` (``pos`` counts label 1). Equal
+    Columns: ``series, value, n, pos, n_before, pos_before, n_total, pos_total`` (``pos`` counts
+    label 1). Equal
     values are merged before any ordering, so ties and hot values cost one row.
     """
     work = df.select(*columns, (F.col(label).cast("bigint") if label else F.lit(0).cast("bigint")).alias("__y"))
@@ -171,7 +177,8 @@ def rank_rows(
     descending: bool = True,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Add the exact 1-based ``rank`` by score, ties by ``row_id``, and running ``<measure>_upto``.
+    """Add the exact 1-based ``rank`` by score, ties by ``row_id``, running ``<measure>_upto``, and
+    the totals ``n_rows`` and ``<measure>_total``.
 
     Rows with a NULL score are left out, as they have no place in the order.
     """
@@ -202,6 +209,8 @@ def rank_rows(
         *df.columns,
         (F.col("__one_before") + 1).alias("rank"),
         *[(F.col(f"{m}_before") + F.col(m)).alias(f"{m}_upto") for m in measures],
+        F.col("__one_total").alias("n_rows"),
+        *[f"{m}_total" for m in measures],
     )
 
 
@@ -247,21 +256,17 @@ def ranks_at(probabilities: list[float], rows: Column) -> Column:
     )
 
 
-def quantiles_from_cells(
-    cells: DataFrame, group: list[str], probabilities: list[float], *, few_groups: bool = True
-) -> DataFrame:
+def quantiles_from_cells(cells: DataFrame, group: list[str], probabilities: list[float]) -> DataFrame:
     """Exact linear-interpolated quantiles per group from cumulated value cells.
 
-    ``cells`` needs ``value, n, n_before``. No group is gathered: only the cells that hold a
-    wanted rank survive, at most two per quantile. ``few_groups`` says the groups are columns
-    of the schema, which bounds the list of wanted ranks well enough to broadcast it.
+    ``cells`` needs ``value, n, n_before, n_total``. No group is gathered: only the cells that hold
+    a wanted rank survive, at most two per quantile.
     """
-    sizes = cells.groupBy(*group).agg(F.sum("n").alias("__rows"))
-    wanted = sizes.select(*group, ranks_at(probabilities, F.col("__rows")).alias("__w"))
-    hits = cells.join(F.broadcast(wanted) if few_groups else wanted, group)
-    first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
-    hits = hits.select(
-        *group, "value", first.alias("first"), last.alias("last"), F.inline("__w")
+    hits = cells.select(
+        *group, "value",
+        F.col("n_before").alias("first"),
+        (F.col("n_before") + F.col("n") - 1).alias("last"),
+        F.inline(ranks_at(probabilities, F.col("n_total"))),
     ).where((F.col("first") <= F.col("lower") + 1) & (F.col("last") >= F.col("lower")))
     at_lower = (F.col("first") <= F.col("lower")) & (F.col("last") >= F.col("lower"))
     at_upper = (F.col("first") <= F.col("lower") + 1) & (F.col("last") >= F.col("lower") + 1)
@@ -274,10 +279,8 @@ def quantiles_from_cells(
 
 def by_class(cells: DataFrame) -> DataFrame:
     """Split cells counted over both classes into one set of cells per class."""
-    one = F.struct(F.lit(1).alias("label"), F.col("pos").alias("n"), F.col("pos_before").alias("n_before"))
-    zero = F.struct(
-        F.lit(0).alias("label"),
-        (F.col("n") - F.col("pos")).alias("n"),
-        (F.col("n_before") - F.col("pos_before")).alias("n_before"),
-    )
+    parts = ("n", "n_before", "n_total")
+    positives = ("pos", "pos_before", "pos_total")
+    one = F.struct(F.lit(1).alias("label"), *[F.col(y).alias(n) for n, y in zip(parts, positives)])
+    zero = F.struct(F.lit(0).alias("label"), *[(F.col(n) - F.col(y)).alias(n) for n, y in zip(parts, positives)])
     return cells.select("series", "value", F.inline(F.array(zero, one))).where(F.col("n") > 0)

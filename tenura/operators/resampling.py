@@ -304,11 +304,10 @@ def custom_metric(
 
 
 def _with_totals(cells: DataFrame) -> DataFrame:
-    totals = cells.groupBy("b", "series").agg(
-        F.sum("pos").alias("all_pos"), (F.sum("n") - F.sum("pos")).alias("all_neg"), F.sum("n").alias("all_n")
+    named = cells.withColumns(
+        {"all_pos": F.col("pos_total"), "all_neg": F.col("n_total") - F.col("pos_total"), "all_n": F.col("n_total")}
     )
-    # One row per (replicate, probability column).
-    return cells.join(F.broadcast(totals), ["b", "series"]).where((F.col("all_pos") > 0) & (F.col("all_neg") > 0))
+    return named.where((F.col("all_pos") > 0) & (F.col("all_neg") > 0))
 
 
 def _grid_between(low: Column, high: Column, scale: Column, steps: int) -> Column:

@@ -44,25 +44,16 @@ def lookup(key: Column, table: dict[str, str]) -> Column:
 
 
 def ranked_scores(df: DataFrame, prob: str = "prob", label: str = "label", row_id: str = "row_id") -> DataFrame:
-    """``row_id, prob, label, rank, label_upto``: riskiest first, ties by ``row_id``."""
+    """``row_id, prob, label, rank, label_upto, n_rows, label_total``: riskiest first, ties by ``row_id``."""
     narrow = df.select(
         F.col(row_id).alias("row_id"), F.col(prob).alias("prob"), F.col(label).cast("bigint").alias("label")
     )
     return rank_rows(narrow, "prob", "row_id", ["label"])
 
 
-def _totals(ranked: DataFrame) -> Column:
-    """Row and positive counts of the ranked table as a scalar subquery."""
-    return ranked.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("pos")).alias("t")
-    ).scalar()
-
-
 def segments(ranked: DataFrame, percents: tuple[int, ...] = SEGMENT_PERCENTS) -> DataFrame:
     """Size, positive rate and captured share of the top p percent, one conditional aggregate."""
-    rows = ranked.select("rank", "label", _totals(ranked).alias("t")).select(
-        "rank", "label", F.col("t.n").alias("n"), F.col("t.pos").alias("pos")
-    )
+    rows = ranked.select("rank", "label", F.col("n_rows").alias("n"), F.col("label_total").alias("pos"))
     size = {p: F.expr(f"n * {p} div 100") for p in percents}
     cut = rows.groupBy("n", "pos").agg(
         *[F.coalesce(F.sum(F.when(F.col("rank") <= size[p], F.col("label"))), F.lit(0)).alias(f"c{p}") for p in percents]
@@ -87,28 +78,32 @@ def top_lift(segment_table: DataFrame, percent: int = 20) -> DataFrame:
 
 def gain_curve(ranked: DataFrame, points: int = GAIN_POINTS) -> DataFrame:
     """About ``points`` evenly spaced points of the cumulative gain curve."""
-    with_totals = ranked.select("rank", "label_upto", _totals(ranked).alias("t")).select(
-        "rank", "label_upto", F.col("t.n").alias("n"), F.col("t.pos").alias("pos")
-    )
-    step = F.greatest(F.expr(f"n div {points}"), F.lit(1))
-    on_grid = with_totals.where(F.pmod(F.col("rank") - 1, step) == 0)
+    step = F.greatest(F.expr(f"n_rows div {points}"), F.lit(1))
+    on_grid = ranked.where(F.pmod(F.col("rank") - 1, step) == 0)
     return on_grid.select(
-        F.bround(F.col("rank") / F.col("n") * 100, 2).alias("customer_pct"),
-        F.bround(F.col("label_upto") / F.greatest(F.col("pos"), F.lit(1)) * 100, 2).alias("churners_captured_pct"),
+        F.bround(F.col("rank") / F.col("n_rows") * 100, 2).alias("customer_pct"),
+        F.bround(F.col("label_upto") / F.greatest(F.col("label_total"), F.lit(1)) * 100, 2).alias(
+            "churners_captured_pct"
+        ),
     )
 
 
 def campaign_reach(ranked: DataFrame, low: int = CONTACT_PERCENTS[0], high: int = CONTACT_PERCENTS[1]) -> DataFrame:
-    """Contacts, captures, precision and lift for every whole contact percentage."""
-    totals = ranked.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos"))
-    wanted = totals.select("n", "pos", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("contact_pct"))
-    wanted = wanted.withColumn("contacted", F.greatest(F.expr("n * contact_pct div 100"), F.lit(1)))
-    # At most a hundred rows, one per percentage.
-    hits = ranked.select("rank", F.col("label_upto").alias("captured")).join(
-        F.broadcast(wanted), F.col("rank") == F.col("contacted")
+    """Contacts, captures, precision and lift for every whole contact percentage.
+
+    The last contacted row of p percent has rank n*p div 100 (at least 1), so each row knows from
+    its rank which percentages end at it; almost all rows end none.
+    """
+    first = F.when(F.col("rank") == 1, F.lit(low)).otherwise(
+        F.greatest(F.expr("(rank * 100 + n_rows - 1) div n_rows"), F.lit(low))
     )
-    share = safe_div(F.col("captured"), F.col("pos")) * 100
-    return hits.select(
+    last = F.least(F.expr("((rank + 1) * 100 + n_rows - 1) div n_rows - 1"), F.lit(high))
+    ends = ranked.select(
+        F.col("rank").alias("contacted"), F.col("label_upto").alias("captured"), "label_total",
+        first.cast("int").alias("first"), last.cast("int").alias("last"),
+    ).where(F.col("first") <= F.col("last"))
+    share = safe_div(F.col("captured"), F.col("label_total")) * 100
+    return ends.withColumn("contact_pct", F.explode(F.sequence("first", "last"))).select(
         "contact_pct", "contacted", "captured",
         share.alias("capture_pct"),
         (F.col("captured") / F.col("contacted") * 100).alias("precision_pct"),

@@ -308,7 +308,7 @@ def _ranked(spark, sf):
 
 @query
 def risk_ranking(spark, sf):
-    return _ranked(spark, sf).drop("label")
+    return _ranked(spark, sf).select("row_id", "prob", "rank", "label_upto")
 
 
 @query
