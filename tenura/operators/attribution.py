@@ -52,6 +52,20 @@ def linear_attribution(
     return df.select(row_id, *features, means.alias("m")).select(row_id, F.inline(F.array(*parts)))
 
 
+def linear_scores(
+    df: DataFrame, coefficients: Mapping[str, float], intercept: float = 0.0, *, row_id: str = "row_id"
+) -> DataFrame:
+    """``row_id, prob`` of the centred linear model; a projection, so no row moves."""
+    means = df.agg(F.struct(*[F.avg(c).alias(c) for c in coefficients]).alias("m")).scalar()
+    terms = [
+        F.lit(float(w)) * F.coalesce(F.col(c) - F.col("m")[c], F.lit(0.0)) for c, w in coefficients.items()
+    ]
+    margin = sum(terms, F.lit(float(intercept)))
+    return df.select(row_id, *coefficients, means.alias("m")).select(
+        row_id, (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))).alias("prob")
+    )
+
+
 def global_importance(contributions: DataFrame, k: int | None = TOP_FEATURES) -> DataFrame:
     """Mean absolute contribution, mean contribution and direction per feature."""
     grouped = contributions.groupBy("feature").agg(

@@ -91,14 +91,16 @@ def category_rates(
     df: DataFrame, columns: list[str], label: str, *, min_rows: int = CATEGORY_MIN_ROWS
 ) -> DataFrame:
     """Target rate and count per category of every feature, NULL as ``MISSING``, above/below global."""
-    overall = df.agg(F.avg(label).alias("r")).scalar()
     grouped = (
         tall_text(df, columns, [label], missing="MISSING")
         .groupBy("feature", "category")
-        .agg(F.avg(label).alias("churn_rate"), F.count(F.lit(1)).alias("n"))
+        .agg(F.avg(label).alias("churn_rate"), F.count(F.lit(1)).alias("n"), F.sum(label).alias("__pos"))
     )
+    # Every feature counts every row once, so the ratio over all groups is the overall rate.
+    overall = grouped.agg((F.sum("__pos") / F.sum("n")).alias("r")).scalar()
     return (
         grouped.where(F.col("n") > min_rows)
+        .drop("__pos")
         .withColumn("global_rate", overall)
         .withColumn("side", rate_side(F.col("churn_rate"), F.col("global_rate")))
         .orderBy("feature", "churn_rate", "category")

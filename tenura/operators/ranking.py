@@ -12,6 +12,7 @@ split further by ``row_id``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -36,7 +37,7 @@ class SplitPoints:
 
     @classmethod
     def of(cls, quantiles: list[float]) -> "SplitPoints":
-        edges = sorted({q for q in quantiles if q == q})
+        edges = sorted({q for q in quantiles if math.isfinite(q)})
         return cls(tuple(edges), tuple(quantiles.count(e) > 1 for e in edges))
 
     @property
@@ -60,11 +61,16 @@ def with_interval(df: DataFrame, column: str, points: SplitPoints, output: str)
     return bucketizer.transform(df).withColumn(output, F.col(output).cast("int"))
 
 
+def double_array(values: tuple[float, ...]) -> Column:
+    """A literal array in one expression; element-wise literals are slow for thousands of values."""
+    return F.expr(f"array({', '.join(f'{v!r}D' for v in values)})")
+
+
 def order_code(value: Column, interval: Column, points: SplitPoints) -> Column:
     """Even codes are open intervals between split points, odd codes the split points themselves."""
     if not points.edges:
         return F.lit(0)
-    at_edge = F.get(F.lit(list(points.edges)), interval - 1) == value
+    at_edge = F.get(double_array(points.edges), interval - 1) == value
     return interval * 2 - F.coalesce(at_edge, F.lit(False)).cast("int")
 
 
@@ -196,7 +202,7 @@ def rank_rows(
         ids = SplitPoints(ids[::step], ())
         width = len(ids.edges) + 1
         coded = with_interval(coded, row_id, ids, "__rid")
-        is_hot = (code % 2 == 1) & F.get(F.lit(list(points.hot)), F.col("__at") - 1)
+        is_hot = (code % 2 == 1) & F.get(F.expr(f"array({', '.join(str(h).lower() for h in points.hot)})"), F.col("__at") - 1)
         sub = F.when(is_hot, F.col("__rid")).otherwise(0)
     place = (F.lit(points.codes - 1) - code) if descending else code
     coded = coded.select(
@@ -225,7 +231,7 @@ def rank_in_class_by_hash(
     k = buckets or default_buckets(df.sparkSession)
     coded = df.withColumn(
         "bucket", F.floor(F.col(hash_column) * F.lit(k) / F.lit(2.0**32)).cast("int")
-    ).withColumn("__one", F.lit(1).cast("bigint"))
+    )
     totals = coded.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("__rows"))
     whole = Window.partitionBy(group)
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,7 +19,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenura.functions.expressions import POISSON_ONE_CDF, hash32, safe_div
 from tenura.operators.metrics import f1_of
-from tenura.operators.ranking import add_prefix_sums, rank_rows, split_points, tall_with_buckets, with_order_codes
+from tenura.operators.ranking import (
+    add_prefix_sums,
+    default_buckets,
+    rank_rows,
+    split_points,
+    tall_with_buckets,
+    with_order_codes,
+)
 
 # Replicate counts, curve grid, confidence tails.
 METRIC_REPLICATES = 300
@@ -33,6 +40,8 @@ MIN_CURVES = 10
 MODULUS = 2**31 - 1
 ROW_STEP, REPLICATE_STEP, HIGH_STEP, SECOND_STEP, WEIGHT_SEED = 48271, 69621, 40692, 16807, 42
 
+GROUP_ROWS, MIN_GROUPS, MAX_SALTS = 20_000, 8, 512
+
 METRICS = ("auc_roc", "f1", "precision", "recall", "avg_precision")
 
 
@@ -69,9 +78,7 @@ def replicate_cells(
         .groupBy("b", "series", "bucket", "value")
         .agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("pos"))
     )
-    return add_prefix_sums(
-        cells, ["b", "series"], [F.desc("value")], ["n", "pos"], descending_buckets=True
-    ).drop("bucket")
+    return add_prefix_sums(cells, ["b", "series"], [F.desc("value")], ["n", "pos"], descending_buckets=True)
 
 
 def replicate_metrics(cells: DataFrame, cut: float = 0.5) -> DataFrame:
@@ -120,15 +127,17 @@ def poisson_weights(row_id: np.ndarray, b: int) -> np.ndarray:
     return np.searchsorted(np.asarray(POISSON_ONE_CDF), x / MODULUS, side="right")
 
 
-def _bucket_rows(df: DataFrame, probs: list[str], label: str, row_id: str, salts: int) -> DataFrame:
-    """Rows keyed by (series, bucket, salt).
+def _bucket_rows(df: DataFrame, probs: list[str], label: str, row_id: str) -> DataFrame:
+    """Rows keyed by (series, bucket, salt), in groups of at least some ten thousand rows.
 
     Buckets between split points stay whole and are bounded by the quantiles; a bucket of one
     single score needs no inner order, so it is salted and can hold any share of the table.
     """
+    groups = max(MIN_GROUPS, df.count() // GROUP_ROWS)
+    salts = min(groups, MAX_SALTS)
     tall, _ = tall_with_buckets(
         df.select(*probs, F.col(row_id).cast("bigint").alias("row_id"), F.col(label).cast("int").alias("y")),
-        probs, ["row_id", "y"],
+        probs, ["row_id", "y"], buckets=min(groups, default_buckets(df.sparkSession)),
     )
     salt = F.when(F.col("bucket") % 2 == 1, F.pmod(F.hash("row_id"), F.lit(salts))).otherwise(0)
     return tall.withColumn("salt", salt)
@@ -195,10 +204,9 @@ def poisson_replicate_metrics(
     *,
     row_id: str = "row_id",
     cut: float = 0.5,
-    salts: int = 64,
 ) -> DataFrame:
     """``b, series`` and the five metrics under Poisson weights; shuffles n rows, not B*n."""
-    rows = _bucket_rows(df, probs, label, row_id, salts)
+    rows = _bucket_rows(df, probs, label, row_id)
     sums = (
         rows.groupBy("series", "bucket", "salt")
         .applyInPandas(_sum_bucket(replicates, cut), SUMS)
@@ -342,6 +350,36 @@ def roc_curves(cells: DataFrame, points: int = CURVE_GRID) -> DataFrame:
     return curve.unionByName(end)
 
 
+def pr_curves(cells: DataFrame, points: int = CURVE_GRID) -> DataFrame:
+    """``b, series, grid, precision`` of each replicate on an even recall grid.
+
+    Points are the cells where recall grows, behind the point (0, 1). The previous point of a
+    cell is the one before it in its bucket, or the last one of an earlier bucket; so the windows
+    stay inside buckets or run over one row per bucket.
+    """
+    steps = points - 1
+    keys = ["b", "series"]
+    tp = (F.col("pos_before") + F.col("pos")).cast("double")
+    grown = _with_totals(cells).where(F.col("pos") > 0).withColumns(
+        {"tp": tp, "precision_here": tp / (F.col("n_before") + F.col("n"))}
+    )
+    earlier = Window.partitionBy(*keys).orderBy(F.desc("bucket"))
+    ends = grown.groupBy(*keys, "bucket").agg(F.min_by("precision_here", "value").alias("end"))
+    carried = ends.select(*keys, "bucket", F.coalesce(F.lag("end").over(earlier), F.lit(1.0)).alias("carried"))
+    inside = Window.partitionBy(*keys, "bucket").orderBy(F.desc("value"))
+    linked = grown.join(carried, [*keys, "bucket"]).withColumn(
+        "precision_before", F.coalesce(F.lag("precision_here").over(inside), F.col("carried"))
+    )
+    spans = linked.withColumn("grid", _grid_between(F.col("pos_before"), F.col("tp"), F.col("all_pos"), steps))
+    last = F.when(F.col("tp") == F.col("all_pos"), F.array(F.lit(steps).cast("bigint"))).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    hits = spans.withColumn("grid", F.explode(F.concat("grid", last)))
+    along = (F.col("grid") * F.col("all_pos") / F.lit(float(steps)) - F.col("pos_before")) / F.col("pos")
+    value = F.col("precision_before") + (F.col("precision_here") - F.col("precision_before")) * along
+    return hits.select(*keys, "grid", value.alias("precision"))
+
+
 def gain_curves(cells: DataFrame, points: int = 200) -> DataFrame:
     """``b, series, grid, captured`` percent at even positions of each resample.
 

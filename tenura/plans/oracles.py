@@ -155,13 +155,12 @@ SEGMENTS = """SELECT p AS percent, any_value(n * p // 100) AS n_customers,
 
 def multinomial(replicates: int) -> str:
     return SCORES + f""",
-placed AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS pos_ FROM stall_wide),
 draws AS (SELECT id // n AS b, {h("concat(id // n, ':', id % n)")} % n AS p
   FROM (SELECT count(*) AS n FROM scores), range({replicates} * (SELECT count(*) FROM scores)) t(id)),
 weights AS (SELECT b, p, count(*) AS w FROM draws GROUP BY b, p),
 weighted AS (SELECT b, series, value, label AS y, w FROM weights
   JOIN (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS p FROM scores) USING (p) JOIN stall USING (row_id))
-""".replace("placed AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS pos_ FROM stall_wide),\n", "")
+"""
 
 
 def _fifth(x: str) -> str:
@@ -370,6 +369,12 @@ curve AS (SELECT b, series, grid, (tp - pos + pos * (grid * all_neg / 99 - (seen
   FROM wcum JOIN range(100) t(grid) ON grid * all_neg >= 99 * (seen - tp - neg) AND grid * all_neg < 99 * (seen - tp) WHERE neg > 0 AND all_pos > 0
   UNION ALL SELECT DISTINCT b, series, 99, 1.0::double FROM wcum WHERE all_pos > 0 AND all_neg > 0)
 SELECT series, grid, count(*) AS n_curves, {r('quantile_cont(tpr, 0.025)')} AS ci_low, {r('quantile_cont(tpr, 0.975)')} AS ci_high FROM curve GROUP BY series, grid HAVING count(*) >= 10"""
+ORACLES["pr_band"] = f"""WITH {multinomial(CURVE_REPLICATES)} {WCUM},
+grown AS (SELECT b, series, all_pos, pos, tp, tp - pos AS r0, tp / seen AS p1, coalesce(lag(tp / seen) OVER (PARTITION BY b, series ORDER BY value DESC), 1.0) AS p0
+  FROM wcum WHERE pos > 0 AND all_neg > 0),
+curve AS (SELECT b, series, grid, p0 + (p1 - p0) * (grid * all_pos / 99 - r0) / pos AS precision
+  FROM grown JOIN range(100) t(grid) ON (grid * all_pos >= 99 * r0 AND grid * all_pos < 99 * tp) OR (grid = 99 AND tp = all_pos))
+SELECT series, grid, count(*) AS n_curves, {r('quantile_cont(precision, 0.025)')} AS ci_low, {r('quantile_cont(precision, 0.975)')} AS ci_high FROM curve GROUP BY series, grid HAVING count(*) >= 10"""
 ORACLES["gain_band"] = f"""WITH {multinomial(CURVE_REPLICATES)} {WCUM},
 curve AS (SELECT b, series, grid, (tp - pos + pos * (grid * greatest(floor(all_n / 200), 1) + 1 - (seen - n)) / n) / all_pos * 100 AS captured
   FROM wcum JOIN (SELECT unnest(range(CAST(all_n AS BIGINT))) AS grid FROM (SELECT min(200 + all_n - 200 * floor(all_n / 200)) AS all_n FROM wcum)) t

@@ -382,6 +382,12 @@ def roc_band(spark, sf):
     return rounded(resampling.curve_band(curves, "tpr"))
 
 
+@query
+def pr_band(spark, sf):
+    curves = resampling.pr_curves(_multinomial(spark, sf, CURVE_REPLICATES))
+    return rounded(resampling.curve_band(curves, "precision"))
+
+
 @query
 def gain_band(spark, sf):
     curves = resampling.gain_curves(_multinomial(spark, sf, CURVE_REPLICATES))
@@ -505,9 +511,7 @@ def multicollinear_drop(spark, sf):
 
 def _contributions(spark, sf) -> tuple[DataFrame, DataFrame]:
     base = base_of(spark, sf)
-    parts = attribution.linear_attribution(base, COEFFICIENTS)
-    margin = parts.groupBy("row_id").agg(F.sum("value").alias("m"))
-    return parts, margin.select("row_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m")))).alias("prob"))
+    return attribution.linear_attribution(base, COEFFICIENTS), attribution.linear_scores(base, COEFFICIENTS)
 
 
 @query

@@ -139,7 +139,7 @@ def test_poisson_weights_look_poisson():
 
 def test_poisson_replicates_brute_force(scored):
     pdf = scored.toPandas()
-    got = resampling.poisson_replicate_metrics(scored, ["prob"], "label", 4, salts=3).orderBy("b").collect()
+    got = resampling.poisson_replicate_metrics(scored, ["prob"], "label", 4).orderBy("b").collect()
     for r in got:
         again = pdf.loc[pdf.index.repeat(poisson_weights(pdf.row_id.to_numpy(), r["b"]))]
         assert math.isclose(r["auc_roc"], brute_auc(again.label.to_numpy(), again.prob.to_numpy()), rel_tol=1e-9)
@@ -186,3 +186,19 @@ def test_roc_curve_interpolation(scored):
     assert np.allclose([r["tpr"] for r in curve], np.interp(np.arange(100) / 99, fpr, tpr), atol=1e-9)
     gain = resampling.gain_curves(resampling.replicate_cells(scored, ["prob"], "label", weights)).toPandas()
     assert len(gain) == 200 and gain.sort_values("grid").captured.is_monotonic_increasing
+
+
+def test_pr_curve_interpolation(scored):
+    weights = scored.select(F.lit(0).alias("b"), "row_id", F.lit(1).cast("bigint").alias("w"))
+    cells = resampling.replicate_cells(scored, ["prob"], "label", weights)
+    curve = resampling.pr_curves(cells).orderBy("grid").collect()
+    pdf = scored.toPandas()
+    recall, precision = [0.0], [1.0]
+    for t in sorted(pdf.prob.unique(), reverse=True):
+        top = pdf[pdf.prob >= t]
+        r = top.label.sum() / pdf.label.sum()
+        if r > recall[-1]:
+            recall.append(r)
+            precision.append(top.label.mean())
+    assert len(curve) == 100
+    assert np.allclose([r["precision"] for r in curve], np.interp(np.arange(100) / 99, recall, precision), atol=1e-9)

@@ -75,3 +75,10 @@ def test_no_row_level_single_partition(skewed):
         # The only single task orders the bucket totals, which were summed just before.
         for chunk in plan.split("Exchange SinglePartition")[1:]:
             assert "HashAggregate" in chunk.split("Exchange")[0]
+
+
+def test_extreme_values_are_ordered(spark):
+    values = [float("-inf"), -1e-300, 0.0, 1e-5, 5e300, float("inf")] * 4
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "row_id bigint, x double")
+    got = [r["x"] for r in ranking.rank_rows(df, "x", "row_id", descending=False, buckets=8).orderBy("rank").collect()]
+    assert got == sorted(values)
