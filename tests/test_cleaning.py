@@ -87,3 +87,15 @@ def test_roles_schema_walks(spark):
     assert roles.numeric(df, flags=False) == ["m"]
     assert Roles.from_json(roles.to_json()) == roles
     assert "forgntvl" not in roles.for_profile().binary
+
+
+def test_projections_run_on_a_stream(spark, tmp_path):
+    columns = "eqpdays double, avg3mou double, avg6mou double, drop_vce_Mean double, plcd_vce_Mean double"
+    batch = spark.createDataFrame([(-1.0, 3.0, 1.0, 9.0, 4.0), (501.0, 1.0, 2.0, 1.0, 4.0)], columns)
+    batch.write.parquet(str(tmp_path / "in"))
+    whole = lambda df: features.usage_features(cleaning.apply_domain_rules(df))[0]
+    stream = whole(spark.readStream.schema(columns).parquet(str(tmp_path / "in")))
+    job = stream.writeStream.format("memory").queryName("projected").trigger(availableNow=True).start()
+    job.awaitTermination(60)
+    key = lambda r: repr(tuple(r))
+    assert sorted(spark.table("projected").collect(), key=key) == sorted(whole(batch).collect(), key=key)
