@@ -232,8 +232,9 @@ def mann_whitney(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     n, pos = F.col("n").cast("double"), F.col("pos").cast("double")
     mid_rank = F.col("n_before") + (n + 1.0) / 2.0
     sums = cells.groupBy("series").agg(
-        F.sum(pos).alias("n1"),
-        F.sum(n - pos).alias("n0"),
+        # Class sizes from the cell totals, so both branches of the prefix sum read the same columns.
+        F.max("pos_total").cast("double").alias("n1"),
+        F.max(F.col("n_total") - F.col("pos_total")).cast("double").alias("n0"),
         F.sum((n - pos) * mid_rank).alias("rank_sum"),
         F.sum(n * n * n - n).alias("ties"),
     )

@@ -71,7 +71,9 @@ def order_code(value: Column, interval: Column, points: SplitPoints) -> Column:
     if not points.edges:
         return F.lit(0)
     at_edge = F.get(double_array(points.edges), interval - 1) == value
-    return interval * 2 - F.coalesce(at_edge, F.lit(False)).cast("int")
+    # Never NULL: otherwise the joins on it add a filter to one branch only, and the two branches
+    # of a prefix sum no longer share their shuffle.
+    return F.coalesce(interval * 2 - F.coalesce(at_edge, F.lit(False)).cast("int"), F.lit(-1))
 
 
 def with_order_codes(df: DataFrame, columns: list[str], points: dict[str, SplitPoints]) -> DataFrame:
@@ -206,7 +208,7 @@ def rank_rows(
         sub = F.when(is_hot, F.col("__rid")).otherwise(0)
     place = (F.lit(points.codes - 1) - code) if descending else code
     coded = coded.select(
-        *df.columns, (place * width + sub).cast("bigint").alias("bucket"), F.lit(1).cast("bigint").alias("__one")
+        *df.columns, F.coalesce((place * width + sub).cast("bigint"), F.lit(-1)).alias("bucket"), F.lit(1).cast("bigint").alias("__one")
     )
     bound = points.codes + sum(points.hot) * width
     order = [F.desc(score) if descending else F.asc(score), F.asc(row_id)]
@@ -230,7 +232,7 @@ def rank_in_class_by_hash(
     """
     k = buckets or default_buckets(df.sparkSession)
     coded = df.withColumn(
-        "bucket", F.floor(F.col(hash_column) * F.lit(k) / F.lit(2.0**32)).cast("int")
+        "bucket", F.coalesce(F.floor(F.col(hash_column) * F.lit(k) / F.lit(2.0**32)).cast("int"), F.lit(-1))
     )
     totals = coded.groupBy(group, "bucket").agg(F.count(F.lit(1)).alias("__rows"))
     whole = Window.partitionBy(group)

@@ -55,7 +55,7 @@ def multinomial_weights(df: DataFrame, replicates: int, row_id: str = "row_id")
     )
     n = df.count()
     draws = df.sparkSession.range(replicates * n).select(
-        F.expr(f"cast(id div {n} as int)").alias("b"), (F.col("id") % n).alias("i")
+        F.coalesce(F.expr(f"cast(id div {n} as int)"), F.lit(0)).alias("b"), (F.col("id") % n).alias("i")
     )
     drawn = draws.select("b", (hash32(F.col("b"), F.col("i")) % n).alias("pos"))
     counted = drawn.groupBy("b", "pos").agg(F.count(F.lit(1)).alias("w"))
