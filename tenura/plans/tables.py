@@ -6,7 +6,7 @@ the last order, and a label from the time after it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tenura.functions.expressions import hash32
 from tenura.operators.cleaning import (
@@ -55,7 +55,7 @@ def customer_base(spark: SparkSession, folder: str) -> DataFrame:
         recent = F.col("o_orderdate") >= F.col("c") - F.expr(f"interval '{days}' day")
         return F.avg(F.when(before & recent, F.col("o_totalprice")))
 
-    def total(amount) -> F.Column:
+    def total(amount: Column) -> Column:
         return F.sum(F.when(before, F.coalesce(amount, F.lit(0))).otherwise(0))
 
     per_customer = dated.groupBy("o_custkey").agg(
