@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import table
+from . import toxicity
 from .token_counts import token_counts
 from .url_filter import url_filter, url_filter_sql
 
@@ -22,6 +23,11 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(table(spark, folder, "pages"))
 
@@ -30,5 +36,5 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op7_url_filter, op10_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op7_url_filter, op10_bpe)}
 ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql()}
