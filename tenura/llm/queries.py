@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_round_trip
 from .common import table
 from . import toxicity
+from .ngram_join import ngram_jaccard
 from .token_counts import token_counts
 from .url_filter import url_filter, url_filter_sql
 
@@ -32,9 +33,13 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(table(spark, folder, "pages"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_jaccard(table(spark, folder, "documents"))
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op7_url_filter, op10_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op7_url_filter, op8_ngram_jaccard, op10_bpe)}
 ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql()}
