@@ -290,7 +290,7 @@ def ngram_jaccard(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100
     not read; an empty table gives an empty table.
     """
     source = docs.select(docs[id_column].cast("long").alias("id"), docs[text_column].cast("string").alias("text"))
-    profile = written(source.mapInArrow(_profiles(words), "kind int, id long, n long, s1 long, s2 long, minima array<long>"))
+    profile = written(source.mapInArrow(_profiles(words), "kind int, id long, n long, s1 long, minima array<long>"))
     rows = profile.where("kind = 0").select("id", "n", F.col("s1").alias("node"), "minima")
     known = rows.where("n > 0 and id is not null")
     # one class for each set; its signature is the node of the links, and its smallest id names it
