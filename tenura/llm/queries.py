@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import bpe_round_trip
 from .common import table
 from . import toxicity
+from .decontamination import leaks
 from .ngram_join import ngram_jaccard
 from .pii import find_personal_data
 from .token_counts import token_counts
@@ -30,6 +31,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents"))
 
@@ -46,5 +51,5 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op5_personal_data, op7_url_filter, op8_ngram_jaccard, op10_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op5_personal_data, op7_url_filter, op8_ngram_jaccard, op10_bpe)}
 ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql()}
