@@ -10,6 +10,7 @@ from .bpe import bpe_round_trip
 from .common import table
 from . import toxicity
 from .decontamination import leaks
+from .embedding_join import near_vectors
 from .ngram_join import ngram_jaccard
 from .pii import find_personal_data
 from .token_counts import token_counts
@@ -35,6 +36,10 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents"))
 
@@ -51,5 +56,5 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op5_personal_data, op7_url_filter, op8_ngram_jaccard, op10_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op4_near_vectors, op5_personal_data, op7_url_filter, op8_ngram_jaccard, op10_bpe)}
 ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql()}
