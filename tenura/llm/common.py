@@ -81,3 +81,30 @@ def drop_written(df: DataFrame) -> None:
 def held_out(doc_id: Column) -> Column:
     """The rows labels are never learned from: crc32 of the id's text is divisible by 5."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key of a partition that is sorted by the keys, as one table; one group is held at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in columns)
+        change[0] = last is not None and first != last
+        cuts = [*np.flatnonzero(change), batch.num_rows]
+        at = 0
+        for cut in cuts:
+            if cut > at:
+                held.append(batch.slice(at, cut - at))
+            if cut < batch.num_rows and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            at = cut
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -7,6 +7,9 @@
    shares at least l of the rest. Shingles that many documents hold come last in that order, so they are rarely kept.
    A task has a block of shingle columns of the incidence matrix and adds up the product with its transpose, for pairs
    of different components and fitting sizes only. Sums over all blocks below l drop out, the others are verified.
+   Columns that very many documents keep are multiplied differently: their documents are cut into blocks, and a task
+   has the whole rows of two blocks, adds up the exact overlaps and returns the links that join components. What such
+   columns could add to a pair's sum is granted to it before it may drop out.
 
 All comparisons are exact on 64-bit shingle hashes; steps 2 and the order of step 3 only save work.
 """
@@ -19,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import drop_written, flat_bytes, pieces, written
+from .common import drop_written, flat_bytes, pieces, sorted_groups, written
 from .components import components
 
 ORDERS = 4
@@ -27,7 +30,9 @@ ORDERS = 4
 SHARED = 4
 #: A shingle counts as frequent from so many documents of one run of texts on; at most so many are remembered. Only the
 #: order of shingles depends on it.
-RUN_COUNT, FREQUENT = 12, 200_000
+RUN_COUNT, FREQUENT = 3, 500_000
+#: Documents that keep a shingle from which its column goes by blocks, and documents of a block.
+CROWD, BLOCK = 64, 500
 #: Members that one task compares with a star's middle, before the star is split.
 STAR_ROWS = 2000
 #: Ids up to which a table of ids is broadcast (16 bytes each); above, Spark joins by shuffle.
@@ -154,10 +159,10 @@ def _kept_shingles(words: int, num: int, den: int, frequent):
     """Of each document the first shingles of the global order, as many as completeness asks for."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = frequent.value
+        often, level = frequent.value
         for batch, texts in pieces(batches, "text", 4 << 20):
             ids, comps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            tokens, owner, sizes, least = [], [], [], []
+            tokens, owner, sizes, least, lead = [], [], [], [], []
             for i, s in enumerate(shingle_sets(texts, words)):
                 n = len(s)
                 if not n or signature(s) != ids[i]:
@@ -167,15 +172,15 @@ def _kept_shingles(words: int, num: int, den: int, frequent):
                 take = n - need + shared
                 if len(often):
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-                    hot = often[at] == s
-                    s = np.concatenate([s[~hot], s[hot]])
+                    s = s[np.argsort(np.where(often[at] == s, level[at], 0), kind="stable")]
                 tokens.append(s[:take])
+                lead.append(np.arange(min(take, n)) <= n - need)
                 owner.append(np.full(min(take, n), i))
                 sizes.append(np.full(min(take, n), n))
                 least.append(np.full(min(take, n), shared, np.int32))
             if tokens:
                 owner = np.concatenate(owner)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(ids[owner]), pa.array(comps[owner]), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(least))], ["token", "node", "component", "n", "shared"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(ids[owner]), pa.array(comps[owner]), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(least)), pa.array(np.concatenate(lead))], ["token", "node", "component", "n", "shared", "lead"])
 
     return work
 
@@ -228,6 +233,46 @@ def _product(num: int, den: int):
     return work
 
 
+def _blocks(num: int, den: int):
+    """Exact overlaps of the documents of two blocks; of the similar pairs those that join components."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["token", "i", "j"]):
+            comp, node, side = (group.column(c).to_numpy() for c in ("component", "node", "side"))
+            if comp.min() == comp.max():
+                continue
+            lists = group.column("tokens").combine_chunks()
+            offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            sizes = np.diff(offsets)
+            values, local, counts = np.unique(flat, return_inverse=True, return_counts=True)
+            column = np.cumsum(counts > 1) - 1  # a shingle of one document adds nothing
+            keep = counts[local] > 1
+            row, local = np.repeat(np.arange(len(node)), sizes)[keep], column[local[keep]]
+            both = np.zeros((len(node), len(node)), np.float32)
+            order = np.argsort(local, kind="stable")
+            row, local = row[order], local[order]
+            for at in range(0, int(local[-1]) + 1 if len(local) else 0, 4096):
+                a, b = np.searchsorted(local, [at, at + 4096])
+                part = np.zeros((len(node), 4096), np.float32)
+                part[row[a:b], local[a:b] - at] = 1
+                both += part @ part.T
+            i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+            near = den * both >= num * (sizes[:, None] + sizes[None, :] - both)
+            if i != j:
+                near &= side[:, None] != side[None, :]
+            root = np.unique(comp, return_inverse=True)[1]
+            a, b = [], []
+            for r in range(len(node)):
+                other = np.flatnonzero(near[r] & (root != root[r]))
+                for k in other[np.unique(root[other], return_index=True)[1]]:
+                    a.append(node[r])
+                    b.append(node[k])
+                    root[root == root[k]] = root[r]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return work
+
+
 def _verify(num: int, den: int):
     """Compare each member's set with that of its star's middle, which comes first in the partition's order."""
 
@@ -263,6 +308,11 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else rows
 
 
+def _sets_of(nodes: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    needed = written(classes.select("id", "node").join(nodes.distinct(), "node"))
+    return texts.join(_small(needed), "id").select("node", "text").mapInArrow(_sets(words), "node long, tokens array<long>")
+
+
 def _links(edges: DataFrame, classes: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Of candidate (star, member) pairs those that are similar enough, as (a, b); written."""
     edges = written(edges.distinct())
@@ -272,8 +322,7 @@ def _links(edges: DataFrame, classes: DataFrame, texts: DataFrame, words: int, n
     spread = every.withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int"))
     middles = stars.select("star", F.col("star").alias("member"), F.lit(True).alias("middle"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     wanted = written(spread.select("star", "member", "middle", "part").unionByName(middles.select("star", "member", "middle", "part")))
-    needed = classes.select("id", "node").join(wanted.select(F.col("member").alias("node")).distinct(), "node")
-    sets = texts.join(_small(written(needed)), "id").select("node", "text").mapInArrow(_sets(words), "node long, tokens array<long>")
+    sets = _sets_of(wanted.select(F.col("member").alias("node")), classes, texts, words)
     rows = sets.join(_small(wanted), sets.node == F.col("member")).select("star", "part", "member", "middle", "tokens")
     dealt = rows.repartition("star", "part").sortWithinPartitions("star", "part", F.desc("middle"))
     links = written(dealt.select("star", "member", "tokens").mapInArrow(_verify(num, den), "a long, b long"))
@@ -282,6 +331,16 @@ def _links(edges: DataFrame, classes: DataFrame, texts: DataFrame, words: int, n
     return links
 
 
+def _block_links(crowded: DataFrame, classes: DataFrame, texts: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links within the columns that many documents keep. A linked pair leads with at least one common shingle."""
+    rows = crowded.where("lead").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = written(rows.select("token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "component"))
+    sets = _sets_of(rows.select("node"), classes, texts, words)
+    dealt = sets.join(_small(rows), "node").select("token", "i", "j", "side", "node", "component", "tokens").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return dealt.mapInArrow(_blocks(num, den), "a long, b long")
+
+
 def ngram_jaccard(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row: linked where den * |intersection| >= num * |union|.
 
@@ -295,8 +354,9 @@ def ngram_jaccard(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100
     known = rows.where("n > 0 and id is not null")
     # one class for each set; its signature is the node of the links, and its smallest id names it
     classes = written(known.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("minima").alias("minima")))
-    often = [r.s1 for r in profile.where("kind = 1").groupBy("s1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s1").limit(FREQUENT).select("s1").collect()]
-    frequent = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(often, np.int64).view(np.uint64)))
+    often = profile.where("kind = 1").groupBy("s1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "s1").limit(FREQUENT).collect()
+    often = np.array(sorted((r.s1 % 2**64, r.n) for r in often), np.uint64).reshape(-1, 2)
+    frequent = docs.sparkSession.sparkContext.broadcast((often[:, 0].copy(), np.ceil(np.log2(np.maximum(often[:, 1], 2))).astype(np.int8)))
     texts = source.where("id is not null")
 
     minima = classes.select("node", F.posexplode("minima").alias("k", "m"))
@@ -306,12 +366,22 @@ def ngram_jaccard(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100
     parts = classes.select("id", "node").join(components(first), "node", "left").select("id", "node", F.coalesce("component", "node").alias("component"))
     parts = written(parts)
 
-    kept = texts.join(_small(parts), "id").select("node", "component", "text").mapInArrow(_kept_shingles(words, num, den, frequent), "token long, node long, component long, n long, shared int")
-    dealt = kept.repartition("token").sortWithinPartitions("token")
-    summed = dealt.mapInArrow(_product(num, den), "a long, b long, shared long, count long").groupBy("a", "b").agg(F.min("shared").alias("shared"), F.sum("count").alias("count"))
-    second = _links(summed.where("count >= shared").select(F.col("a").alias("star"), F.col("b").alias("member")), classes, texts, words, num, den)
+    kept = texts.join(_small(parts), "id").select("node", "component", "text").mapInArrow(_kept_shingles(words, num, den, frequent), "token long, node long, component long, n long, shared int, lead boolean")
+    kept = written(kept)
+    crowd = kept.groupBy("token").agg(F.count("*").alias("members"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    crowd = written(crowd.where(F.col("members") > CROWD).select("token", "members", (F.col("c1") != F.col("c2")).alias("mixed")))
 
-    linked = classes.select("id", "node").join(components(first.unionByName(second)), "node", "left").select("id", "node", F.coalesce("component", "node").alias("component"))
+    dealt = kept.join(_small(crowd.select("token")), "token", "left_anti").select("token", "node", "component", "n", "shared").repartition("token").sortWithinPartitions("token")
+    summed = dealt.mapInArrow(_product(num, den), "a long, b long, shared long, count long").groupBy("a", "b").agg(F.min("shared").alias("shared"), F.sum("count").alias("count"))
+    crowded = written(kept.join(_small(crowd.where("mixed").select("token", "members")), "token"))
+    granted = crowded.groupBy("node").agg(F.count("*").alias("granted"))
+    for end in ("a", "b"):
+        summed = summed.join(_small(granted).select(F.col("node").alias(end), F.col("granted").alias(f"granted_{end}")), end, "left")
+    enough = F.col("count") + F.least(F.coalesce("granted_a", F.lit(0)), F.coalesce("granted_b", F.lit(0))) >= F.col("shared")
+    second = _links(summed.where(enough).select(F.col("a").alias("star"), F.col("b").alias("member")), classes, texts, words, num, den)
+    third = written(_block_links(crowded, classes, texts, words, num, den))
+
+    linked = classes.select("id", "node").join(components(first.unionByName(second).unionByName(third)), "node", "left").select("id", "node", F.coalesce("component", "node").alias("component"))
     linked = written(linked)
     named = linked.groupBy("component").agg(F.min("id").alias("component_id"))
     out = rows.select("id", "n", "node").join(linked.join(named, "component").select("node", "component_id"), "node", "left")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
 from .common import table
-from . import toxicity
+from . import html_extract, toxicity
 from .decontamination import leaks
 from .embedding_join import near_vectors
 from .ngram_join import ngram_jaccard
@@ -44,6 +44,11 @@ def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return find_personal_data(table(spark, folder, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter(table(spark, folder, "pages"))
 
@@ -56,5 +61,5 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op4_near_vectors, op5_personal_data, op7_url_filter, op8_ngram_jaccard, op10_bpe)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op4_near_vectors, op5_personal_data, op6_html_extraction, op7_url_filter, op8_ngram_jaccard, op10_bpe)}
 ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql()}
