@@ -5,8 +5,9 @@ equals. Equal strings hold equal anchors at the same place, so all that can be e
 
 1. Equal texts are one from here on (a text that occurs twice is removed as a whole, if long enough).
 2. Anchors are counted by hash, with the least and greatest fingerprint of their surroundings (all strings of this
-   length that hold the anchor). A hash seen once repeats nothing. Where all surroundings are equal, they repeat whole.
-3. Where surroundings differ, their bytes go to the shard of the hash. A shard builds a suffix array by prefix doubling
+   length that hold the anchor). A hash seen once repeats nothing. Surroundings with equal fingerprints at different
+   places repeat whole; that is an aggregate and a join, so a line or passage of any frequency needs no group of its rows.
+3. Where surroundings of a hash differ, one of each fingerprint goes to the shard of the hash with its bytes. A shard builds a suffix array by prefix doubling
    in the manner of Larsson and Sadakane: groups of equal prefixes are numbered, and only groups of more than one are
    sorted again by the number ``h`` places on. Common prefixes come from the numbers of each doubling (Kasai's loop is
    sequential; this gives the same values up to ``length``). Strings in one group at different places are repeated.
@@ -29,6 +30,8 @@ from .ngram_join import _BASE, _BASE_INVERSE, _power, mix
 LENGTH, K = 200, 64
 #: Surroundings of one hash in a shard, bytes that one suffix array takes, and the largest filter in bits (64 MB).
 SHARD, ARRAY_BYTES, FILTER_BITS = 5000, 2 << 20, 29
+#: Fingerprints that a task remembers having sent with bytes; sent again, they only cost space.
+SEEN = 500_000
 #: Documents and intervals up to which the removal is broadcast to the texts.
 BROADCAST_KEYS, BROADCAST_INTERVALS = 500_000, 2_000_000
 _BYTE = np.random.default_rng(9_071).integers(0, 2**64, 256, dtype=np.uint64)
@@ -130,18 +133,24 @@ def _counted(length: int, k: int):
 
 
 def _located(length: int, k: int, bits: int, shared):
-    """Surroundings whose hash the filters know; with bytes where they may differ."""
+    """Surroundings whose hash the filters know; the first of each fingerprint in a task with bytes, where they differ."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every, mixed = shared.value
+        seen: set[int] = set()
         for batch, texts in pieces(batches, "text", 4 << 20):
             data, starts = flat_bytes(texts)
             hashes, text, place, first, last, print_ = anchors(data, starts, length, k)
             keep = _in_filter(every, bits, hashes) & (last - first >= length)
             hashes, text, place, first, last, print_ = (x[keep] for x in (hashes, text, place, first, last, print_))
-            differ = _in_filter(mixed, bits, hashes)
-            raw = data.tobytes()
-            content = [raw[a:b] if d else None for a, b, d in zip(first.tolist(), last.tolist(), differ.tolist(), strict=True)]
+            if len(seen) > SEEN:
+                seen.clear()
+            raw, content = memoryview(data), []
+            for a, b, p, differs in zip(first.tolist(), last.tolist(), print_.tolist(), _in_filter(mixed, bits, hashes).tolist(), strict=True):
+                fresh = differs and p not in seen
+                content.append(bytes(raw[a:b]) if fresh else None)
+                if fresh:
+                    seen.add(p)
             key = batch.column(0).to_numpy()[text]
             columns = [pa.array(hashes.view(np.int64)), pa.array(key), pa.array(first - starts[text]), pa.array(last - starts[text]), pa.array(print_.view(np.int64)), pa.array(content, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["hash", "key", "first", "last", "print", "content"])
@@ -149,8 +158,11 @@ def _located(length: int, k: int, bits: int, shared):
     return work
 
 
-def _repeated(content: list[bytes], owner: np.ndarray, first: np.ndarray, part: np.ndarray, length: int) -> np.ndarray:
-    """Of every place of the concatenated contents: does its string also begin at another place of a text?"""
+def _repeated(content: list[bytes], owner: np.ndarray, first: np.ndarray, part: np.ndarray, whole: np.ndarray, length: int) -> np.ndarray:
+    """Of every place of the concatenated contents: does its string also begin at another place of a text?
+
+    Strings of surroundings that repeat ``whole`` do.
+    """
     data = np.frombuffer(b"".join(content), np.uint8)
     sizes = np.array([len(c) for c in content], np.int64)
     begin = np.cumsum(sizes) - sizes
@@ -184,7 +196,9 @@ def _repeated(content: list[bytes], owner: np.ndarray, first: np.ndarray, part:
     least, most = np.full(groups.max() + 1, np.iinfo(np.int64).max), np.full(groups.max() + 1, -1)
     np.minimum.at(least, groups, spot)
     np.maximum.at(most, groups, spot)
-    out[at] = least[groups] < most[groups]
+    several = least < most
+    np.logical_or.at(several, groups, whole[row[at]])
+    out[at] = several[groups]
     return out
 
 
@@ -192,21 +206,19 @@ def _sharded(length: int):
     def intervals(rows: pa.Table) -> pa.RecordBatch:
         hashes, key, first, last, print_, part = (rows.column(c).to_numpy() for c in ("hash", "key", "first", "last", "print", "part"))
         content = rows.column("content").to_pylist()
-        # equal surroundings of different places repeat whole; one of them goes into the suffix array
+        whole_row = rows.column("whole").to_numpy(zero_copy_only=False).astype(bool)
         same = np.unique(np.stack([hashes, print_], 1), axis=0, return_inverse=True)[1].ravel()
         one = np.unique(same, return_index=True)[1]
-        places = np.unique(np.stack([same, key, first], 1), axis=0)[:, 0]
-        whole = (np.bincount(places, minlength=len(one)) > 1)[same]
         owners = np.unique(key, return_inverse=True)[1].ravel()
-        flags = _repeated([content[i] for i in one], owners[one], first[one], part[one], length)
+        flags = _repeated([content[i] for i in one], owners[one], first[one], part[one], whole_row[one], length)
         sizes = np.array([len(content[i]) for i in one], np.int64)
         begin = np.cumsum(sizes) - sizes
         edges = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
         ups, downs = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
         # a run of flags never leaves its surroundings: their last places are no beginnings
         group = np.searchsorted(begin, ups, "right") - 1
-        out_key, out_first, out_last = [key[whole]], [first[whole]], [last[whole]]
-        for i in np.flatnonzero(~whole):
+        out_key, out_first, out_last = [key[:0]], [first[:0]], [last[:0]]
+        for i in one[~whole_row[one]]:
             a, b = np.searchsorted(group, [same[i], same[i] + 1])
             for u, d in zip(ups[a:b], downs[a:b], strict=True):
                 out_key.append(key[i : i + 1])
@@ -296,12 +308,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, id_column:
     bits = int(min(FILTER_BITS, max(16, np.ceil(np.log2(16 * max(known.count(), 1))))))
     shared = docs.sparkSession.sparkContext.broadcast((_filter_words(known, bits), _filter_words(known.where("mixed"), bits)))
     located = written(single.mapInArrow(_located(length, k, bits, shared), "hash long, key long, first long, last long, print long, content binary"))
-    even = located.where("content is null").select("hash", "key", "first", "last").join(known.where("not mixed").select("hash"), "hash").select("key", "first", "last")
-
-    # the filter may also have sent the bytes of surroundings that are equal
-    differing = located.where("content is not null").join(known.select("hash", F.ceil(F.col("n") / SHARD).cast("int").alias("parts")), "hash")
-    differing = differing.withColumn("part", F.pmod(F.xxhash64("key", "first"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = differing.select("hash", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "parts", "part", "key", "first", "last", "print", "content")
+    classes = located.groupBy("hash", "print").agg(F.min("key").alias("k1"), F.max("key").alias("k2"), F.min("first").alias("f1"), F.max("first").alias("f2"))
+    classes = written(classes.where("k1 <> k2 or f1 <> f2").select("hash", "print", F.lit(True).alias("whole")))
+    even = located.select("hash", "print", "key", "first", "last").join(classes, ["hash", "print"]).select("key", "first", "last")
+
+    differing = located.where("content is not null").join(known.where("mixed").select("hash"), "hash", "left_semi")
+    parts = written(differing.groupBy("hash").agg(F.ceil(F.count("*") / SHARD).cast("int").alias("parts")))
+    differing = differing.join(parts, "hash").join(classes, ["hash", "print"], "left").withColumn("whole", F.coalesce("whole", F.lit(False)))
+    differing = differing.withColumn("part", F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = differing.select("hash", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "parts", "part", "key", "first", "last", "print", "whole", "content")
     dealt = dealt.repartition("hash", "i", "j").sortWithinPartitions("hash", "i", "j")
     odd = dealt.mapInArrow(_sharded(length), "key long, first long, last long")
 
