@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -56,10 +58,17 @@ def per_row_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that spark.checkpoint.dir names, which all executors share."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """A new folder below the one that spark.checkpoint.dir names, which all executors share.
+
+    Where none is named, a session within one process (local master) gets one of its own; a cluster is refused.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        raise RuntimeError("Name a folder that all executors share in spark.checkpoint.dir")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("Name a folder that all executors share in spark.checkpoint.dir")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tenura-"))
+        named = context.getCheckpointDir()
     return f"{named.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

@@ -112,6 +112,7 @@ def summaries(weights: np.ndarray, bias: float, texts: list[str]) -> np.ndarray:
         return np.zeros((0, 2 + len(LEVELS)))
     codes, starts = folded(texts)
     value = np.append(decisions(weights, codes), np.full(PAD, -1e9, np.float32)) + np.float32(bias)
+    value[(starts[1:, None] - np.arange(1, PAD - 3)).ravel()] = -1e9  # windows that would reach into the next text
     out = np.empty((len(texts), 2 + len(LEVELS)))
     out[:, 0] = np.maximum.reduceat(value, starts[:-1])
     out[:, -1] = np.log(np.maximum(np.diff(starts) - PAD, SHORT))
