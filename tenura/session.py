@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,16 +19,21 @@ def local_session(cores: int | str = 8, app: str = "tenura") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where the session names none."""
+    """The folder named by ``spark.checkpoint.dir``; a session within one process gets one of its own if it names none.
+
+    A cluster that names none is refused: a machine's own folder is not shared by its executors.
+    """
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("Name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="tenura-")
         context.setCheckpointDir(named)
     return named
