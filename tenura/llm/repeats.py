@@ -110,8 +110,9 @@ def suffix_groups(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, n
 
 def _filter_words(known: DataFrame, bits: int) -> np.ndarray:
     """A filter of 2^bits bits of the hashes, made in Spark word by word."""
-    slot = F.shiftrightunsigned("hash", 64 - bits)
-    words = known.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63 as int))")).alias("bits"))
+    # the low bits: anchors are minima, so their high bits are mostly zeros
+    slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
+    words = known.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("bits"))
     out = np.zeros(1 << (bits - 6), np.int64)
     for r in words.collect():
         out[r["word"]] = r["bits"]
@@ -119,7 +120,7 @@ def _filter_words(known: DataFrame, bits: int) -> np.ndarray:
 
 
 def _in_filter(words: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes >> np.uint64(64 - bits)
+    slot = hashes & np.uint64((1 << bits) - 1)
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
