@@ -171,8 +171,7 @@ def _repeated(content: list[bytes], owner: np.ndarray, first: np.ndarray, part:
     inner = np.arange(len(data)) - begin[row]
     valid = inner + length <= sizes[row]
     # one number for each place of a text: the same place may be in the surroundings of several anchors
-    where = np.stack([owner[row], first[row] + inner], 1)[valid]
-    spot = np.unique(where, axis=0, return_inverse=True)[1].ravel()
+    spot = (owner[row] << 32 | first[row] + inner)[valid]
     out = np.zeros(len(data), bool)
     at = np.flatnonzero(valid)
     side = part[row[at]]
@@ -193,7 +192,7 @@ def _repeated(content: list[bytes], owner: np.ndarray, first: np.ndarray, part:
         found = np.minimum(np.searchsorted(ordered, prints[high]), len(ordered) - 1)
         same = ordered[found] == prints[high]
         rank[np.flatnonzero(high)[same]] = rank[low][order[found[same]]]
-    groups = np.unique(rank, return_inverse=True)[1].ravel()
+    groups = rank
     least, most = np.full(groups.max() + 1, np.iinfo(np.int64).max), np.full(groups.max() + 1, -1)
     np.minimum.at(least, groups, spot)
     np.maximum.at(most, groups, spot)
