@@ -261,7 +261,7 @@ FROM feat JOIN seg USING (segment)"""
 
 ORACLES["source_checks"] = f"WITH {BASE} SELECT count(*) AS n_rows, count(*) FILTER (WHERE label IS NULL) AS n_null_target, count(DISTINCT label) AS n_classes FROM base"
 ORACLES["target_distribution"] = f"WITH {BASE} SELECT v AS label, count(label) AS n, {r('count(label)::double / (SELECT count(*) FROM base)')} AS share FROM (VALUES (0), (1)) t(v) LEFT JOIN base ON label = v GROUP BY v"
-ORACLES["duplicate_rows"] = f"""WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)
+ORACLES["duplicate_rows"] = f"""WITH g AS (SELECT text, lang, source, n_chars, count(*) AS n FROM documents GROUP BY ALL)
 SELECT sum(n)::BIGINT AS n_rows, (sum(n) - count(*))::BIGINT AS n_duplicates, {r('(sum(n) - count(*)) * 100.0 / sum(n)')} AS duplicate_pct FROM g"""
 ORACLES["cardinality"] = f"WITH {BASE}, {CATS} SELECT feature, count(DISTINCT category) AS n_values FROM cats GROUP BY feature"
 
@@ -283,7 +283,7 @@ FROM {tall} x JOIN {tall} y ON x.{key} = y.{key} AND list_position({order}, x.se
 ORACLES["corr_matrix"] = f"WITH {LINES} {pairs('ltall', 'rid', LINE_MEASURES)}"
 ORACLES["corr_matrix_wide"] = f"WITH {BASE} {pairs('tall', 'row_id', BASE_NUMERIC)}"
 ORACLES["outlier_share"] = f"""WITH {BASE}, s AS (SELECT series, count(*) AS n, avg(value) AS m, stddev_pop(value) AS d FROM tall GROUP BY series HAVING count(*) >= 10),
-o AS (SELECT series, count(*) AS n, count(*) FILTER (WHERE abs((value - m) / nullif(d, 0)) > 2.0) AS n_outliers FROM tall JOIN s USING (series) GROUP BY series)
+o AS (SELECT series, count(*) AS n, count(*) FILTER (WHERE abs((value - m) / nullif(d, 0)) > 3.0) AS n_outliers FROM tall JOIN s USING (series) GROUP BY series)
 SELECT series, n, n_outliers, {r('n_outliers * 100.0 / n')} AS outlier_pct FROM o WHERE n_outliers * 100.0 / n > 1.0"""
 ORACLES["class_histogram"] = f"""WITH {LINES}, lim AS (SELECT series, label, min(value) AS lo0, max(value) AS hi0, count(*) AS total FROM ltall GROUP BY series, label),
 rng AS (SELECT series, label, total, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM lim),

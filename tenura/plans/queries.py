@@ -156,8 +156,7 @@ def target_distribution(spark, sf):
 
 @query
 def duplicate_rows(spark, sf):
-    lines = tables.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    return rounded(profiling.duplicate_rows(lines, exclude=["l_shipdate"]))
+    return rounded(profiling.duplicate_rows(tables.read(spark, sf, "documents"), exclude=["doc_id"]))
 
 
 @query
@@ -194,7 +193,7 @@ def corr_matrix_wide(spark, sf):
 @query
 def outlier_share(spark, sf):
     base = tables.customer_base(spark, sf)
-    return rounded(profiling.outlier_share(base, tables.BASE_NUMERIC, z=2.0))
+    return rounded(profiling.outlier_share(base, tables.BASE_NUMERIC))
 
 
 @query

@@ -29,7 +29,7 @@ class Settings:
     folds: int = models.CV_FOLDS
     metric_replicates: int = resampling.METRIC_REPLICATES
     difference_replicates: int = resampling.DIFFERENCE_REPLICATES
-    explain_rows: int = splitting.EXPLAIN_ROWS
+    explain_rows: int | None = None  #: rows to explain; None: all, so the riskiest customers are those of the whole table
     rules: dict = field(default_factory=dict)
 
 
@@ -190,7 +190,7 @@ def evaluate(spark: SparkSession, s: Settings, trained: dict[str, object]) -> Da
     )
     writers.write_report(report, f"{s.output}/final_evaluation")
     writers.write_predictions(segments.predictions_table(scored, "prob", "label", named), f"{s.output}/predictions")
-    sample = splitting.explanation_sample(trained["test"], s.explain_rows, id_name)
+    sample = trained["test"] if s.explain_rows is None else splitting.explanation_sample(trained["test"], s.explain_rows, id_name)
     if winner == comparison.COMPLEX:
         trees = attribution.ensemble_nodes(fitted.ensemble)
         contributions = attribution.tree_attribution(fitted.transform(sample), trees, fitted.inputs, row_id=id_name)
