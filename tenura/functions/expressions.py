@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -12,8 +13,19 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Cumulative Poisson(1) probabilities, P(X <= k) for k = 0..5.
-POISSON_ONE_CDF = (0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815)
+
+
+def _poisson_one_cdf() -> tuple[float, ...]:
+    """P(X <= k) of Poisson(1) for k = 0, 1, ... as long as a term still changes the sum."""
+    total, term, table = 0.0, math.exp(-1.0), []
+    while total + term > total:
+        total += term
+        table.append(total)
+        term /= len(table)
+    return tuple(table)
+
+
+POISSON_ONE_CDF = _poisson_one_cdf()
 
 # Coefficients of the Chebyshev fit of erfc (Numerical Recipes), constant term first.
 ERFC_FIT = (
@@ -74,6 +86,12 @@ def hash32(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *columns)), 1, 8), 16, 10).cast("bigint")
 
 
+def hash60(*parts: Column | str) -> Column:
+    """First fifteen hex digits of md5 over the ``:``-joined parts, as BIGINT in [0, 2^60)."""
+    columns = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *columns)), 1, 15), 16, 10).cast("bigint")
+
+
 def count_edges(value: Column, edges: tuple[float, ...], *, inclusive: bool) -> Column:
     """How many of a few fixed edges lie below ``value`` (or at it, when inclusive)."""
     hits = [((value >= e) if inclusive else (value > e)).cast("int") for e in edges]

@@ -146,6 +146,7 @@ def insight_features(rollup: DataFrame, labels: Mapping[str, str] = FEATURE_LABE
 def ensemble_nodes(model) -> list[dict]:
     """The fitted ensemble as plain arrays per tree: feature, threshold, categories, children, value, cover.
 
+    Values are log-odds: Spark's probability is 1 / (1 + exp(-2 * margin)), so a leaf counts twice.
     Spark keeps the training weight of a node as its impurity count; children are numbered in
     pre-order. The result is model-sized metadata.
     """
@@ -159,7 +160,7 @@ def ensemble_nodes(model) -> list[dict]:
             is_leaf = node.subtreeDepth() == 0
             cover = float(node.impurityStats().count())
             if is_leaf:
-                rows[at] = [-1, 0.0, None, -1, -1, float(node.prediction()) * weight, cover]
+                rows[at] = [-1, 0.0, None, -1, -1, 2.0 * float(node.prediction()) * weight, cover]
                 return at
             split = node.split()
             kind = split.getClass().getSimpleName()
@@ -210,7 +211,7 @@ def _subset_weights(m: int) -> np.ndarray:
 
 
 def attribute_batch(x: np.ndarray, trees: list[dict], n_features: int) -> tuple[np.ndarray, float]:
-    """Exact path-dependent Shapley values of a batch, and the expected margin.
+    """Exact path-dependent Shapley values of a batch, and the expected log-odds.
 
     For one leaf a feature is in the path with ``one`` = 1 when the row satisfies all its decisions
     and with ``zero`` = the training share that does. A leaf's worth for a coalition is the product
@@ -252,7 +253,7 @@ def attribute_batch(x: np.ndarray, trees: list[dict], n_features: int) -> tuple[
 def tree_attribution(
     df: DataFrame, trees: list[dict], features: list[str], *, vector: str = "features", row_id: str = "row_id"
 ) -> DataFrame:
-    """``row_id, feature, value`` in margin units for every row; the model ships with the tasks.
+    """``row_id, feature, value`` in log-odds for every row; the model ships with the tasks.
 
     Rows stay where they are: one Arrow batch in, one batch of contributions out.
     """

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenura.functions.expressions import POISSON_ONE_CDF, hash32, safe_div
+from tenura.functions.expressions import POISSON_ONE_CDF, hash60, safe_div
 from tenura.operators.metrics import f1_of
 from tenura.operators.ranking import (
     add_prefix_sums,
@@ -57,7 +57,7 @@ def multinomial_weights(df: DataFrame, replicates: int, row_id: str = "row_id")
     draws = df.sparkSession.range(replicates * n).select(
         F.coalesce(F.expr(f"cast(id div {n} as int)"), F.lit(0)).alias("b"), (F.col("id") % n).alias("i")
     )
-    drawn = draws.select("b", (hash32(F.col("b"), F.col("i")) % n).alias("pos"))
+    drawn = draws.select("b", (hash60(F.col("b"), F.col("i")) % n).alias("pos"))
     counted = drawn.groupBy("b", "pos").agg(F.count(F.lit(1)).alias("w"))
     return counted.join(positions, "pos").select("b", row_id, "w")
 

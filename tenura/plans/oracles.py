@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from tenura.functions.expressions import ERFC_FIT, POISSON_ONE_CDF
+from tenura.operators.correlation import COLLINEAR_ABOVE
 from tenura.operators.metrics import CALIBRATION_EDGES
 from tenura.operators.resampling import (
+    CURVE_REPLICATES,
+    DIFFERENCE_REPLICATES,
     HIGH_STEP,
+    METRIC_REPLICATES,
     METRICS,
     MODULUS,
     REPLICATE_STEP,
@@ -15,10 +19,8 @@ from tenura.operators.resampling import (
 )
 from tenura.plans.queries import (
     AREA_TO_STATE,
-    BOOTSTRAP_REPLICATES,
     CATEGORIES,
     COEFFICIENTS,
-    CURVE_REPLICATES,
     SCALED,
     THRESHOLDS,
 )
@@ -40,6 +42,10 @@ def h(key: str) -> str:
     return f"(('0x' || substr(md5({key}), 1, 8))::BIGINT)"
 
 
+def h60(key: str) -> str:
+    return f"(('0x' || substr(md5({key}), 1, 15))::BIGINT)"
+
+
 def names(columns: list[str]) -> str:
     return ", ".join(columns)
 
@@ -155,7 +161,7 @@ SEGMENTS = """SELECT p AS percent, any_value(n * p // 100) AS n_customers,
 
 def multinomial(replicates: int) -> str:
     return SCORES + f""",
-draws AS (SELECT id // n AS b, {h("concat(id // n, ':', id % n)")} % n AS p
+draws AS (SELECT id // n AS b, {h60("concat(id // n, ':', id % n)")} % n AS p
   FROM (SELECT count(*) AS n FROM scores), range({replicates} * (SELECT count(*) FROM scores)) t(id)),
 weights AS (SELECT b, p, count(*) AS w FROM draws GROUP BY b, p),
 weighted AS (SELECT b, series, value, label AS y, w FROM weights
@@ -168,16 +174,18 @@ def _fifth(x: str) -> str:
     return f"({square} * {square} % {MODULUS} * ({x}) % {MODULUS})"
 
 
-POISSON = SCORES + f""",
+def poisson(replicates: int) -> str:
+    return SCORES + f""",
 first_mix AS (SELECT row_id, b, ((row_id % {MODULUS}) * {ROW_STEP} + (b + 1) * {REPLICATE_STEP} + {WEIGHT_SEED}) % {MODULUS} AS x
-  FROM scores, range({BOOTSTRAP_REPLICATES}) t(b)),
+  FROM scores, range({replicates}) t(b)),
 first_power AS (SELECT row_id, b, {_fifth('x')} AS x FROM first_mix),
 second_mix AS (SELECT row_id, b, (x + (row_id // {MODULUS}) * {HIGH_STEP} + (b + 1) * {SECOND_STEP}) % {MODULUS} AS x FROM first_power),
 uniform AS (SELECT row_id, b, {_fifth('x')} / {MODULUS}::double AS u FROM second_mix),
-weights AS (SELECT row_id, b, {' + '.join(f'(u >= {c})::INT' for c in POISSON_ONE_CDF)} AS w FROM uniform),
+weights AS (SELECT row_id, b, {' + '.join(f'(u >= {c}::double)::INT' for c in POISSON_ONE_CDF)} AS w FROM uniform),
 weighted AS (SELECT b, series, value, label AS y, w FROM weights JOIN stall USING (row_id) WHERE w > 0)
 """
 
+
 WCUM = """,
 wcells AS (SELECT b, series, value, sum(w) AS n, sum(w * y) AS pos FROM weighted GROUP BY b, series, value),
 wcum AS (SELECT b, series, value, n::double AS n, pos::double AS pos, (n - pos)::double AS neg,
@@ -203,7 +211,7 @@ CI = f"""SELECT series, metric, {r('avg(v)')} AS mean, {r('quantile_cont(v, 0.02
 DIFF = f""",
 paired AS (SELECT b, max(auc_roc) FILTER (WHERE series = 'prob_gbm') - max(auc_roc) FILTER (WHERE series = 'prob_lr') AS d FROM reps GROUP BY b),
 diff AS (SELECT count(*) AS n_valid, avg(d) AS delta_auc_mean, quantile_cont(d, 0.025) AS ci_low, quantile_cont(d, 0.975) AS ci_high,
-    greatest(least(2 * least(avg((d <= 0)::INT), avg((d >= 0)::INT)), 1.0), 1.0 / {BOOTSTRAP_REPLICATES})::double AS p_value
+    greatest(least(2 * least(avg((d <= 0)::INT), avg((d >= 0)::INT)), 1.0), 1.0 / {DIFFERENCE_REPLICATES})::double AS p_value
   FROM paired WHERE d IS NOT NULL),
 tested AS (SELECT *, ci_low > 0 OR ci_high < 0 AS significant FROM diff)
 """
@@ -360,10 +368,10 @@ SELECT contact_pct, contacted, captured, {r('share')} AS capture_pct, {r('captur
 ORACLES["predictions_export"] = f"""WITH {SCORES} SELECT prob_gbm AS churn_probability, {', '.join(f'(prob_gbm >= {t})::INTEGER AS prediction_{k}' for k, t in THRESHOLDS.items())}, label AS true_label FROM scores"""
 ORACLES["top_customers"] = f"WITH {SCORES} SELECT row_id, prob_gbm FROM scores ORDER BY prob_gbm DESC, row_id LIMIT 100"
 
-ORACLES["bootstrap_ci"] = f"WITH {multinomial(BOOTSTRAP_REPLICATES)} {WMETRICS} {CI}"
-ORACLES["bootstrap_auc_diff"] = f"WITH {multinomial(BOOTSTRAP_REPLICATES)} {WMETRICS} {DIFF} {DIFF_OUT}"
-ORACLES["bootstrap_ci_poisson"] = f"WITH {POISSON} {WMETRICS} {CI}"
-ORACLES["bootstrap_auc_diff_poisson"] = f"WITH {POISSON} {WMETRICS} {DIFF} {DIFF_OUT}"
+ORACLES["bootstrap_ci"] = f"WITH {multinomial(METRIC_REPLICATES)} {WMETRICS} {CI}"
+ORACLES["bootstrap_auc_diff"] = f"WITH {multinomial(DIFFERENCE_REPLICATES)} {WMETRICS} {DIFF} {DIFF_OUT}"
+ORACLES["bootstrap_ci_poisson"] = f"WITH {poisson(METRIC_REPLICATES)} {WMETRICS} {CI}"
+ORACLES["bootstrap_auc_diff_poisson"] = f"WITH {poisson(DIFFERENCE_REPLICATES)} {WMETRICS} {DIFF} {DIFF_OUT}"
 ORACLES["roc_band"] = f"""WITH {multinomial(CURVE_REPLICATES)} {WCUM},
 curve AS (SELECT b, series, grid, (tp - pos + pos * (grid * all_neg / 99 - (seen - tp - neg)) / neg) / all_pos AS tpr
   FROM wcum JOIN range(100) t(grid) ON grid * all_neg >= 99 * (seen - tp - neg) AND grid * all_neg < 99 * (seen - tp) WHERE neg > 0 AND all_pos > 0
@@ -391,7 +399,7 @@ SELECT test, b, c, {r('chi2')} AS chi2, {r('p')} AS p_value, p < 0.05 AS signifi
 ORACLES["aligned_models"] = f"WITH {SCORES} SELECT row_id, label, prob_lr AS prob_1, prob_gbm AS prob_2 FROM scores"
 ORACLES["metric_comparison"] = f'WITH {HARD} {POINTS} SELECT metric, {r("first")} AS "first", {r("second")} AS "second", winner FROM versus'
 ORACLES["winner_counts"] = f"WITH {HARD} {POINTS} SELECT winner, count(*) AS n FROM versus GROUP BY winner"
-ORACLES["model_decision"] = f"""WITH {POISSON} {WMETRICS} {DIFF}, {HARD.replace(SCORES + ',', '')} {POINTS},
+ORACLES["model_decision"] = f"""WITH {poisson(DIFFERENCE_REPLICATES)} {WMETRICS} {DIFF}, {HARD.replace(SCORES + ',', '')} {POINTS},
 e AS (SELECT max(auc_roc) FILTER (WHERE series = 'prob_gbm') AS ac, max(auc_roc) FILTER (WHERE series = 'prob_lr') AS a_s,
     max(recall) FILTER (WHERE series = 'prob_gbm') - max(recall) FILTER (WHERE series = 'prob_lr') AS gain FROM points),
 d AS (SELECT CASE WHEN NOT significant AND gain > 0.03 THEN 'gradient_boosted_trees' WHEN NOT significant THEN 'logistic_regression'
@@ -469,6 +477,24 @@ k AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2
 SELECT count(*) AS n, {r(pearson('ra', 'rb'))} AS rho, CASE WHEN {pearson('ra', 'rb')} > 0.7 THEN 'agreement' ELSE 'disagreement' END AS agreement FROM k"""
 
 CLASSES = "count(*) AS n_rows, round_even(avg(label), 4) AS churn_rate, count(*) FILTER (WHERE label = 1) AS churn_count, count(*) FILTER (WHERE label = 0) AS no_churn_count"
+COLLINEAR = [*BASE_NUMERIC, "spend"]
+# The greedy rule as a recursion over the close pairs: its state is the list of dropped columns and whether the current
+# first column had been dropped before its own pairs began.
+ORACLES["multicollinear_drop"] = f"""WITH RECURSIVE {BASE}, wide AS (SELECT *, avg12 * 1.1 + acctbal * 0.5 AS spend FROM base),
+t AS (SELECT row_id, label, series, value FROM wide UNPIVOT (value FOR series IN ({names(COLLINEAR)}))),
+placed AS (SELECT t.*, list_position({COLLINEAR}, series) AS i FROM t),
+target AS (SELECT i, any_value(series) AS series, {pearson('value', 'label')} AS r FROM placed GROUP BY i),
+close AS (SELECT a.i AS first, b.i AS second FROM placed a JOIN placed b ON a.row_id = b.row_id AND a.i < b.i
+  GROUP BY a.i, b.i HAVING abs({pearson('a.value', 'b.value')}) > {COLLINEAR_ABOVE}),
+steps AS (SELECT row_number() OVER (ORDER BY first, second) AS k, first, second, abs(f.r) >= abs(s.r) AS keeps_first
+  FROM close JOIN target f ON f.i = first JOIN target s ON s.i = second),
+walk AS (SELECT 0::BIGINT AS k, 0::BIGINT AS current, false AS skip, []::BIGINT[] AS gone
+  UNION ALL SELECT k, first, skip, CASE WHEN skip OR list_contains(gone, second) THEN gone
+      WHEN keeps_first THEN list_append(gone, second) ELSE list_append(gone, first) END
+  FROM (SELECT s.k, s.first::BIGINT AS first, s.second::BIGINT AS second, s.keeps_first, w.gone,
+      CASE WHEN s.first = w.current THEN w.skip ELSE list_contains(w.gone, s.first::BIGINT) END AS skip
+    FROM walk w JOIN steps s ON s.k = w.k + 1))
+SELECT series AS "column", list_contains((SELECT gone FROM walk ORDER BY k DESC LIMIT 1), i::BIGINT) AS dropped, {r('r')} AS target_r FROM target"""
 ORACLES["preparation_report"] = f"""WITH {RULED},
 m AS (SELECT series, 1 - count(value)::double / count(*) AS rate FROM ruled UNPIVOT INCLUDE NULLS (value FOR series IN ({names(BASE_NUMERIC)})) GROUP BY series),
 kept AS (SELECT series, rate FROM m WHERE rate <= 0.5),
@@ -485,7 +511,7 @@ SELECT {CLASSES}, (SELECT sum(n) - count(*) FROM g)::BIGINT AS duplicate_row_cou
   (SELECT series FROM (SELECT series, {pearson('value', 'label')} AS r FROM tall GROUP BY series) ORDER BY abs(r) DESC, series LIMIT 1) AS strongest,
   (SELECT "column" FROM missing ORDER BY n_missing DESC LIMIT 1) AS most_missing,
   (SELECT max(k) FROM (SELECT count(DISTINCT category) AS k FROM cats GROUP BY feature)) AS most_values FROM base"""
-ORACLES["kpi_row"] = f"""WITH {POISSON} {WMETRICS}, {SWEEP.replace(SCORES + ',', '').replace('rated AS', 'trated AS').replace('FROM rated', 'FROM trated')}, {RANKED.replace(SCORES + ',', '')},
+ORACLES["kpi_row"] = f"""WITH {poisson(METRIC_REPLICATES)} {WMETRICS}, {SWEEP.replace(SCORES + ',', '').replace('rated AS', 'trated AS').replace('FROM rated', 'FROM trated')}, {RANKED.replace(SCORES + ',', '')},
 s AS ({SEGMENTS}),
 t AS (SELECT business_threshold AS bt FROM best WHERE series = 'prob_gbm'),
 bm AS (SELECT {div('count(*) FILTER (WHERE label = 1 AND prob_gbm >= bt)', 'count(*) FILTER (WHERE prob_gbm >= bt)')} AS precision_business,

@@ -29,8 +29,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 PROBS = ["prob_lr", "prob_gbm"]
-BOOTSTRAP_REPLICATES = 50
-CURVE_REPLICATES = 20
 CATEGORIES = ["area", "nation", "segment"]
 THRESHOLDS = {"0_5": 0.5, "best_f1": 0.45, "business": 0.55}
 COEFFICIENTS = {"acctbal": 0.0001, "avg12": -0.000004, "n_orders": -0.08, "returned": 0.03, "idle_days": 0.002}
@@ -351,45 +349,45 @@ def _multinomial(spark, sf, replicates: int) -> DataFrame:
 
 @query
 def bootstrap_ci(spark, sf):
-    replicates = resampling.replicate_metrics(_multinomial(spark, sf, BOOTSTRAP_REPLICATES))
+    replicates = resampling.replicate_metrics(_multinomial(spark, sf, resampling.METRIC_REPLICATES))
     return rounded(resampling.confidence_intervals(replicates))
 
 
 @query
 def bootstrap_auc_diff(spark, sf):
-    replicates = resampling.replicate_metrics(_multinomial(spark, sf, BOOTSTRAP_REPLICATES))
-    return rounded(resampling.auc_difference(replicates, "prob_gbm", "prob_lr", BOOTSTRAP_REPLICATES))
+    replicates = resampling.replicate_metrics(_multinomial(spark, sf, resampling.DIFFERENCE_REPLICATES))
+    return rounded(resampling.auc_difference(replicates, "prob_gbm", "prob_lr", resampling.DIFFERENCE_REPLICATES))
 
 
-def _poisson(spark, sf) -> DataFrame:
-    return resampling.poisson_replicate_metrics(tables.scores(spark, sf), PROBS, "label", BOOTSTRAP_REPLICATES)
+def _poisson(spark, sf, replicates: int) -> DataFrame:
+    return resampling.poisson_replicate_metrics(tables.scores(spark, sf), PROBS, "label", replicates)
 
 
 @query
 def bootstrap_ci_poisson(spark, sf):
-    return rounded(resampling.confidence_intervals(_poisson(spark, sf)))
+    return rounded(resampling.confidence_intervals(_poisson(spark, sf, resampling.METRIC_REPLICATES)))
 
 
 @query
 def bootstrap_auc_diff_poisson(spark, sf):
-    return rounded(resampling.auc_difference(_poisson(spark, sf), "prob_gbm", "prob_lr", BOOTSTRAP_REPLICATES))
+    return rounded(resampling.auc_difference(_poisson(spark, sf, resampling.DIFFERENCE_REPLICATES), "prob_gbm", "prob_lr", resampling.DIFFERENCE_REPLICATES))
 
 
 @query
 def roc_band(spark, sf):
-    curves = resampling.roc_curves(_multinomial(spark, sf, CURVE_REPLICATES))
+    curves = resampling.roc_curves(_multinomial(spark, sf, resampling.CURVE_REPLICATES))
     return rounded(resampling.curve_band(curves, "tpr"))
 
 
 @query
 def pr_band(spark, sf):
-    curves = resampling.pr_curves(_multinomial(spark, sf, CURVE_REPLICATES))
+    curves = resampling.pr_curves(_multinomial(spark, sf, resampling.CURVE_REPLICATES))
     return rounded(resampling.curve_band(curves, "precision"))
 
 
 @query
 def gain_band(spark, sf):
-    curves = resampling.gain_curves(_multinomial(spark, sf, CURVE_REPLICATES))
+    curves = resampling.gain_curves(_multinomial(spark, sf, resampling.CURVE_REPLICATES))
     return rounded(resampling.curve_band(curves, "captured"))
 
 
@@ -432,7 +430,7 @@ def winner_counts(spark, sf):
 
 @query
 def model_decision(spark, sf):
-    diff = resampling.auc_difference(_poisson(spark, sf), "prob_gbm", "prob_lr", BOOTSTRAP_REPLICATES)
+    diff = resampling.auc_difference(_poisson(spark, sf, resampling.DIFFERENCE_REPLICATES), "prob_gbm", "prob_lr", resampling.DIFFERENCE_REPLICATES)
     value = lambda s, m: F.max(F.when((F.col("series") == s) & (F.col("metric") == m), F.col("mean")))
     points = _point_values(spark, sf).agg(
         value("prob_gbm", "auc_roc").alias("auc_complex"), value("prob_lr", "auc_roc").alias("auc_simple"),
@@ -499,10 +497,9 @@ def robust_scale(spark, sf):
 def multicollinear_drop(spark, sf):
     base = base_of(spark, sf).withColumn("spend", F.col("avg12") * 1.1 + F.col("acctbal") * 0.5)
     columns = [*tables.BASE_NUMERIC, "spend"]
-    dropped = correlation.multicollinear_columns(base, columns, "label", above=0.60)
-    return base.select("row_id", *[c for c in columns if c not in dropped]).unpivot(
-        "row_id", [c for c in columns if c not in dropped], "column", "value"
-    ).groupBy("column").agg(F.count("value").alias("n"))
+    dropped = correlation.multicollinear_columns(base, columns, "label")
+    target = correlation.correlation_with_target(base, columns, "label")
+    return rounded(target.select(F.col("series").alias("column"), F.col("series").isin(*dropped).alias("dropped"), F.col("r").alias("target_r")))
 
 
 # ---- explanations ------------------------------------------------------------------------------
@@ -593,14 +590,14 @@ def gbt_scores(spark, sf):
 @query
 def cv_summary(spark, sf):
     train, _, columns = _parts(spark, sf)
-    folds = models.out_of_fold(train, lambda t: models.fit_linear(t, columns), 3)
-    return models.cv_summary(models.fold_metrics(folds, k=3))
+    folds = models.out_of_fold(train, lambda t: models.fit_linear(t, columns), models.CV_FOLDS)
+    return models.cv_summary(models.fold_metrics(folds, k=models.CV_FOLDS))
 
 
 @query
 def oof_thresholds(spark, sf):
     train, _, columns = _parts(spark, sf)
-    return models.select_thresholds(train, lambda t: models.fit_linear(t, columns), 3)
+    return models.select_thresholds(train, lambda t: models.fit_linear(t, columns), models.CV_FOLDS)
 
 
 @query
@@ -649,7 +646,7 @@ def kpi_row(spark, sf):
     scored = tables.scores(spark, sf)
     one = ["prob_gbm"]
     intervals = resampling.confidence_intervals(
-        resampling.poisson_replicate_metrics(scored, one, "label", BOOTSTRAP_REPLICATES), ("auc_roc",)
+        resampling.poisson_replicate_metrics(scored, one, "label", resampling.METRIC_REPLICATES), ("auc_roc",)
     )
     best = metrics.best_thresholds(metrics.threshold_sweep(scored, one, "label"))
     cut = best.select("business_threshold").scalar()

@@ -60,10 +60,10 @@ def test_tree_attribution_is_exact(spark, customers):
     sample = fitted.transform(customers.where("row_id < 25"))
     parts = attribution.tree_attribution(sample, trees, fitted.inputs).toPandas()
     sums = parts.groupby("row_id").value.sum() + attribution.expected_margin(trees)
-    # Spark's raw prediction is twice the margin, probability 1 / (1 + exp(-2 margin)).
+    # Values are log-odds.
     prob = {r["row_id"]: r["p"] for r in sample.select("row_id", vector_to_array("probability")[1].alias("p")).collect()}
     for i in sums.index:
-        assert math.isclose(1 / (1 + math.exp(-2 * sums[i])), prob[i], abs_tol=1e-9)
+        assert math.isclose(1 / (1 + math.exp(-sums[i])), prob[i], abs_tol=1e-9)
     # Brute force over coalitions for one row and one tree.
     tree = trees[0]
     x = np.array(sample.select(vector_to_array("features")).where("row_id = 7").first()[0])
