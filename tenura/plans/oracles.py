@@ -259,14 +259,6 @@ FROM (SELECT row_id, series, value FROM base UNPIVOT INCLUDE NULLS (value FOR se
 WHERE series IN (SELECT "column" FROM missing WHERE n_missing::double / n_rows > 0.2 AND n_missing::double / n_rows <= 0.5)"""
 ORACLES["usage_features"] = f"WITH {BASE} SELECT row_id, {r('avg6 - avg12')} AS usage_delta, {r('returned / (placed + 1)')} AS drop_rate, CAST(idle_days > 500 AS double) AS old_phone FROM base"
 ORACLES["category_normalise"] = f"WITH {RAW} SELECT row_id, upper(trim(segment)) AS kept_null, coalesce(upper(trim(segment)), 'NAN') AS null_as_category, coalesce(segment, 'MISSING') AS filled FROM raw"
-ORACLES["retention_flags"] = f"""WITH {BASE},
-feat AS (SELECT row_id, segment, idle_days, avg12, n_orders, avg6 - avg12 AS delta, returned / (placed + 1) AS drop_rate FROM base),
-seg AS (SELECT segment, avg(drop_rate) AS segment_drop, quantile_cont(avg12, 0.5) AS segment_median FROM feat GROUP BY segment)
-SELECT row_id, segment, coalesce((idle_days > 500)::INTEGER, 0) AS device_upgrade, coalesce((delta < 0)::INTEGER, 0) AS usage_outreach,
-  coalesce((drop_rate > segment_drop)::INTEGER, 0) AS service_quality, coalesce((avg12 < segment_median)::INTEGER, 0) AS low_engagement,
-  coalesce((n_orders < 12)::INTEGER, 0) AS early_lifecycle, coalesce((delta < 0)::INTEGER, 0) AS revenue_review
-FROM feat JOIN seg USING (segment)"""
-
 ORACLES["source_checks"] = f"WITH {BASE} SELECT count(*) AS n_rows, count(*) FILTER (WHERE label IS NULL) AS n_null_target, count(DISTINCT label) AS n_classes FROM base"
 ORACLES["target_distribution"] = f"WITH {BASE} SELECT v AS label, count(label) AS n, {r('count(label)::double / (SELECT count(*) FROM base)')} AS share FROM (VALUES (0), (1)) t(v) LEFT JOIN base ON label = v GROUP BY v"
 ORACLES["duplicate_rows"] = f"""WITH g AS (SELECT text, lang, source, n_chars, count(*) AS n FROM documents GROUP BY ALL)
@@ -458,6 +450,18 @@ drv AS (SELECT rank::INTEGER AS rank, row_id, round_even(prob, 4) AS churn_proba
     CASE WHEN value > 0 THEN 'increases_churn' ELSE 'decreases_churn' END AS direction
   FROM con JOIN top USING (row_id) QUALIFY place <= 3)
 """
+ORACLES["retention_flags"] = f"""WITH {BASE}, {CONTRIB},
+history AS (SELECT o_custkey AS row_id, max(age) // 30 AS months, sum(CASE WHEN age <= 180 THEN o_totalprice ELSE 0 END)
+    - sum(CASE WHEN age > 180 AND age <= 360 THEN o_totalprice ELSE 0 END) AS revenue_delta
+  FROM (SELECT o_custkey, o_totalprice, date_diff('day', o_orderdate, c) AS age FROM orders, cut) WHERE age > 0 GROUP BY o_custkey),
+risk AS (SELECT row_id, row_number() OVER (ORDER BY 1.0 / (1.0 + exp(-sum(value))) DESC, row_id) AS rank, count(*) OVER () AS n FROM con GROUP BY row_id),
+feat AS (SELECT row_id, segment, idle_days, avg12, avg6 - avg12 AS delta, returned / (placed + 1) AS drop_rate FROM base),
+seg AS (SELECT segment, avg(drop_rate) AS segment_drop, quantile_cont(avg12, 0.5) AS segment_median FROM feat GROUP BY segment)
+SELECT row_id, segment, coalesce((idle_days > 500)::INTEGER, 0) AS device_upgrade, coalesce((delta < 0)::INTEGER, 0) AS usage_outreach,
+  coalesce((drop_rate > segment_drop)::INTEGER, 0) AS service_quality, coalesce((avg12 < segment_median)::INTEGER, 0) AS low_engagement,
+  coalesce((months < 12)::INTEGER, 0) AS early_lifecycle, coalesce((revenue_delta < 0)::INTEGER, 0) AS revenue_review,
+  coalesce((rank * 100 <= n * 10)::INTEGER, 0) AS priority_contact
+FROM feat JOIN seg USING (segment) LEFT JOIN history USING (row_id) LEFT JOIN risk USING (row_id)"""
 ORACLES["linear_attribution"] = f"WITH {BASE}, {CONTRIB} SELECT row_id, feature, {r('value')} AS value FROM con"
 ORACLES["global_importance"] = f"""WITH {BASE}, {CONTRIB} SELECT feature, {r('avg(abs(value))')} AS importance, {r('avg(value)')} AS mean_value FROM con GROUP BY feature"""
 ORACLES["waterfall"] = f"""WITH {BASE}, {CONTRIB}, s AS (SELECT row_id, row_number() OVER w AS step, feature, value, sum(value) OVER (w ROWS UNBOUNDED PRECEDING) AS e

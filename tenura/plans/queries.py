@@ -16,6 +16,7 @@ from tenura.operators import (
     metrics,
     models,
     profiling,
+    ranking,
     resampling,
     segments,
     splitting,
@@ -134,8 +135,11 @@ def category_normalise(spark, sf):
 def retention_flags(spark, sf):
     base = base_of(spark, sf)
     built, _ = features.usage_features(base, tables.USAGE)
+    risk = ranking.rank_rows(attribution.linear_scores(base, COEFFICIENTS), "prob", "row_id").select("row_id", "rank")
+    known = built.join(tables.customer_history(spark, sf), "row_id", "left").join(risk, "row_id", "left")
     return features.retention_flags(
-        built, device_days="idle_days", delta="usage_delta", usage="avg12", months="n_orders", revenue_delta="usage_delta"
+        known, device_days="idle_days", delta="usage_delta", usage="avg12", months="months", revenue_delta="revenue_delta",
+        risk_rank="rank",
     )
 
 

@@ -81,6 +81,19 @@ def customer_base(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def customer_history(spark: SparkSession, folder: str) -> DataFrame:
+    """``row_id, months, revenue_delta`` of customers with orders: months of 30 days since the first order, and the
+    change of revenue from the half year before the last one before the cut. Summed map-side per customer."""
+    orders = read(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    cut = orders.agg((F.max("o_orderdate") - F.expr("interval '180' day")).alias("c")).scalar()
+    dated = orders.withColumn("age", F.datediff(cut, F.col("o_orderdate"))).where("age > 0")
+    recent, earlier = F.col("age") <= 180, (F.col("age") > 180) & (F.col("age") <= 360)
+    spent = lambda when: F.sum(F.when(when, F.col("o_totalprice")).otherwise(0))
+    return dated.groupBy(F.col("o_custkey").alias("row_id")).agg(
+        F.floor(F.max("age") / 30).alias("months"), (spent(recent) - spent(earlier)).alias("revenue_delta")
+    )
+
+
 def prepared(base: DataFrame, roles: Roles = BASE_ROLES) -> tuple[DataFrame, dict]:
     """Domain rules, sparse columns out, missing flags, usage features; plus what was decided.
 
