@@ -576,9 +576,6 @@ def _parts(spark, sf) -> tuple[DataFrame, DataFrame, models.Columns]:
     return side("train"), side("test"), _model_columns(prepared)
 
 
-QUICK = models.BoostedParams(n_trees=10, max_depth=4, learning_rate=0.1)
-
-
 @query
 def lr_scores(spark, sf):
     train, test, columns = _parts(spark, sf)
@@ -588,7 +585,7 @@ def lr_scores(spark, sf):
 @query
 def gbt_scores(spark, sf):
     train, test, columns = _parts(spark, sf)
-    return models.fit_boosted(train, columns, QUICK).score(test)
+    return models.fit_boosted(train, columns).score(test)
 
 
 @query
@@ -607,13 +604,13 @@ def oof_thresholds(spark, sf):
 @query
 def search_trials(spark, sf):
     train, _, columns = _parts(spark, sf)
-    return models.search_boosted(train, columns, models.search_trials(2, base=QUICK), 2)
+    return models.search_boosted(train, columns, models.search_trials(models.SEARCH_TRIALS), models.SEARCH_FOLDS)
 
 
 @query
 def tree_attribution(spark, sf):
     train, test, columns = _parts(spark, sf)
-    fitted = models.fit_boosted(train, columns, QUICK)
+    fitted = models.fit_boosted(train, columns)
     trees = attribution.ensemble_nodes(fitted.ensemble)
     return attribution.tree_attribution(fitted.transform(test), trees, fitted.inputs)
 
