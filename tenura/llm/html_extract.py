@@ -28,7 +28,8 @@ from .common import pieces
 SAMPLE_PAGES, SAMPLE_CHARS = 600, 200_000
 SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|template|svg|select|iframe|object|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S | re.I)
 NAMING = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
 #: What the start of a tag closes: an open element of the first set, up to one of the second.
@@ -90,13 +91,25 @@ def parse(source: str) -> Page:
             _close(page, stack, {"p"}, {"div", "article", "section", "td", "li", "body", "main", "blockquote"})
         attributes = m[4] or ""
         names = " ".join(a or b or c for a, b, c in NAMING.findall(attributes)) if "=" in attributes else ""
-        add(tag, re.sub(r"[_-]+|(?<=[a-z])(?=[A-Z])", " ", names), "", page.hidden[stack[-1]] or bool(attributes and HIDDEN.search(attributes)))
+        add(tag, re.sub(r"[_-]+|(?<=[a-z])(?=[A-Z])", " ", names), "", page.hidden[stack[-1]] or _hides(attributes))
         if tag not in VOID and not attributes.rstrip().endswith("/"):
             stack.append(len(page.tag) - 1)
     run(source[last:])
     return page
 
 
+def _hides(attributes: str) -> bool:
+    """A hidden attribute, aria-hidden="true" or a style with display:none; of repeated attributes the first counts."""
+    lower = attributes.lower()
+    if "hidden" not in lower and "display" not in lower:
+        return False
+    found: dict[str, str] = {}
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        found.setdefault(name.lower(), html.unescape(a or b or c))
+    shown = sorted(DISPLAY.findall(re.sub(r"/\*.*?\*/", " ", found.get("style", ""), flags=re.S)), key=lambda x: x[1] != "")
+    return "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or bool(shown and shown[-1][0].lower() == "none")
+
+
 def _close(page: Page, stack: list[int], tags: set[str], until: set[str], every: bool = False) -> None:
     """Leave the innermost open element of ``tags`` (with ``every`` also those around it), but none of ``until``."""
     depth = len(stack) - 1
