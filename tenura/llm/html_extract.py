@@ -26,7 +26,8 @@ from .common import pieces
 
 #: Pages that training reads at most, in the order of a hash of their ids, and the largest of them.
 SAMPLE_PAGES, SAMPLE_CHARS = 600, 200_000
-SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|template|svg|select|iframe|object|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S | re.I)
+#: Elements whose content is no text go whole, up to their end tag; one that closes itself holds nothing.
+SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|template|svg|select|iframe|object|title)(?=[\s/>])(?:(?:[^<>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>|[^>]*>.*?(?:</\1\s*>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S | re.I)
 NAMING = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)

@@ -27,3 +27,21 @@ def test_visible_wrappers_keep_their_text(attributes):
 ])
 def test_hidden_wrappers_give_nothing(attributes):
     assert main_text(f"<html><body><div {attributes}>{ARTICLE}</div></body></html>") == ""
+
+
+@pytest.mark.parametrize("tag", [
+    '<svg class="i"/>', "<svg/>", "<svg />", '<svg aria-label="a > b"/>', "<svg class=i/>", '<SVG hidden\n/>', "<template/>", '<object data="x"/>', "<title/>", '<iframe src="x"/>',
+    "<title-bar>", '<select-box class="x">', "<object-view></object-view>", "<svg-icon/>",
+])
+def test_self_closed_and_custom_elements_swallow_nothing(tag):
+    name = tag.strip("<>").split()[0].split(">")[0].rstrip("/")
+    assert main_text(f"<html><body>{tag}{ARTICLE}</body></html>") == TEXT
+    assert main_text(f"<html><body>{tag}{ARTICLE}<{name}>x</{name}></body></html>").startswith(TEXT)
+
+
+@pytest.mark.parametrize("element", [
+    "<svg>words</svg>", '<svg class="i"><path d="m"/>words</svg>', "<script>if (a < b) words()</script>", '<iframe src="a/b">words</iframe>',
+    '<select\nname="x"><option>words</option></select >', '<object data="/">words</object>', '<svg data-x="/>">words</svg>', "<TITLE>words</title>",
+])
+def test_whole_elements_are_still_left_out(element):
+    assert main_text(f"<html><body>{element}{ARTICLE}</body></html>") == TEXT
