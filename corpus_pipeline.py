@@ -12,7 +12,7 @@ from tenura.llm import toxicity
 from tenura.llm.bpe import bpe_round_trip
 from tenura.llm.common import table, written
 from tenura.llm.decontamination import without_leaks
-from tenura.llm.ngram_join import ngram_jaccard
+from tenura.llm.ngram_join import ngram_jaccard, with_signatures
 from tenura.llm.pii import masked
 from tenura.llm.queries import tokenizer
 
@@ -23,19 +23,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group that five-word shingles link at 0.8: the smallest id; of equal ids the first text.
+    """One row of each group that five-word shingles link at 0.8: the smallest id; of equal ids the smallest text.
 
-    Rows without an id or without words are in no group and stay.
+    Rows without an id or without words are in no group and stay, and so does a further text under the same id that is
+    no near duplicate of anything.
     """
-    found = ngram_jaccard(docs, words=5, num=80, den=100)
-    gone = written(found.where("doc_id <> component_id").select("doc_id").distinct())
+    found = written(ngram_jaccard(docs, words=5, num=80, den=100, nodes=True))
+    repeated = written(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    gone = written(found.where("doc_id <> component_id").select("doc_id").join(repeated, "doc_id", "left_anti").distinct())
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = written(found.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     if repeated.isEmpty():
         return kept
-    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    again = kept.join(repeated, "doc_id", "left_semi")
-    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(again.where(words).dropDuplicates(["doc_id"])).unionByName(again.where(~words | words.isNull())).select(docs.columns)
+    # where an id stands on several rows, each is decided by the set of its own text
+    again = with_signatures(docs.join(repeated, "doc_id", "left_semi").select(docs.columns), 5, "__node")
+    named = found.where("doc_id = component_id and n_shingles > 0").join(repeated, "doc_id", "left_semi")
+    named = named.select(F.col("doc_id").alias("__id"), F.col("node").alias("__set"), F.col("component").alias("__component")).distinct()
+    own = again.join(named, (F.col("doc_id") == F.col("__id")) & (F.col("__node") == F.col("__set")))
+    order = ["text", *[c for c in docs.columns if c != "text"]]
+    firsts = own.groupBy("__component").agg(F.min(F.struct(*order)).alias("__row")).select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    single = kept.join(repeated, "doc_id", "left_anti").select(docs.columns)
+    return single.unionByName(firsts).unionByName(again.where("__node = 0").select(docs.columns))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import drop_written, flat_bytes, pieces, sorted_groups, written
 from .components import components
@@ -341,8 +342,8 @@ def _block_links(crowded: DataFrame, classes: DataFrame, texts: DataFrame, words
     return dealt.mapInArrow(_blocks(num, den), "a long, b long")
 
 
-def ngram_jaccard(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: linked where den * |intersection| >= num * |union|.
+def ngram_jaccard(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, id_column: str = "doc_id", text_column: str = "text", nodes: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row, with ``nodes`` also the set's signature and its component: linked where den * |intersection| >= num * |union|.
 
     Texts that are null, empty or without words have no shingles and link with nothing (component_id is the row's own
     id). A null id has a null component and joins none. Repeated ids are separate rows of equal ids; other columns are
@@ -384,6 +385,17 @@ def ngram_jaccard(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100
     linked = classes.select("id", "node").join(components(first.unionByName(second).unionByName(third)), "node", "left").select("id", "node", F.coalesce("component", "node").alias("component"))
     linked = written(linked)
     named = linked.groupBy("component").agg(F.min("id").alias("component_id"))
-    out = rows.select("id", "n", "node").join(linked.join(named, "component").select("node", "component_id"), "node", "left")
+    out = rows.select("id", "n", "node").join(linked.join(named, "component").select("node", "component", "component_id"), "node", "left")
     own = F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component_id"))).otherwise(F.col("id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), own.alias("component_id"), *(["node", "component"] if nodes else []))
+
+
+def with_signatures(docs: DataFrame, words: int, output: str) -> DataFrame:
+    """The input's columns and the signature of each text's set; 0 for texts without words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in pieces(batches, "text", 4 << 20):
+            own = pa.array([signature(s) for s in shingle_sets(texts, words)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, output])
+
+    return docs.mapInArrow(work, StructType([*docs.schema.fields, StructField(output, LongType())]))
