@@ -28,4 +28,7 @@ def rows():
     return collect
 
 
-TINY = "/root/testdata/sf0.001"
+@pytest.fixture(scope="session")
+def tiny():
+    """The folder of the smallest test tables."""
+    return "/root/testdata/sf0.001"

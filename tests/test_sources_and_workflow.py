@@ -7,8 +7,6 @@ from tenura.plans import tables, workflow
 from tenura.roles import Roles
 from tenura.sources import readers, writers
 
-from conftest import TINY
-
 
 def test_delimited_scan(spark, tmp_path):
     (tmp_path / "in.csv").write_text("a;b;churn\n1,5;NA;0\nn/a;x;1\n;null;1\n")
@@ -49,9 +47,9 @@ def test_run_log_never_blocks(spark, tmp_path):
     writers.RunLog(spark, "nosuchscheme://x", "broken").log("tag", {"a": "b"})
 
 
-def test_both_runs_end_to_end(spark, tmp_path):
+def test_both_runs_end_to_end(spark, tmp_path, tiny):
     """Delimited text in, every output out."""
-    base = tables.customer_base(spark, TINY).where(F.col("area").isNotNull())
+    base = tables.customer_base(spark, tiny).where(F.col("area").isNotNull())
     comma = lambda c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(","))
     text = base.select(
         F.concat(F.lit("C"), F.col("row_id").cast("string")).alias("Customer_ID"),
