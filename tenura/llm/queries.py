@@ -14,6 +14,7 @@ from .embedding_join import near_vectors
 from .ngram_join import ngram_jaccard
 from .pii import find_personal_data
 from .repeats import remove_repeats
+from .spelling import spelling_variants, spelling_variants_sql
 from .token_counts import token_counts
 from .url_filter import url_filter, url_filter_sql
 
@@ -66,5 +67,10 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op4_near_vectors, op5_personal_data, op6_html_extraction, op7_url_filter, op8_ngram_jaccard, op9_suffix_repeats, op10_bpe)}
-ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql()}
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op4_near_vectors, op5_personal_data, op6_html_extraction, op7_url_filter, op8_ngram_jaccard, op9_suffix_repeats, op10_bpe,
+    op11_spelling_variants)}
+ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql(), "op11_spelling_variants": spelling_variants_sql()}
