@@ -2,11 +2,12 @@
 
 1. Runs of letters are counted in SQL functions; a variant of a run loses one letter by a checksum of document and run.
 2. One inserted, deleted or replaced letter moves the vector of letter counts by a squared distance of one (lengths one
-   apart) or two (equal lengths). Words are dealt into blocks by length and by how many letters of each of three groups
-   they have: near words lie in the same block or in one of twelve neighbours, so no two other blocks ever meet.
-3. A task has a tile of each of two blocks; the product of their count matrices gives all squared distances. Pairs at most
-   two apart are verified letter by letter. Tiles have a bounded number of letters, whatever the size of a block.
-4. Each tile pair gives one row for each word that has neighbours (how many, and the most frequent), not the pairs.
+   apart) or two (equal lengths). Words are dealt into blocks by length and by how many letters of two groups they have:
+   near words lie in the same block or in one of twelve neighbours, so no two other blocks ever meet.
+3. A task has a tile of a block and a chunk of the block and its six followers; the products of their count matrices give
+   all squared distances. Pairs at most two apart are verified letter by letter. Tiles and chunks have a bounded number
+   of letters, whatever the size of a block.
+4. Each tile gives one row for each word that has neighbours (how many, and the most frequent), not the pairs.
 5. Forms are followed to the last by pointer jumping: counts grow tenfold a step, so five rounds reach any end.
 """
 
@@ -21,15 +22,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import drop_written, sorted_groups, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Letters: a-z and U+00C0 to U+00FF; the group of a letter is its code point modulo 3.
+#: Letters: a-z and U+00C0 to U+00FF; the group of a letter is its code point modulo 4.
 LETTERS = LOWER + "".join(map(chr, range(0xC0, 0x100)))
-GROUPS = ["".join(c for c in LETTERS if ord(c) % 3 == g) for g in range(3)]
-#: From a block to the neighbours that follow it: change of length and of the letters of the first two groups.
+GROUPS = ["".join(c for c in LETTERS if ord(c) % 4 == g) for g in range(4)]
+#: From a block to itself and the neighbours that follow it: change of length and of the letters of the first two groups.
 STEPS = [(0, 0, 0), (0, 1, -1), (0, 1, 0), (0, 0, 1), (1, 1, 0), (1, 0, 1), (1, 0, 0)]
 #: Words of a tile at most, its letters at most, and letters of candidate pairs verified at once.
 TILE_WORDS, TILE_LETTERS, VERIFY_LETTERS = 2048, 1 << 20, 1 << 21
 BLOCK = ["length", "g0", "g1"]
-KEYS = [*BLOCK, "step", "i", "j"]
+KEYS = [*BLOCK, "i", "j"]
+#: Mark of the words of a block as rows of its products; as columns they carry the number of the step.
+OWN = -1
 
 
 def word_counts(docs: DataFrame, least_length: int, least_count: int, every: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -50,11 +53,11 @@ def _letters(words: list[str]) -> np.ndarray:
 
 
 def _letter_counts(letters: np.ndarray) -> np.ndarray:
-    """How often each word has each letter. Squared lengths must be exact: from 2,896 letters on, in double precision."""
+    """How often each word has each letter. Distances must be exact: from 2,048 letters on, in double precision."""
     rows, length = letters.shape
     index = np.where(letters < 0xC0, letters - 97, letters.astype(np.int64) - 0xC0 + 26)
     flat = (np.arange(rows)[:, None] * len(LETTERS) + index).ravel()
-    return np.bincount(flat, minlength=rows * len(LETTERS)).reshape(rows, -1).astype(np.float32 if length * length < 1 << 23 else np.float64)
+    return np.bincount(flat, minlength=rows * len(LETTERS)).reshape(rows, -1).astype(np.float32 if length < 2048 else np.float64)
 
 
 def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -67,27 +70,37 @@ def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return before + after >= n
 
 
-def near_pairs(a: list[str], b: list[str] | None) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in a and b of the words one edit apart (b None: of a and a, each pair once)."""
-    left = _letters(a)
-    right = left if b is None else _letters(b)
-    x = _letter_counts(left)
-    y = x if b is None else _letter_counts(right).astype(x.dtype)
-    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
-    found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def near_pairs(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in a and b of the words one edit apart; words of a have one length, words of b that or one more."""
+    none = np.zeros(0, np.int64)
+    if not a or not b:
+        return none, none
+    left, right = _letters(a), _letters(b)
+    x, y = _letter_counts(left), _letter_counts(right)
+    # sorted by the letters of one more group, which differ by at most one as well
+    inner = [sum(counts[:, LETTERS.index(c)] for c in GROUPS[2]) for counts in (x, y)]
+    of_a, of_b = (np.argsort(k, kind="stable") for k in inner)
+    x, y, inner = x[of_a], y[of_b], [inner[0][of_a], inner[1][of_b]]
+    both = x.any(axis=0) & y.any(axis=0)
+    ones = [np.ones((len(m), 1), x.dtype) for m in (x, y)]
+    # rows extended so that their product is the squared distance
+    x = np.concatenate([x[:, both], (x * x).sum(axis=1, keepdims=True), ones[0]], axis=1)
+    y = np.concatenate([-2 * y[:, both], ones[1], (y * y).sum(axis=1, keepdims=True)], axis=1).astype(x.dtype)
+    found_a, found_b = [none], [none]
     at_once = max(1, VERIFY_LETTERS // left.shape[1])
-    for start in range(0, len(x), 512):
-        gram = x[start : start + 512] @ y.T
-        apart = xx[start : start + 512, None] + yy[None, :] - 2 * gram
-        i, j = np.nonzero((apart <= 2) & (apart > 0))  # anagrams are at distance zero and never one edit apart
-        i += start
-        if b is None:
-            i, j = i[i < j], j[i < j]
-        for k in range(0, len(i), at_once):
-            p, q = i[k : k + at_once], j[k : k + at_once]
-            ok = _one_edit(left[p], right[q])
-            found_a.append(p[ok])
-            found_b.append(q[ok])
+    values, starts = np.unique(inner[0], return_index=True)
+    for value, start, end in zip(values, starts, np.append(starts[1:], len(x)), strict=True):
+        low, high = np.searchsorted(inner[1], [value - 1, value + 2])
+        for strip in range(start, end if high > low else start, 256):
+            apart = x[strip : min(strip + 256, end)] @ y[low:high].T
+            close = np.flatnonzero(apart <= 2)
+            close = close[apart.ravel()[close] > 0]  # anagrams are at distance zero and never one edit apart
+            i, j = of_a[strip + close // (high - low)], of_b[low + close % (high - low)]
+            for k in range(0, len(i), at_once):
+                p, q = i[k : k + at_once], j[k : k + at_once]
+                ok = _one_edit(left[p], right[q])
+                found_a.append(p[ok])
+                found_b.append(q[ok])
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
@@ -107,40 +120,46 @@ def _best(words: list[str], counts: np.ndarray, a: np.ndarray, b: np.ndarray) ->
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in sorted_groups(batches, KEYS):
-        words, counts = group.column("word").to_pylist(), group.column("n").to_numpy()
-        side = group.column("side").to_numpy()
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        alone = group.column("step")[0].as_py() == 0 and group.column("i")[0] == group.column("j")[0]
-        if not len(left) or not (alone or len(right)):
-            continue
-        a, b = near_pairs([words[i] for i in left], None if alone else [words[i] for i in right])
-        yield _best(words, counts, left[a], (left if alone else right)[b])
+        words, counts, step = group.column("word").to_pylist(), group.column("n").to_numpy(), group.column("step").to_numpy()
+        own = np.flatnonzero(step == OWN)
+        found_a, found_b = [own[:0]], [own[:0]]
+        for s in np.unique(step[step != OWN]):
+            other = np.flatnonzero(step == s)
+            a, b = near_pairs([words[i] for i in own], [words[i] for i in other])
+            a, b = own[a], other[b]
+            if s == 0:  # the block itself: each pair once
+                once = np.array([words[i] < words[j] for i, j in zip(a, b, strict=True)], bool)
+                a, b = a[once], b[once]
+            found_a.append(a)
+            found_b.append(b)
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        if len(a):
+            # a word of the block stands on both sides: take its first row
+            first: dict[str, int] = {}
+            same = np.array([first.setdefault(w, k) for k, w in enumerate(words)])
+            yield _best(words, counts, same[a], same[b])
 
 
 def _neighbours(words: DataFrame) -> DataFrame:
-    """word, links, near, near_n, partial: a row for each tile pair in which the word has neighbours."""
+    """word, links, near, near_n, partial: a row for each tile in which the word has neighbours."""
     count = lambda letters: F.length("word") - F.length(F.translate("word", letters, ""))
     placed = written(words.select("word", "n", F.length("word").alias("length"), count(GROUPS[0]).alias("g0"), count(GROUPS[1]).alias("g1")))
-    rows = F.greatest(F.lit(1), F.least(F.lit(TILE_WORDS), F.floor(F.lit(TILE_LETTERS) / F.col("length"))))
-    blocks = written(placed.groupBy(*BLOCK).agg(F.count("*").alias("words")).select(*BLOCK, F.ceil(F.col("words") / rows).cast("int").alias("tiles")))
+    blocks = written(placed.groupBy(*BLOCK).agg(F.count("*").alias("words")))
     steps = F.explode(F.array(*[F.struct(F.lit(k).alias("step"), *[F.lit(d).alias(c) for d, c in zip(s, ("dl", "d0", "d1"))]) for k, s in enumerate(STEPS)])).alias("s")
-    moved = blocks.select(*BLOCK, F.col("tiles").alias("tiles_a"), steps).select(
-        *BLOCK, "tiles_a", "s.step", *[(F.col(c) + F.col(f"s.{d}")).alias(f"to_{c}") for c, d in zip(BLOCK, ("dl", "d0", "d1"))])
-    others = blocks.select(*[F.col(c).alias(f"to_{c}") for c in BLOCK], F.col("tiles").alias("tiles_b"))
-    pairs = written(moved.join(others, [f"to_{c}" for c in BLOCK]))
-    key = F.struct(*BLOCK, "step").alias("key")
-    roles = pairs.select(*[F.col(c).alias(f"own_{c}") for c in BLOCK], key, F.lit(0).alias("side"), F.col("tiles_a").alias("own"), F.col("tiles_b").alias("other"))
-    roles = roles.unionByName(pairs.select(*[F.col(f"to_{c}").alias(f"own_{c}") for c in BLOCK], key, F.lit(1).alias("side"), F.col("tiles_b").alias("own"), F.col("tiles_a").alias("other")))
-    roles = written(roles)
-    met = placed.join(roles, [F.col(c) == F.col(f"own_{c}") for c in BLOCK]).withColumn("tile", F.pmod(F.xxhash64("word"), F.col("own")).cast("int"))
-    # within a block: every tile with itself and with those that follow
-    same = F.col("key.step") == 0
-    first = F.when(same & (F.col("side") == 0), F.col("tile")).otherwise(0)
-    last = F.when(same & (F.col("side") == 1), F.col("tile") - 1).otherwise(F.col("other") - 1)
-    met = met.where(last >= first).withColumn("with", F.explode(F.sequence(first, last)))
-    i, j = (F.when(F.col("side") == s, F.col("tile")).otherwise(F.col("with")) for s in (0, 1))
-    dealt = met.select("key.*", i.alias("i"), j.alias("j"), "side", "word", "n").repartition(*KEYS).sortWithinPartitions(*KEYS)
-    return dealt.mapInArrow(_tiles, "word string, links long, near string, near_n long")
+    moved = blocks.select(*BLOCK, F.col("words").alias("own"), steps).select(*BLOCK, "own", "s.step", *[(F.col(c) + F.col(f"s.{d}")).alias(f"to_{c}") for c, d in zip(BLOCK, ("dl", "d0", "d1"))])
+    met = written(moved.join(blocks.select(*[F.col(c).alias(f"to_{c}") for c in BLOCK], "words"), [f"to_{c}" for c in BLOCK]))
+    rows = F.greatest(F.lit(1), F.least(F.lit(TILE_WORDS), F.floor(F.lit(TILE_LETTERS) / F.col("length"))))
+    sizes = met.groupBy(*BLOCK).agg(F.max("own").alias("own"), F.sum("words").alias("words"))
+    sizes = written(sizes.select(*BLOCK, F.ceil(F.col("own") / rows).cast("int").alias("tiles"), F.ceil(F.col("words") / (4 * rows)).cast("int").alias("chunks")))
+    # where the words of a block go: as rows of its own products, and as columns of those of its neighbours
+    goal = F.struct(*BLOCK, "step", "tiles", "chunks").alias("goal")
+    roles = sizes.withColumn("step", F.lit(OWN)).select(*BLOCK, goal)
+    roles = written(roles.unionByName(met.join(sizes, BLOCK).select(*[F.col(f"to_{c}").alias(c) for c in BLOCK], goal)))
+    dealt = placed.join(roles, BLOCK).select("goal.*", "word", "n", F.pmod(F.xxhash64("word"), F.when(F.col("goal.step") == OWN, F.col("goal.tiles")).otherwise(F.col("goal.chunks"))).cast("int").alias("at"))
+    mine = F.col("step") == OWN
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.when(mine, F.col("chunks")).otherwise(F.col("tiles")) - 1)))
+    dealt = dealt.select(*BLOCK, F.when(mine, F.col("at")).otherwise(F.col("with")).alias("i"), F.when(mine, F.col("with")).otherwise(F.col("at")).alias("j"), "step", "word", "n")
+    return dealt.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(_tiles, "word string, links long, near string, near_n long")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
