@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe_round_trip
+from .collocations import collocations, collocations_sql
 from .common import table
 from . import html_extract, toxicity
 from .decontamination import leaks
@@ -71,6 +72,10 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(table(spark, folder, "documents"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op4_near_vectors, op5_personal_data, op6_html_extraction, op7_url_filter, op8_ngram_jaccard, op9_suffix_repeats, op10_bpe,
-    op11_spelling_variants)}
-ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql(), "op11_spelling_variants": spelling_variants_sql()}
+    op11_spelling_variants, op12_collocations)}
+ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql(), "op11_spelling_variants": spelling_variants_sql(), "op12_collocations": collocations_sql()}
