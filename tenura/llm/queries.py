@@ -12,6 +12,7 @@ from .common import table
 from . import html_extract, toxicity
 from .decontamination import leaks
 from .embedding_join import near_vectors
+from .mixing import assign, mix_totals, mixing_sql
 from .ngram_join import ngram_jaccard
 from .pii import find_personal_data
 from .repeats import remove_repeats
@@ -76,6 +77,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(table(spark, folder, "documents"))
 
 
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_totals(assign(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_decontamination, op4_near_vectors, op5_personal_data, op6_html_extraction, op7_url_filter, op8_ngram_jaccard, op9_suffix_repeats, op10_bpe,
-    op11_spelling_variants, op12_collocations)}
-ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql(), "op11_spelling_variants": spelling_variants_sql(), "op12_collocations": collocations_sql()}
+    op11_spelling_variants, op12_collocations, op13_mixing)}
+ORACLES: dict[str, str] = {"op7_url_filter": url_filter_sql(), "op11_spelling_variants": spelling_variants_sql(), "op12_collocations": collocations_sql(), "op13_mixing": mixing_sql()}
