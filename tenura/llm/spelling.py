@@ -47,11 +47,6 @@ def word_counts(docs: DataFrame, least_length: int, least_count: int, every: int
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_count)
 
 
-def _letters(words: list[str]) -> np.ndarray:
-    """The letters of words of one length, a row for each word."""
-    return np.frombuffer("".join(words).encode("latin-1"), np.uint8).reshape(len(words), -1)
-
-
 def _letter_counts(letters: np.ndarray) -> np.ndarray:
     """How often each word has each letter. Distances must be exact: from 2,048 letters on, in double precision."""
     rows, length = letters.shape
@@ -70,12 +65,9 @@ def _one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return before + after >= n
 
 
-def near_pairs(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in a and b of the words one edit apart; words of a have one length, words of b that or one more."""
+def near_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the words one edit apart; the words on the right are as long as those on the left, or one letter longer."""
     none = np.zeros(0, np.int64)
-    if not a or not b:
-        return none, none
-    left, right = _letters(a), _letters(b)
     x, y = _letter_counts(left), _letter_counts(right)
     # sorted by the letters of one more group, which differ by at most one as well
     inner = [sum(counts[:, LETTERS.index(c)] for c in GROUPS[2]) for counts in (x, y)]
@@ -104,44 +96,51 @@ def near_pairs(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found_a), np.concatenate(found_b)
 
 
-def _best(words: list[str], counts: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """For each word of a link: its links, and the other end of largest count (ties: the smallest word)."""
-    order = np.empty(len(words), np.int64)
-    order[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
-    word, other = np.concatenate([a, b]), np.concatenate([b, a])
-    sort = np.lexsort((order[other], -counts[other], word))
-    word, other = word[sort], other[sort]
-    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
-    links = np.diff(np.append(first, len(word)))
+def _best(a: np.ndarray, b: np.ndarray, a_n: np.ndarray, b_n: np.ndarray) -> pa.RecordBatch:
+    """For each word of the links (a, b): its links, and the other end of largest count (ties: the smallest word)."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)  # in code-point order
+    other, other_n = np.concatenate([at[len(a) :], at[: len(a)]]), np.concatenate([b_n, a_n])
+    sort = np.lexsort((other, -other_n, at))
+    word, other, other_n = at[sort], other[sort], other_n[sort]
+    first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    text = [name.decode("latin-1") for name in names.tolist()]
     return pa.RecordBatch.from_arrays(
-        [pa.array([words[i] for i in word[first]], pa.string()), pa.array(links, pa.int64()), pa.array([words[i] for i in other[first]], pa.string()), pa.array(counts[other[first]], pa.int64())],
+        [pa.array([text[i] for i in word[first]], pa.string()), pa.array(np.diff(np.append(first, len(word))), pa.int64()),
+         pa.array([text[i] for i in other[first]], pa.string()), pa.array(other_n[first], pa.int64())],
         ["word", "links", "near", "near_n"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of a tile, a byte for each letter, and their counts, as one row."""
+    for group in sorted_groups(batches, [*BLOCK, "tile"]):
+        words, counts = "".join(group.column("word").to_pylist()).encode("latin-1"), group.column("n").to_numpy().astype("<i8").tobytes()
+        keys = [group.column(c)[:1].combine_chunks() for c in (*BLOCK, "tile")]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array([words], pa.binary()), pa.array([counts], pa.binary())], [*BLOCK, "tile", "words", "counts"])
+
+
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in sorted_groups(batches, KEYS):
-        words, counts, step = group.column("word").to_pylist(), group.column("n").to_numpy(), group.column("step").to_numpy()
-        own = np.flatnonzero(step == OWN)
-        found_a, found_b = [own[:0]], [own[:0]]
-        for s in np.unique(step[step != OWN]):
-            other = np.flatnonzero(step == s)
-            a, b = near_pairs([words[i] for i in own], [words[i] for i in other])
-            a, b = own[a], other[b]
-            if s == 0:  # the block itself: each pair once
-                once = np.array([words[i] < words[j] for i, j in zip(a, b, strict=True)], bool)
-                a, b = a[once], b[once]
-            found_a.append(a)
-            found_b.append(b)
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        if len(a):
-            # a word of the block stands on both sides: take its first row
-            first: dict[str, int] = {}
-            same = np.array([first.setdefault(w, k) for k, w in enumerate(words)])
-            yield _best(words, counts, same[a], same[b])
+        length, steps = group.column("length")[0].as_py(), group.column("step").to_numpy()
+        words, counts = ([v.as_buffer() for v in group.column(c)] for c in ("words", "counts"))
+        own = int(np.flatnonzero(steps == OWN)[0])
+        left, left_n = np.frombuffer(words[own], np.uint8).reshape(-1, length), np.frombuffer(counts[own], "<i8")
+        found: list[tuple[np.ndarray, ...]] = []
+        for k, step in enumerate(steps):
+            if step == OWN:
+                continue
+            wide = length + STEPS[step][0]
+            right, right_n = np.frombuffer(words[k], np.uint8).reshape(-1, wide), np.frombuffer(counts[k], "<i8")
+            i, j = near_pairs(left, right)
+            a, b = (np.ascontiguousarray(m[at]).view(f"S{m.shape[1]}").ravel() for m, at in ((left, i), (right, j)))
+            once = a < b if step == 0 else np.ones(len(a), bool)  # within a block each pair comes twice
+            found.append((a[once], b[once], left_n[i[once]], right_n[j[once]]))
+        if any(len(links[0]) for links in found):
+            a, b, a_n, b_n = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield _best(a, b, a_n, b_n)
 
 
 def _neighbours(words: DataFrame) -> DataFrame:
-    """word, links, near, near_n, partial: a row for each tile in which the word has neighbours."""
+    """word, links, near, near_n: a row for each tile in which the word has neighbours; written."""
     count = lambda letters: F.length("word") - F.length(F.translate("word", letters, ""))
     placed = written(words.select("word", "n", F.length("word").alias("length"), count(GROUPS[0]).alias("g0"), count(GROUPS[1]).alias("g1")))
     blocks = written(placed.groupBy(*BLOCK).agg(F.count("*").alias("words")))
@@ -151,15 +150,23 @@ def _neighbours(words: DataFrame) -> DataFrame:
     rows = F.greatest(F.lit(1), F.least(F.lit(TILE_WORDS), F.floor(F.lit(TILE_LETTERS) / F.col("length"))))
     sizes = met.groupBy(*BLOCK).agg(F.max("own").alias("own"), F.sum("words").alias("words"))
     sizes = written(sizes.select(*BLOCK, F.ceil(F.col("own") / rows).cast("int").alias("tiles"), F.ceil(F.col("words") / (4 * rows)).cast("int").alias("chunks")))
-    # where the words of a block go: as rows of its own products, and as columns of those of its neighbours
+    # a row for each tile, so what is sent to several tasks is letters and little else
+    dealt = placed.join(sizes.select(*BLOCK, "tiles"), BLOCK).withColumn("tile", F.pmod(F.xxhash64("word"), F.col("tiles")).cast("int"))
+    dealt = dealt.select(*BLOCK, "tile", "word", "n").repartition(*BLOCK, "tile").sortWithinPartitions(*BLOCK, "tile", "word")
+    packed = written(dealt.mapInArrow(_packed, "length int, g0 int, g1 int, tile int, words binary, counts binary"))
+    # where a tile goes: as rows of its own products, and as columns of those of its neighbours
     goal = F.struct(*BLOCK, "step", "tiles", "chunks").alias("goal")
     roles = sizes.withColumn("step", F.lit(OWN)).select(*BLOCK, goal)
     roles = written(roles.unionByName(met.join(sizes, BLOCK).select(*[F.col(f"to_{c}").alias(c) for c in BLOCK], goal)))
-    dealt = placed.join(roles, BLOCK).select("goal.*", "word", "n", F.pmod(F.xxhash64("word"), F.when(F.col("goal.step") == OWN, F.col("goal.tiles")).otherwise(F.col("goal.chunks"))).cast("int").alias("at"))
+    sent = packed.join(roles, BLOCK).select("goal.*", "words", "counts", F.when(F.col("goal.step") == OWN, F.col("tile")).otherwise(F.pmod(F.hash(*BLOCK, "tile"), F.col("goal.chunks"))).alias("at"))
     mine = F.col("step") == OWN
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.when(mine, F.col("chunks")).otherwise(F.col("tiles")) - 1)))
-    dealt = dealt.select(*BLOCK, F.when(mine, F.col("at")).otherwise(F.col("with")).alias("i"), F.when(mine, F.col("with")).otherwise(F.col("at")).alias("j"), "step", "word", "n")
-    return dealt.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(_tiles, "word string, links long, near string, near_n long")
+    sent = sent.withColumn("with", F.explode(F.sequence(F.lit(0), F.when(mine, F.col("chunks")).otherwise(F.col("tiles")) - 1)))
+    sent = sent.select(*BLOCK, F.when(mine, F.col("at")).otherwise(F.col("with")).alias("i"), F.when(mine, F.col("with")).otherwise(F.col("at")).alias("j"), "step", "words", "counts")
+    # a chunk may have got no tile, and then nothing to compare its rows with
+    near = written(sent.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInArrow(_tiles, "word string, links long, near string, near_n long"))
+    for made in (placed, blocks, met, sizes, packed, roles):
+        drop_written(made)
+    return near
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -185,8 +192,7 @@ def spelling_variants(docs: DataFrame, least_length: int = 7, least_count: int =
     if least_length < 2:
         raise ValueError("least_length must be at least 2")
     words = written(word_counts(docs, least_length, least_count, every, id_column, text_column))
-    near = written(_neighbours(words))
-    near = near.groupBy("word").agg(F.sum("links").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("word"))).alias("best"))
+    near = _neighbours(words).groupBy("word").agg(F.sum("links").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("word"))).alias("best"))
     formed: Column = -F.col("best.n") >= ratio * F.col("n")
     known = written(words.join(near, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), F.when(formed, F.col("best.word")).alias("form"), F.when(formed, -F.col("best.n")).alias("form_n")))
     roots = _roots(known.where("form is not null"))
