@@ -5,43 +5,30 @@ Two ways to resample n scored rows B times:
 * multinomial - n hashed positions per replicate, joined to the rows. It is the textbook draw with
   replacement and costs a shuffle of B*n draws, so it suits hold-outs of moderate size.
 * Poisson - every row carries an independent Poisson(1) weight per replicate, computed from
-  ``row_id``. Rows are shuffled once by score bucket and the B replicates are vectors inside the
-  bucket; only (bucket, replicate) sums are combined. This is the one for large tables.
+  ``row_id``. Tasks send packed score cells with vectors of B weight sums instead of rows (see
+  ``weight_cells``). This is the one for large tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tenura.functions.expressions import POISSON_ONE_CDF, hash60, safe_div
+from tenura.functions.expressions import hash60, safe_div
+from tenura.operators import weight_cells
 from tenura.operators.metrics import f1_of
-from tenura.operators.ranking import (
-    add_prefix_sums,
-    default_buckets,
-    rank_rows,
-    split_points,
-    tall_with_buckets,
-    with_order_codes,
-)
+from tenura.operators.ranking import add_prefix_sums, rank_rows, split_points, with_order_codes
 
 # Replicate counts, curve grid, confidence tails.
 METRIC_REPLICATES = 300
 DIFFERENCE_REPLICATES = 500
 CURVE_REPLICATES = 100
 CURVE_GRID = 100
+GAIN_GRID = 200
 TAILS = (0.025, 0.975)
 MIN_CURVES = 10
 
-# Modulus, multipliers and seed of the weight hash.
-MODULUS = 2**31 - 1
-ROW_STEP, REPLICATE_STEP, HIGH_STEP, SECOND_STEP, WEIGHT_SEED = 48271, 69621, 40692, 16807, 42
-
-GROUP_ROWS, MIN_GROUPS, MAX_SALTS = 20_000, 8, 512
-
 METRICS = ("auc_roc", "f1", "precision", "recall", "avg_precision")
 
 
@@ -112,90 +99,6 @@ def _metrics_from_sums(sums: DataFrame) -> DataFrame:
 # ---- Poisson weights ---------------------------------------------------------------------------
 
 
-def _fifth_power(x: np.ndarray) -> np.ndarray:
-    """A permutation of the residues, since 5 does not divide the modulus minus one."""
-    square = x * x % MODULUS
-    return square * square % MODULUS * x % MODULUS
-
-
-def poisson_weights(row_id: np.ndarray, b: int) -> np.ndarray:
-    """Poisson(1) weight of each row in replicate ``b``: a pure function of ``row_id`` and ``b``."""
-    ids = row_id.astype(np.int64)
-    low, high = ids % MODULUS, ids // MODULUS
-    x = _fifth_power((low * ROW_STEP + (b + 1) * REPLICATE_STEP + WEIGHT_SEED) % MODULUS)
-    x = _fifth_power((x + high * HIGH_STEP + (b + 1) * SECOND_STEP) % MODULUS)
-    return np.searchsorted(np.asarray(POISSON_ONE_CDF), x / MODULUS, side="right")
-
-
-def _bucket_rows(df: DataFrame, probs: list[str], label: str, row_id: str) -> DataFrame:
-    """Rows keyed by (series, bucket, salt), in groups of at least some ten thousand rows.
-
-    Buckets between split points stay whole and are bounded by the quantiles; a bucket of one
-    single score needs no inner order, so it is salted and can hold any share of the table.
-    """
-    groups = max(MIN_GROUPS, df.count() // GROUP_ROWS)
-    salts = min(groups, MAX_SALTS)
-    tall, _ = tall_with_buckets(
-        df.select(*probs, F.col(row_id).cast("bigint").alias("row_id"), F.col(label).cast("int").alias("y")),
-        probs, ["row_id", "y"], buckets=min(groups, default_buckets(df.sparkSession)),
-    )
-    salt = F.when(F.col("bucket") % 2 == 1, F.pmod(F.hash("row_id"), F.lit(salts))).otherwise(0)
-    return tall.withColumn("salt", salt)
-
-
-SUMS = "series string, bucket int, b int, p double, q double, won double, tp double, fp double"
-PARTS = "series string, b int, ap double"
-
-
-def _distinct_starts(value: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.r_[True, value[1:] != value[:-1]])
-
-
-def _sum_bucket(replicates: int, cut: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Class weights of one bucket per replicate, and the pairs won inside it."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("value", ascending=False, kind="stable")
-        y, value, ids = rows["y"].to_numpy(), rows["value"].to_numpy(), rows["row_id"].to_numpy()
-        starts, above = _distinct_starts(value), value > cut
-        out = np.zeros((replicates, 5))
-        for b in range(replicates):
-            w = poisson_weights(ids, b)
-            pos, neg = w * y, w * (1 - y)
-            pos_v, neg_v = np.add.reduceat(pos, starts), np.add.reduceat(neg, starts)
-            won = float((neg_v * (np.cumsum(pos_v) - pos_v / 2.0)).sum())
-            out[b] = pos.sum(), neg.sum(), won, pos[above].sum(), neg[above].sum()
-        return pd.DataFrame(
-            {"series": rows["series"].iloc[0], "bucket": rows["bucket"].iloc[0], "b": np.arange(replicates)}
-            | {name: out[:, i] for i, name in enumerate(("p", "q", "won", "tp", "fp"))}
-        )
-
-    return run
-
-
-def _precision_parts(replicates: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
-    """Average-precision terms of one bucket, given the class weights ranked before it."""
-
-    def run(rows: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or before.empty:
-            return pd.DataFrame({"series": [], "b": [], "ap": []})
-        rows = rows.sort_values("value", ascending=False, kind="stable")
-        y, value, ids = rows["y"].to_numpy(), rows["value"].to_numpy(), rows["row_id"].to_numpy()
-        starts = _distinct_starts(value)
-        before = before.sort_values("b")
-        p_before, q_before = before["p_before"].to_numpy(), before["q_before"].to_numpy()
-        ap = np.zeros(replicates)
-        for b in range(replicates):
-            w = poisson_weights(ids, b)
-            pos_v, all_v = np.add.reduceat(w * y, starts), np.add.reduceat(w, starts)
-            tp = p_before[b] + np.cumsum(pos_v)
-            seen = p_before[b] + q_before[b] + np.cumsum(all_v)
-            ap[b] = float((pos_v * tp / np.maximum(seen, 1.0)).sum())
-        return pd.DataFrame({"series": rows["series"].iloc[0], "b": np.arange(replicates), "ap": ap})
-
-    return run
-
-
 def poisson_replicate_metrics(
     df: DataFrame,
     probs: list[str],
@@ -205,40 +108,9 @@ def poisson_replicate_metrics(
     row_id: str = "row_id",
     cut: float = 0.5,
 ) -> DataFrame:
-    """``b, series`` and the five metrics under Poisson weights; shuffles n rows, not B*n."""
-    rows = _bucket_rows(df, probs, label, row_id)
-    sums = (
-        rows.groupBy("series", "bucket", "salt")
-        .applyInPandas(_sum_bucket(replicates, cut), SUMS)
-        .groupBy("series", "bucket", "b")
-        .agg(*[F.sum(c).alias(c) for c in ("p", "q", "won", "tp", "fp")])
-    )
-    single = F.col("bucket") % 2 == 1
-    sums = sums.withColumn("won", F.when(single, F.col("p") * F.col("q") / 2.0).otherwise(F.col("won")))
-    # The window runs over the buckets of one replicate, whose number does not grow with the rows.
-    higher = Window.partitionBy("series", "b").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    ordered = sums.withColumns(
-        {f"{c}_before": F.coalesce(F.sum(c).over(higher), F.lit(0.0)) for c in ("p", "q")}
-    )
-    ahead = F.col("p_before")
-    flat_ap = F.col("p") * (ahead + F.col("p")) / F.greatest(
-        ahead + F.col("q_before") + F.col("p") + F.col("q"), F.lit(1.0)
-    )
-    between = rows.where(~single).groupBy("series", "bucket")
-    inner = between.cogroup(
-        ordered.where(~single).select("series", "bucket", "b", "p_before", "q_before").groupBy("series", "bucket")
-    ).applyInPandas(_precision_parts(replicates), PARTS)
-    ap = inner.groupBy("series", "b").agg(F.sum("ap").alias("ap_inner"))
-    totals = ordered.groupBy("series", "b").agg(
-        F.sum("p").alias("p"), F.sum("q").alias("q"),
-        F.sum(F.col("won") + F.col("q") * ahead).alias("won"),
-        F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
-        F.sum(F.when(single, flat_ap).otherwise(0.0)).alias("ap_flat"),
-    )
-    joined = totals.join(ap, ["series", "b"], "left")
-    return _metrics_from_sums(
-        joined.withColumn("ap", F.col("ap_flat") + F.coalesce(F.col("ap_inner"), F.lit(0.0)))
-    )
+    """``b, series`` and the five metrics under Poisson weights; no row is shuffled, only packed cells."""
+    cells = weight_cells.weight_cells(df, probs, label, replicates, row_id=row_id)
+    return _metrics_from_sums(weight_cells.replicate_sums(cells, cut))
 
 
 # ---- intervals ---------------------------------------------------------------------------------
@@ -293,19 +165,22 @@ def auc_difference(replicate_table: DataFrame, first: str, second: str, replicat
     )
 
 
-def custom_metric(
-    df: DataFrame, weights: DataFrame, metric: Callable[[pd.DataFrame], float], row_id: str = "row_id"
-) -> DataFrame:
-    """``b, value`` for a caller's own metric of a drawn sample (columns of ``df`` plus ``w``).
+def custom_metric(cells: DataFrame, terms: Mapping[str, Column], result: Column) -> DataFrame:
+    """``b, series, value`` of a caller's own metric of each resample.
 
-    One replicate is one group, so this is for hold-outs that fit a task; the named metrics above
-    have no such limit.
+    ``terms`` are expressions over a score cell (``value``, ``n``, ``pos`` and what ranks before:
+    ``n_before``, ``pos_before``, ``n_total``, ``pos_total``); they are summed over the cells of a
+    replicate, and ``result`` combines the sums. So a replicate is never gathered.
     """
+    sums = cells.groupBy("b", "series").agg(*[F.sum(term).alias(name) for name, term in terms.items()])
+    return sums.select("b", "series", result.alias("value"))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"b": [rows["b"].iloc[0]], "value": [float(metric(rows))]})
 
-    return df.join(weights, row_id).groupBy("b").applyInPandas(run, "b int, value double")
+def brier_scores(cells: DataFrame) -> DataFrame:
+    """Mean squared distance of score and label in each resample: a custom metric of score cells."""
+    v, n, pos = F.col("value"), F.col("n"), F.col("pos")
+    terms = {"error": pos * (1 - v) * (1 - v) + (n - pos) * v * v, "rows": n}
+    return custom_metric(cells, terms, F.col("error") / F.col("rows"))
 
 
 # ---- curve bands -------------------------------------------------------------------------------
@@ -380,7 +255,7 @@ def pr_curves(cells: DataFrame, points: int = CURVE_GRID) -> DataFrame:
     return hits.select(*keys, "grid", value.alias("precision"))
 
 
-def gain_curves(cells: DataFrame, points: int = 200) -> DataFrame:
+def gain_curves(cells: DataFrame, points: int = GAIN_GRID) -> DataFrame:
     """``b, series, grid, captured`` percent at even positions of each resample.
 
     Equal scores share their positives evenly, as their order is arbitrary.

@@ -8,15 +8,10 @@ from tenura.operators.metrics import CALIBRATION_EDGES
 from tenura.operators.resampling import (
     CURVE_REPLICATES,
     DIFFERENCE_REPLICATES,
-    HIGH_STEP,
     METRIC_REPLICATES,
     METRICS,
-    MODULUS,
-    REPLICATE_STEP,
-    ROW_STEP,
-    SECOND_STEP,
-    WEIGHT_SEED,
 )
+from tenura.operators.weight_cells import HIGH_STEP, MODULUS, REPLICATE_STEP, ROW_STEP, SECOND_STEP, WEIGHT_SEED
 from tenura.plans.queries import (
     AREA_TO_STATE,
     CATEGORIES,
@@ -364,22 +359,29 @@ ORACLES["bootstrap_ci"] = f"WITH {multinomial(METRIC_REPLICATES)} {WMETRICS} {CI
 ORACLES["bootstrap_auc_diff"] = f"WITH {multinomial(DIFFERENCE_REPLICATES)} {WMETRICS} {DIFF} {DIFF_OUT}"
 ORACLES["bootstrap_ci_poisson"] = f"WITH {poisson(METRIC_REPLICATES)} {WMETRICS} {CI}"
 ORACLES["bootstrap_auc_diff_poisson"] = f"WITH {poisson(DIFFERENCE_REPLICATES)} {WMETRICS} {DIFF} {DIFF_OUT}"
-ORACLES["roc_band"] = f"""WITH {multinomial(CURVE_REPLICATES)} {WCUM},
+BANDS: dict[str, str] = {}
+BANDS["roc_band"] = f""" {WCUM},
 curve AS (SELECT b, series, grid, (tp - pos + pos * (grid * all_neg / 99 - (seen - tp - neg)) / neg) / all_pos AS tpr
   FROM wcum JOIN range(100) t(grid) ON grid * all_neg >= 99 * (seen - tp - neg) AND grid * all_neg < 99 * (seen - tp) WHERE neg > 0 AND all_pos > 0
   UNION ALL SELECT DISTINCT b, series, 99, 1.0::double FROM wcum WHERE all_pos > 0 AND all_neg > 0)
 SELECT series, grid, count(*) AS n_curves, {r('quantile_cont(tpr, 0.025)')} AS ci_low, {r('quantile_cont(tpr, 0.975)')} AS ci_high FROM curve GROUP BY series, grid HAVING count(*) >= 10"""
-ORACLES["pr_band"] = f"""WITH {multinomial(CURVE_REPLICATES)} {WCUM},
+BANDS["pr_band"] = f""" {WCUM},
 grown AS (SELECT b, series, all_pos, pos, tp, tp - pos AS r0, tp / seen AS p1, coalesce(lag(tp / seen) OVER (PARTITION BY b, series ORDER BY value DESC), 1.0) AS p0
   FROM wcum WHERE pos > 0 AND all_neg > 0),
 curve AS (SELECT b, series, grid, p0 + (p1 - p0) * (grid * all_pos / 99 - r0) / pos AS precision
   FROM grown JOIN range(100) t(grid) ON (grid * all_pos >= 99 * r0 AND grid * all_pos < 99 * tp) OR (grid = 99 AND tp = all_pos))
 SELECT series, grid, count(*) AS n_curves, {r('quantile_cont(precision, 0.025)')} AS ci_low, {r('quantile_cont(precision, 0.975)')} AS ci_high FROM curve GROUP BY series, grid HAVING count(*) >= 10"""
-ORACLES["gain_band"] = f"""WITH {multinomial(CURVE_REPLICATES)} {WCUM},
+BANDS["gain_band"] = f""" {WCUM},
 curve AS (SELECT b, series, grid, (tp - pos + pos * (grid * greatest(floor(all_n / 200), 1) + 1 - (seen - n)) / n) / all_pos * 100 AS captured
-  FROM wcum JOIN (SELECT unnest(range(CAST(all_n AS BIGINT))) AS grid FROM (SELECT min(200 + all_n - 200 * floor(all_n / 200)) AS all_n FROM wcum)) t
+  FROM wcum JOIN (SELECT unnest(range(CAST(all_n AS BIGINT))) AS grid FROM (SELECT max(200 + all_n - 200 * floor(all_n / 200)) AS all_n FROM wcum)) t
     ON grid * greatest(floor(all_n / 200), 1) >= seen - n AND grid * greatest(floor(all_n / 200), 1) < seen WHERE all_pos > 0 AND all_neg > 0)
 SELECT series, grid, count(*) AS n_curves, {r('quantile_cont(captured, 0.025)')} AS ci_low, {r('quantile_cont(captured, 0.975)')} AS ci_high FROM curve GROUP BY series, grid HAVING count(*) >= 10"""
+for _name, _band in BANDS.items():
+    ORACLES[_name] = f"WITH {multinomial(CURVE_REPLICATES)} {_band}"
+    ORACLES[f"{_name}_poisson"] = f"WITH {poisson(CURVE_REPLICATES)} {_band}"
+ORACLES["bootstrap_brier"] = f"""WITH {multinomial(METRIC_REPLICATES)},
+e AS (SELECT b, series, sum(w * (y - value) * (y - value)) / sum(w) AS v FROM weighted GROUP BY b, series)
+SELECT series, 'brier' AS metric, {r('avg(v)')} AS mean, {r('quantile_cont(v, 0.025)')} AS ci_low, {r('quantile_cont(v, 0.975)')} AS ci_high, count(*) AS n_valid FROM e GROUP BY series"""
 
 ORACLES["mcnemar"] = f"""WITH {SCORES}, t AS (
   SELECT 'threshold_0_5' AS test, label, (prob_gbm > 0.5)::INT AS p1, (prob_lr > 0.5)::INT AS p2 FROM scores

@@ -20,6 +20,7 @@ from tenura.operators import (
     resampling,
     segments,
     splitting,
+    weight_cells,
 )
 from tenura.functions.expressions import clean_category, decimal_comma
 from tenura.plans import reports, tables
@@ -395,6 +396,34 @@ def gain_band(spark, sf):
     return rounded(resampling.curve_band(curves, "captured"))
 
 
+def _poisson_cells(spark, sf) -> weight_cells.WeightCells:
+    return weight_cells.weight_cells(tables.scores(spark, sf), PROBS, "label", resampling.CURVE_REPLICATES)
+
+
+@query
+def roc_band_poisson(spark, sf):
+    curves = weight_cells.roc_curves(_poisson_cells(spark, sf), resampling.CURVE_GRID)
+    return rounded(resampling.curve_band(curves, "tpr"))
+
+
+@query
+def pr_band_poisson(spark, sf):
+    curves = weight_cells.pr_curves(_poisson_cells(spark, sf), resampling.CURVE_GRID)
+    return rounded(resampling.curve_band(curves, "precision"))
+
+
+@query
+def gain_band_poisson(spark, sf):
+    curves = weight_cells.gain_curves(_poisson_cells(spark, sf), resampling.GAIN_GRID)
+    return rounded(resampling.curve_band(curves, "captured"))
+
+
+@query
+def bootstrap_brier(spark, sf):
+    scores = resampling.brier_scores(_multinomial(spark, sf, resampling.METRIC_REPLICATES))
+    return rounded(resampling.confidence_intervals(scores.withColumnRenamed("value", "brier"), ("brier",)))
+
+
 @query
 def mcnemar(spark, sf):
     tests = {

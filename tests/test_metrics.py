@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.operators import comparison, metrics, resampling, segments
-from tenura.operators.resampling import poisson_weights
+from tenura.operators import comparison, metrics, resampling, segments, weight_cells
+from tenura.operators.weight_cells import poisson_weights
 
 
 @pytest.fixture(scope="module")
@@ -133,7 +133,7 @@ def test_poisson_weights_look_poisson():
     assert abs(off).max() < 0.01
     assert abs(np.corrcoef(w[0][:-1], w[0][1:])[0, 1]) < 0.01
     # Row ids one modulus apart must not share their weights.
-    assert abs(np.corrcoef(w[0], poisson_weights(ids + resampling.MODULUS, 0))[0, 1]) < 0.01
+    assert abs(np.corrcoef(w[0], poisson_weights(ids + weight_cells.MODULUS, 0))[0, 1]) < 0.01
 
 
 def test_poisson_replicates_brute_force(scored):
@@ -155,8 +155,8 @@ def test_poisson_replicates_brute_force(scored):
 def test_multinomial_draws_n_rows(scored):
     weights = resampling.multinomial_weights(scored, 3)
     assert {r["s"] for r in weights.groupBy("b").agg(F.sum("w").alias("s")).collect()} == {1200}
-    own = resampling.custom_metric(scored, weights, lambda rows: float((rows["w"] * rows["label"]).sum() / rows["w"].sum()))
     cells = resampling.replicate_cells(scored, ["prob"], "label", weights)
+    own = resampling.custom_metric(cells, {"pos": F.col("pos"), "n": F.col("n")}, F.col("pos") / F.col("n"))
     rates = {r["b"]: r["x"] for r in cells.groupBy("b").agg((F.sum("pos") / F.sum("n")).alias("x")).collect()}
     assert {r["b"]: pytest.approx(r["value"]) for r in own.collect()} == rates
 
@@ -201,3 +201,80 @@ def test_pr_curve_interpolation(scored):
             precision.append(top.label.mean())
     assert len(curve) == 100
     assert np.allclose([r["precision"] for r in curve], np.interp(np.arange(100) / 99, recall, precision), atol=1e-9)
+
+
+def _resampled(pdf, b, column="prob"):
+    return pdf.loc[pdf.index.repeat(poisson_weights(pdf.row_id.to_numpy(), b))].sort_values(column, ascending=False, kind="stable")
+
+
+def test_weights_equal_their_definition():
+    """The same numbers by plain whole-number arithmetic."""
+    from tenura.functions.expressions import POISSON_ONE_CDF
+
+    def plain(i, b):
+        m = weight_cells.MODULUS
+        x = pow((i % m) * weight_cells.ROW_STEP + (b + 1) * weight_cells.REPLICATE_STEP + weight_cells.WEIGHT_SEED, 5, m)
+        x = pow(x + (i // m) * weight_cells.HIGH_STEP + (b + 1) * weight_cells.SECOND_STEP, 5, m)
+        return sum(x / m >= c for c in POISSON_ONE_CDF)
+
+    ids = np.array([0, 1, 2, 77, 2**31 - 2, 2**31 - 1, 2**31, 2**45 + 3, 2**62, *range(1000, 1400)])
+    for b in (0, 1, 299):
+        assert poisson_weights(ids, b).tolist() == [plain(int(i), b) for i in ids]
+
+
+@pytest.mark.parametrize("few", [20, 100_000])
+def test_poisson_curves_brute_force(spark, scored, few, monkeypatch):
+    """Curves of each replicate against drawn samples, with cells as vectors and as row ids, in one strip and in many."""
+    monkeypatch.setattr(weight_cells, "STRIP_NUMBERS", few)
+    pdf = scored.toPandas()
+    cells = weight_cells.weight_cells(scored, ["prob", "anti"], "label", 12)
+    kinds = {r["kind"] for r in cells.records.select("kind").distinct().collect()}
+    assert {weight_cells.VECTORS, weight_cells.SUMS} <= kinds
+    grid = np.linspace(0, 1, 11)
+    roc, pr, gain = ({(r["series"], r["b"], r["grid"]): r[2] for r in df.select("series", "grid", v, "b").collect()} for df, v in (
+        (weight_cells.roc_curves(cells, 11), "tpr"), (weight_cells.pr_curves(cells, 11), "precision"), (weight_cells.gain_curves(cells, 10), "captured")))
+    for name in ("prob", "anti"):
+        for b in range(12):
+            drawn = _resampled(pdf, b, name)
+            y, v = drawn.label.to_numpy(), drawn[name].to_numpy()
+            ends = np.append(np.flatnonzero(v[1:] != v[:-1]), len(v) - 1)
+            tp, fp = np.cumsum(y)[ends], np.cumsum(1 - y)[ends]
+            fpr, tpr = np.append(0, fp) / fp[-1], np.append(0, tp) / tp[-1]
+            for k, x in enumerate(grid[:-1]):
+                at = np.searchsorted(fpr, x, "right") - 1
+                want = tpr[at] + (tpr[at + 1] - tpr[at]) * (x - fpr[at]) / (fpr[at + 1] - fpr[at])
+                assert roc[name, b, k] == pytest.approx(want)
+            assert roc[name, b, 10] == 1.0
+            grown = np.flatnonzero(np.diff(np.append(0, tp)) > 0)
+            recall, precision = np.append(0, tp[grown] / tp[-1]), np.append(1, tp[grown] / (tp + fp)[grown])
+            for k, x in enumerate(grid):
+                assert pr[name, b, k] == pytest.approx(np.interp(x, recall, precision), abs=1e-6), (name, b, k)
+            step = max(len(y) // 10, 1)
+            share = np.concatenate([np.zeros(0), *[np.full(n, c / n) for n, c in zip(np.diff(np.append(-1, ends)), np.diff(np.append(0, tp)))]])
+            for k in range(0, -(-len(y) // step)):
+                assert gain[name, b, k] == pytest.approx(share[: k * step + 1].sum() / tp[-1] * 100)
+
+
+def test_poisson_cells_shuffle_no_rows(spark, scored):
+    """Nothing but packed records and sums of replicates crosses an exchange, and no row reaches pandas."""
+    cells = weight_cells.weight_cells(scored, ["prob"], "label", 5)
+    plan = weight_cells.replicate_sums(cells)._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and "row_id" not in plan
+    made = cells.records
+    assert made.columns == ["series", "bucket", "kind", "size", "data"]
+    # one record for each bucket and kind: a third of all rows share one score
+    assert made.count() < 400
+
+
+def test_cells_of_odd_scores(spark):
+    """Null and NaN scores drop out; minus zero and zero are one score; infinite scores rank first and last."""
+    rows = [(i, s, i % 2) for i, s in enumerate([None, float("nan"), 0.0, -0.0, float("inf"), float("-inf"), 0.5, 0.5])]
+    df = spark.createDataFrame(rows, "row_id long, prob double, label int")
+    got = weight_cells.replicate_sums(weight_cells.weight_cells(df, ["prob"], "label", 40)).collect()
+    for r in got:
+        w = {i: int(poisson_weights(np.array([i]), r["b"])[0]) for i in range(2, 8)}
+        assert (r["p"], r["q"]) == (w[3] + w[5] + w[7], w[2] + w[4] + w[6])
+        won = sum(w[i] * w[j] * ((rows[i][1] > rows[j][1]) + (rows[i][1] == rows[j][1]) / 2) for i in (3, 5, 7) for j in (2, 4, 6))
+        assert r["won"] == pytest.approx(won)
+    assert len(got) == 40
+    assert weight_cells.replicate_sums(weight_cells.weight_cells(df.where("false"), ["prob"], "label", 3)).count() == 0
