@@ -21,8 +21,8 @@ from .common import per_row_ranges, pieces
 
 #: The pattern that the byte-level vocabularies cut words with. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Distinct segments remembered by a task, and symbols merged at once.
-REMEMBERED, FLAT_SYMBOLS = 400_000, 4_000_000
+#: Bytes that a task's remembered segments may take, bytes of one besides its characters and ids, symbols merged at once.
+REMEMBERED_BYTES, SEGMENT_BYTES, FLAT_SYMBOLS = 48 << 20, 160, 500_000
 NO_RANK = np.iinfo(np.int64).max
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -71,7 +71,8 @@ class ByteBpe:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids, self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.held = 0
+        self.ids, self.start, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each text."""
@@ -81,7 +82,7 @@ class ByteBpe:
             segments.append(own)
             counts.append(len(own))
         distinct = set().union(*segments)
-        if len(self.known) + len(distinct) > REMEMBERED:
+        if self.held > REMEMBERED_BYTES:
             self.forget()
         self.learn([s for s in distinct if s not in self.known])
         index = np.fromiter((i for own in segments for i in map(self.known.__getitem__, own)), np.int64, sum(counts))
@@ -125,7 +126,8 @@ class ByteBpe:
         base = len(self.ids)
         lengths = np.bincount(np.array(owner, np.int64), np.concatenate(per_word) if per_word else None, len(segments)).astype(np.int64) if owner else np.zeros(len(segments), np.int64)
         self.known.update(zip(segments, range(len(self.length), len(self.length) + len(segments)), strict=True))
-        self.ids = np.concatenate([self.ids, *ids])
+        self.held += sum(map(len, segments)) * 4 + len(segments) * SEGMENT_BYTES + 4 * sum(map(len, ids))
+        self.ids = np.concatenate([self.ids, *(i.astype(np.int32) for i in ids)])
         self.start = np.concatenate([self.start, base + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
 
@@ -192,7 +194,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_column: str = "doc_id", text_c
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = None
-        for batch, texts in pieces(batches, "text", 4 << 20):
+        for batch, texts in pieces(batches, "text"):
             coder = coder or ByteBpe(path)
             ids, counts = coder.encode(texts.to_pylist())
             data, sizes = coder.decode(ids, counts)

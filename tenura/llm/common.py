@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -13,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that a Python task handles at once (a single longer text is handled alone).
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,17 +31,29 @@ def large_strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Every batch cut into runs of rows of at most ``limit`` bytes of text, with their texts."""
+    """Every batch cut into runs of rows of at most ``limit`` bytes of text, with their texts; only a run is copied.
+
+    What a partition's rows have taken is given back to the machine when they end, as Python workers serve many stages.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        texts = large_strings(batch.column(batch.schema.get_field_index(text)))
-        ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        column = batch.column(batch.schema.get_field_index(text))
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy().astype(np.int64))])
         at = 0
-        while at < len(texts):
+        while at < len(column):
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
-            yield batch.slice(at, to - at), texts.slice(at, to - at)
+            yield batch.slice(at, to - at), large_strings(column.slice(at, to - at))
             at = to
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory of Arrow and of the C library, where that can be asked for it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

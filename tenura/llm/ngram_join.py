@@ -49,6 +49,8 @@ _PLACE = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * 2 + 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _ORDER = _RNG.integers(0, 2**63, ORDERS, dtype=np.uint64) * 2 + 1
+#: Powers that a worker keeps (8 bytes each); those of a longer text are made for it alone.
+POWERS = 1 << 21
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -60,11 +62,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
-    if len(_powers.get(name, ())) < n:
-        steps = np.full(max(n, 1 << 16), base, np.uint64)
-        steps[0] = 1
-        _powers[name] = np.multiply.accumulate(steps)
-    return _powers[name][:n]
+    if len(_powers.get(name, ())) >= n:
+        return _powers[name][:n]
+    steps = np.full(max(n, 1 << 16), base, np.uint64)
+    steps[0] = 1
+    steps = np.multiply.accumulate(steps)
+    if n <= POWERS:
+        _powers[name] = steps
+    return steps[:n]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +133,7 @@ def _profiles(words: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
-        for batch, texts in pieces(batches, "text", 4 << 20):
+        for batch, texts in pieces(batches, "text"):
             sets = list(shingle_sets(texts, words))
             yield pa.RecordBatch.from_pydict(rows(batch.column(0).to_pylist(), sets), schema)
             kept += sets
@@ -146,7 +151,7 @@ def _sets(words: int):
     """The sets of texts; a text whose id stands on other rows too is passed over unless its set is the node's."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "text", 4 << 20):
+        for batch, texts in pieces(batches, "text"):
             nodes = batch.column(0).to_pylist()
             own = [(node, s) for node, s in zip(nodes, shingle_sets(texts, words), strict=True) if signature(s) == node]
             flat = np.concatenate([np.zeros(0, np.uint64), *(s for _, s in own)]).view(np.int64)
@@ -161,7 +166,7 @@ def _kept_shingles(words: int, num: int, den: int, frequent):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, level = frequent.value
-        for batch, texts in pieces(batches, "text", 4 << 20):
+        for batch, texts in pieces(batches, "text"):
             ids, comps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             tokens, owner, sizes, least, lead = [], [], [], [], []
             for i, s in enumerate(shingle_sets(texts, words)):
@@ -394,7 +399,7 @@ def with_signatures(docs: DataFrame, words: int, output: str) -> DataFrame:
     """The input's columns and the signature of each text's set; 0 for texts without words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "text", 4 << 20):
+        for batch, texts in pieces(batches, "text"):
             own = pa.array([signature(s) for s in shingle_sets(texts, words)], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, output])
 
