@@ -22,13 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import drop_written, flat_bytes, pieces, sorted_groups, written
+from .common import bit_set, drop_written, flat_bytes, in_bit_set, pieces, sorted_groups, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of text handled at once, entries of a task's filter, occurrences for which a range is made.
 TEXT_BYTES, SHARD_ENTRIES, RANGE_ENTRIES = 2 << 20, 1_500_000, 2_000_000
-#: Bits of a bitmap at most (64 MB), and bits of a chunk in which it is made.
-BITMAP_BITS, CHUNK_BITS = 29, 19
+#: Bits of a bitmap at most (64 MB).
+BITMAP_BITS = 29
 #: Words of more bytes are hashed one by one.
 LONG_WORD = 256
 #: Parts of a language that are ranked before the language is.
@@ -211,8 +211,7 @@ def read_block(block: bytes, k: int, width: int, skip: int, part: int) -> tuple[
 
 
 def _known(bitmap: np.ndarray, bits: int, lane: np.ndarray, width: int) -> np.ndarray:
-    slot = (lane >> np.uint64(width - bits)).astype(np.int64) if bits else np.zeros(len(lane), np.int64)
-    return (bitmap[slot >> 3] >> (slot & 7)) & 1 > 0
+    return in_bit_set(bitmap, lane >> np.uint64(width - bits))
 
 
 def _phrases(sizes: tuple[int, ...], seed: int, width: int, range_bits: int, words, pairs):
@@ -272,24 +271,10 @@ def _merged(width: int, range_bits: int, least: int):
 
 
 def _bitmap(rows: DataFrame, width: int, column: str):
-    """(bitmap, bits) of the leading bits of a column of ``width`` bits, made in chunks by tasks; broadcast."""
-    count = rows.count()
-    bits = min(BITMAP_BITS, width, max(10, int(16 * count).bit_length()))
-    chunk_bits = min(bits, CHUNK_BITS)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, ["chunk"]):
-            own = np.zeros(1 << chunk_bits, bool)
-            own[group.column("slot").to_numpy() & ((1 << chunk_bits) - 1)] = True
-            yield pa.RecordBatch.from_arrays([group.column("chunk")[:1].combine_chunks(), pa.array([np.packbits(own, bitorder="little").tobytes()])], ["chunk", "bits"])
-
-    slot = F.shiftrightunsigned(F.col(column), width - bits)
-    slots = rows.select(slot.alias("slot")).withColumn("chunk", F.shiftright("slot", chunk_bits))
-    out = np.zeros((1 << bits) // 8, np.uint8)
-    for r in slots.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(work, "chunk long, bits binary").toLocalIterator():
-        own = np.frombuffer(r["bits"], np.uint8)
-        out[r["chunk"] * len(own) : (r["chunk"] + 1) * len(own)] = own
-    return rows.sparkSession.sparkContext.broadcast((out, bits))
+    """(bitmap, bits) of the leading bits of a column of ``width`` bits; broadcast."""
+    bits = min(BITMAP_BITS, width, max(10, int(16 * rows.count()).bit_length()))
+    slots = rows.select(F.shiftrightunsigned(F.col(column), width - bits).alias("slot"))
+    return rows.sparkSession.sparkContext.broadcast((bit_set(slots, bits), bits))
 
 
 def _range_bits(entries: int, width: int) -> int:

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that a Python task handles at once (a single longer text is handled alone).
 PIECE_BYTES = 1 << 20
+#: Bits of a chunk in which a set of bits is made.
+CHUNK_BITS = 19
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -107,6 +109,29 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def bit_set(slots: DataFrame, bits: int) -> np.ndarray:
+    """2^bits bits, packed from the lowest, of the numbers in ``slot``; made in chunks of 64 KB by tasks."""
+    chunk_bits = min(bits, CHUNK_BITS)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["chunk"]):
+            own = np.zeros(1 << chunk_bits, bool)
+            own[group.column("slot").to_numpy() & ((1 << chunk_bits) - 1)] = True
+            yield pa.RecordBatch.from_arrays([group.column("chunk")[:1].combine_chunks(), pa.array([np.packbits(own, bitorder="little").tobytes()])], ["chunk", "bits"])
+
+    dealt = slots.select("slot").withColumn("chunk", F.shiftright("slot", chunk_bits)).repartition("chunk").sortWithinPartitions("chunk")
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in dealt.mapInArrow(work, "chunk long, bits binary").toLocalIterator():
+        own = np.frombuffer(r["bits"], np.uint8)
+        out[r["chunk"] * len(own) : (r["chunk"] + 1) * len(own)] = own
+    return out
+
+
+def in_bit_set(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    slot = slot.astype(np.int64)
+    return (bitmap[slot >> 3] >> (slot & 7).astype(np.uint8)) & np.uint8(1) > 0
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """The rows of each key of a partition that is sorted by the keys, as one table; one group is held at a time."""
     held: list[pa.RecordBatch] = []

@@ -22,9 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import drop_written, flat_bytes, pieces, sorted_groups, written
+from .common import bit_set, drop_written, flat_bytes, in_bit_set, pieces, sorted_groups, written
 from .ngram_join import _BASE, _BASE_INVERSE, _power, mix
 
 LENGTH, K = 200, 64
@@ -32,8 +32,8 @@ LENGTH, K = 200, 64
 SHARD, ARRAY_BYTES, FILTER_BITS = 5000, 2 << 20, 29
 #: Fingerprints that a task remembers having sent with bytes; sent again, they only cost space.
 SEEN = 500_000
-#: Documents and intervals up to which the removal is broadcast to the texts.
-BROADCAST_KEYS, BROADCAST_INTERVALS = 500_000, 2_000_000
+#: Copied texts up to which their keys (20 bytes each) are broadcast; above, Spark joins by shuffle.
+BROADCAST_KEYS = 500_000
 _BYTE = np.random.default_rng(9_071).integers(0, 2**64, 256, dtype=np.uint64)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -108,25 +108,18 @@ def suffix_groups(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, n
     return rank, order
 
 
-def _filter_words(known: DataFrame, bits: int) -> np.ndarray:
-    """A filter of 2^bits bits of the hashes, made in Spark word by word."""
-    # the low bits: anchors are minima, so their high bits are mostly zeros
-    slot = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
-    words = known.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(hash & 63 as int))")).alias("bits"))
-    out = np.zeros(1 << (bits - 6), np.int64)
-    for r in words.collect():
-        out[r["word"]] = r["bits"]
-    return out.view(np.uint64)
+def _filter(known: DataFrame, bits: int) -> np.ndarray:
+    """A filter of 2^bits bits of the hashes. The low bits: anchors are minima, so their high bits are mostly zeros."""
+    return bit_set(known.select(F.col("hash").bitwiseAND(F.lit((1 << bits) - 1)).alias("slot")), bits)
 
 
 def _in_filter(words: np.ndarray, bits: int, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes & np.uint64((1 << bits) - 1)
-    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+    return in_bit_set(words, hashes & np.uint64((1 << bits) - 1))
 
 
 def _counted(length: int, k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in pieces(batches, "text", 4 << 20):
+        for batch, texts in pieces(batches, "text"):
             found = anchors(*flat_bytes(texts), length, k)
             yield pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), pa.array(found[5].view(np.int64))], ["hash", "print"])
 
@@ -139,7 +132,7 @@ def _located(length: int, k: int, bits: int, shared):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every, mixed = shared.value
         seen: set[int] = set()
-        for batch, texts in pieces(batches, "text", 4 << 20):
+        for batch, texts in pieces(batches, "text"):
             data, starts = flat_bytes(texts)
             hashes, text, place, first, last, print_ = anchors(data, starts, length, k)
             keep = _in_filter(every, bits, hashes) & (last - first >= length)
@@ -306,7 +299,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, id_column:
     known = counted.groupBy("hash").agg(F.count("*").alias("n"), F.min("print").alias("p1"), F.max("print").alias("p2")).where("n > 1")
     known = written(known.select("hash", "n", (F.col("p1") != F.col("p2")).alias("mixed")))
     bits = int(min(FILTER_BITS, max(16, np.ceil(np.log2(16 * max(known.count(), 1))))))
-    shared = docs.sparkSession.sparkContext.broadcast((_filter_words(known, bits), _filter_words(known.where("mixed"), bits)))
+    shared = docs.sparkSession.sparkContext.broadcast((_filter(known, bits), _filter(known.where("mixed"), bits)))
     located = written(single.mapInArrow(_located(length, k, bits, shared), "hash long, key long, first long, last long, print long, content binary"))
     classes = located.groupBy("hash", "print").agg(F.min("key").alias("k1"), F.max("key").alias("k2"), F.min("first").alias("f1"), F.max("first").alias("f2"))
     classes = written(classes.where("k1 <> k2 or f1 <> f2").select("hash", "print", F.lit(True).alias("whole")))
@@ -320,10 +313,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, id_column:
     dealt = dealt.repartition("hash", "i", "j").sortWithinPartitions("hash", "i", "j")
     odd = dealt.mapInArrow(_sharded(length), "key long, first long, last long")
 
-    spans = written(even.unionByName(odd).groupBy("key").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts")))
+    # of all intervals from one place only the longest counts, and of those that overlap only the ends of their union
+    longest = even.unionByName(odd).groupBy("key", "first").agg(F.max("last").alias("last"))
+    order = Window.partitionBy("key").orderBy("first")
+    opened = longest.withColumn("upto", F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    opened = opened.withColumn("run", F.sum(F.when(F.col("first") <= F.col("upto"), 0).otherwise(1)).over(order))
+    unions = opened.groupBy("key", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = written(unions.groupBy("key").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts")))
     drop_written(located)
-    size = spans.agg(F.count("*"), F.sum(F.size("firsts"))).first()
-    spans = F.broadcast(spans) if size[0] <= BROADCAST_KEYS and (size[1] or 0) <= BROADCAST_INTERVALS else spans
     rows = keyed.join(few(copies.select("key", "copies"), BROADCAST_KEYS), "key", "left").join(spans, "key", "left")
     rows = rows.select("doc_id", "text", F.coalesce("copies", F.lit(1)).alias("copies"), "firsts", "lasts")
     return rows.mapInArrow(_removed(length, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)

@@ -122,6 +122,8 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in sorted_groups(batches, KEYS):
         length, steps = group.column("length")[0].as_py(), group.column("step").to_numpy()
         words, counts = ([v.as_buffer() for v in group.column(c)] for c in ("words", "counts"))
+        if OWN not in steps:  # a tile that got no word
+            continue
         own = int(np.flatnonzero(steps == OWN)[0])
         left, left_n = np.frombuffer(words[own], np.uint8).reshape(-1, length), np.frombuffer(counts[own], "<i8")
         found: list[tuple[np.ndarray, ...]] = []
