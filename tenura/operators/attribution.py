@@ -6,14 +6,16 @@ per-row top-k over that table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tenura.functions.expressions import driver_direction
 from tenura.operators.segments import lookup
+from tenura.session import shared_folder
 
 # Report sizes.
 TOP_CUSTOMERS, TOP_DRIVERS, TOP_FEATURES, INSIGHTS = 100, 3, 15, 4
@@ -143,42 +145,30 @@ def insight_features(rollup: DataFrame, labels: Mapping[str, str] = FEATURE_LABE
 # ---- tree ensembles ----------------------------------------------------------------------------
 
 
-def ensemble_nodes(model) -> list[dict]:
+def ensemble_nodes(spark: SparkSession, model) -> list[dict]:
     """The fitted ensemble as plain arrays per tree: feature, threshold, categories, children, value, cover.
 
-    Values are log-odds: Spark's probability is 1 / (1 + exp(-2 * margin)), so a leaf counts twice.
-    Spark keeps the training weight of a node as its impurity count; children are numbered in
-    pre-order. The result is model-sized metadata.
+    Read from the node table of the saved model. Values are log-odds: Spark's probability is
+    1 / (1 + exp(-2 * margin)), so a leaf counts twice. The first impurity statistic of a node is its
+    training weight; children are numbered in pre-order. The result is model-sized metadata.
     """
-    trees = []
-    for tree, weight in zip(model.trees, model.treeWeights):
-        rows: list[list] = []
-
-        def visit(node) -> int:
-            at = len(rows)
-            rows.append([])
-            is_leaf = node.subtreeDepth() == 0
-            cover = float(node.impurityStats().count())
-            if is_leaf:
-                rows[at] = [-1, 0.0, None, -1, -1, 2.0 * float(node.prediction()) * weight, cover]
-                return at
-            split = node.split()
-            kind = split.getClass().getSimpleName()
-            if kind == "CategoricalSplit":
-                rule, threshold = frozenset(split.leftCategories()), 0.0
-            else:
-                rule, threshold = None, float(split.threshold())
-            left, right = visit(node.leftChild()), visit(node.rightChild())
-            rows[at] = [int(split.featureIndex()), threshold, rule, left, right, 0.0, cover]
-            return at
-
-        visit(tree._call_java("rootNode"))
-        feature, threshold, rule, left, right, value, cover = zip(*rows)
-        trees.append(
-            {"feature": feature, "threshold": threshold, "rule": rule, "left": left, "right": right,
-             "value": value, "cover": cover}
-        )
-    return trees
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    model.write().overwrite().save(path)
+    weights = list(model.treeWeights)
+    table = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").orderBy("treeID", "id")
+    trees: dict[int, dict[str, list]] = {}
+    for r in table.collect():
+        tree = trees.setdefault(r["treeID"], {n: [] for n in ("feature", "threshold", "rule", "left", "right", "value", "cover")})
+        leaf, split = r["leftChild"] < 0, r["split"]
+        categorical = not leaf and split["numCategories"] >= 0
+        tree["feature"].append(-1 if leaf else split["featureIndex"])
+        tree["threshold"].append(0.0 if leaf or categorical else split["leftCategoriesOrThreshold"][0])
+        tree["rule"].append(frozenset(split["leftCategoriesOrThreshold"]) if categorical else None)
+        tree["left"].append(r["leftChild"])
+        tree["right"].append(r["rightChild"])
+        tree["value"].append(2.0 * r["prediction"] * weights[r["treeID"]] if leaf else 0.0)
+        tree["cover"].append(float(r["impurityStats"][0]))
+    return [trees[i] for i in sorted(trees)]
 
 
 def leaf_paths(tree: dict) -> list[tuple[float, list[tuple[int, list[tuple[int, bool]], float]]]]:
@@ -210,43 +200,62 @@ def _subset_weights(m: int) -> np.ndarray:
     return out
 
 
+def _path_values(ones: np.ndarray, zeros: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Shapley factor of each feature of a path, for paths (rows) by features (columns).
+
+    ``ones`` says whether a feature's decisions hold, ``zeros`` is the training share that follows them. The product of
+    (zero + one * t) over all features is built once; each feature is taken out of it again by one division.
+    """
+    paths, m = ones.shape
+    whole = np.zeros((paths, m + 1))
+    whole[:, 0] = 1.0
+    for j in range(m):
+        whole[:, 1 : j + 2] = whole[:, 1 : j + 2] * zeros[j] + whole[:, : j + 1] * ones[:, j : j + 1]
+        whole[:, 0] *= zeros[j]
+    out = np.empty((paths, m))
+    for k in range(m):
+        # with the feature's decisions met: divide by (zero + t) from the top; else by the constant zero
+        rest = np.zeros((paths, m))
+        rest[:, m - 1] = whole[:, m]
+        for s in range(m - 1, 0, -1):
+            rest[:, s - 1] = whole[:, s] - zeros[k] * rest[:, s]
+        if zeros[k] > 0:
+            rest = np.where(ones[:, k : k + 1] > 0, rest, whole[:, :m] / zeros[k])
+        out[:, k] = (ones[:, k] - zeros[k]) * (rest @ weights)
+    return out
+
+
 def attribute_batch(x: np.ndarray, trees: list[dict], n_features: int) -> tuple[np.ndarray, float]:
     """Exact path-dependent Shapley values of a batch, and the expected log-odds.
 
     For one leaf a feature is in the path with ``one`` = 1 when the row satisfies all its decisions
     and with ``zero`` = the training share that does. A leaf's worth for a coalition is the product
     of the members' ``one`` and the others' ``zero``, so its Shapley values follow from the
-    elementary symmetric polynomials of the path, vectorised over the batch.
+    elementary symmetric polynomials of the path. They only depend on which decisions a row meets,
+    so each pattern of a leaf is worked out once.
     """
     phi = np.zeros((len(x), n_features))
     base = 0.0
     for tree in trees:
+        if "paths" not in tree:
+            tree["paths"] = leaf_paths(tree)
         goes_left = {}
         for node, f in enumerate(tree["feature"]):
             if f >= 0:
                 rule = tree["rule"][node]
                 goes_left[node] = np.isin(x[:, f], list(rule)) if rule is not None else x[:, f] <= tree["threshold"][node]
-        for value, parts in leaf_paths(tree):
+        for value, parts in tree["paths"]:
             base += value * float(np.prod([z for _, _, z in parts])) if parts else value
             if not parts:
                 continue
-            ones = np.stack(
-                [np.logical_and.reduce([goes_left[n] == side for n, side in d]) for _, d, _ in parts]
-            ).astype(float)
-            zeros = np.array([z for _, _, z in parts])
-            weights = _subset_weights(len(parts))
-            for k, (f, _, z) in enumerate(parts):
-                poly = np.zeros((len(parts), len(x)))
-                poly[0] = 1.0
-                size = 0
-                for j in range(len(parts)):
-                    if j == k:
-                        continue
-                    size += 1
-                    for s in range(size, 0, -1):
-                        poly[s] = poly[s] * zeros[j] + poly[s - 1] * ones[j]
-                    poly[0] = poly[0] * zeros[j]
-                phi[:, f] += value * (ones[k] - z) * (weights[:, None] * poly).sum(axis=0)
+            met = np.zeros(len(x), np.int64)
+            for k, (_, decisions, _) in enumerate(parts):
+                met |= np.logical_and.reduce([goes_left[n] == side for n, side in decisions]).astype(np.int64) << k
+            patterns, of_row = np.unique(met, return_inverse=True)
+            ones = (patterns[:, None] >> np.arange(len(parts)) & 1).astype(float)
+            factors = _path_values(ones, np.array([z for _, _, z in parts]), _subset_weights(len(parts)))
+            for k, (f, _, _) in enumerate(parts):
+                phi[:, f] += value * factors[of_row, k]
     return phi, base
 
 

@@ -6,12 +6,16 @@ held-out row into an encoder, imputer or scaler.
 
 from __future__ import annotations
 
+import logging
 import math
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from threading import Lock
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -31,12 +35,17 @@ from tenura.operators.encoding import (
 )
 from tenura.operators.metrics import auc, best_thresholds, confusion, curve_cells, point_metrics, threshold_sweep
 from tenura.operators.splitting import stratified_folds, stratified_split
-from tenura.session import shared_table
+from tenura.session import shared_folder, shared_table
+
+LOG = logging.getLogger(__name__)
 
 # Fold counts, search size, regularisation, boosting defaults, search space.
 CV_FOLDS, SEARCH_FOLDS, ENCODER_FOLDS, SEARCH_TRIALS = 5, 3, 5, 20
 INVERSE_REGULARISATION, MAX_ITERATIONS = 0.1, 1000
+SEARCH_TREES = 300
 ENCODED = "_enc"
+#: Training rows that one task of the tree learner takes at least.
+TREE_TASK_ROWS = 50_000
 CV_METRICS = ("roc_auc", "f1", "precision", "recall")
 
 
@@ -200,6 +209,7 @@ def _boosted_inputs(df: DataFrame, c: Columns, sentinels: dict[str, float]) -> D
 def fit_boosted(train: DataFrame, columns: Columns, params: BoostedParams = BoostedParams(), seed: int = 42) -> BoostedModel:
     """Balanced gradient-boosted trees with native categories."""
     row = train.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(columns.numeric)],
         *[F.approx_count_distinct(c).alias(f"k{i}") for i, c in enumerate(columns.categorical)],
     ).first()
@@ -221,6 +231,8 @@ def fit_boosted(train: DataFrame, columns: Columns, params: BoostedParams = Boos
         )
     )
     prepared = with_class_weights(_boosted_inputs(train, columns, sentinels), columns.label)
+    # every tree is several small jobs, so a task should have rows enough to be worth its start
+    prepared = prepared.coalesce(max(1, -(-row["rows"] // TREE_TASK_ROWS)))
     return BoostedModel(columns, sentinels, Pipeline(stages=stages).fit(prepared), inputs)
 
 
@@ -292,7 +304,8 @@ def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) ->
     try:
         held_out = out_of_fold(train, fit, k, **split).where(F.col("part") == "test")
         return thresholds_from(held_out, "out_of_fold")
-    except Exception:  # noqa: BLE001 - the fallback covers any failed fold
+    except Exception as failure:  # noqa: BLE001 - the fallback covers any failed fold
+        LOG.warning("out-of-fold thresholds failed, an inner split is used: %s", failure)
         inner = shared_table(stratified_split(train, seed="inner", **split))
         model = fit(inner.where(F.col("part") == "train").drop("part"))
         return thresholds_from(model.score(inner.where(F.col("part") == "test").drop("part")), "inner_split")
@@ -301,7 +314,7 @@ def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) ->
 # ---- search ------------------------------------------------------------------------------------
 
 
-def search_trials(trials: int = SEARCH_TRIALS, seed: int = 42, base: BoostedParams = BoostedParams()) -> list[BoostedParams]:
+def search_trials(trials: int = SEARCH_TRIALS, seed: int = 42, base: BoostedParams = BoostedParams(n_trees=SEARCH_TREES)) -> list[BoostedParams]:
     """Seeded random settings from the search space (log-uniform, uniform, whole numbers)."""
     import random
 
@@ -328,33 +341,69 @@ def search_boosted(
     *,
     on_trial: Callable[[int, BoostedParams, float], None] | None = None,
     parallel: int = 2,
+    ledger: str | None = None,
 ) -> DataFrame:
     """``trial, <params>, auc``: mean held-out AUC per setting over the same folds.
 
-    A failing log callback never stops the search.
+    Every finished (setting, fold) is written to the ``ledger`` folder at once, with its setting and the rows it was
+    judged on; a search that starts on a ledger takes over what is there for the same setting and rows, so one that was
+    ended goes on where it stopped. ``on_trial`` is called when the last fold of a setting ends; a failing callback
+    never stops the search.
     """
+    spark = train.sparkSession
+    ledger = ledger or f"{shared_folder(spark)}/search-{uuid.uuid4().hex}"
     folded = shared_table(stratified_folds(train, k, row_id=columns.row_id, label=columns.label))
+    sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    known = {(r["trial"], r["fold"]): r for r in read_ledger(spark, ledger).collect()}
+    settings = lambda p: (*[float(getattr(p, n)) for n in SEARCH_SPACE], float(p.n_trees))
+    done: dict[int, list[float]] = {}
+    lock = Lock()
 
-    def one(job: tuple[int, int]) -> float:
+    def one(job: tuple[int, int]) -> None:
         trial, fold = job
-        model = fit_boosted(folded.where(F.col("fold") != fold), columns, trials[trial])
-        scored = model.score(folded.where(F.col("fold") == fold))
-        return auc(curve_cells(scored, ["prob"], "label")).first()["auc"]
+        params, row = trials[trial], known.get(job)
+        if row is not None and tuple(row[n] for n in (*SEARCH_SPACE, "n_trees")) == settings(params) and row["rows"] == sizes[fold]:
+            found = row["auc"]
+        else:
+            model = fit_boosted(folded.where(F.col("fold") != fold), columns, params)
+            scored = model.score(folded.where(F.col("fold") == fold))
+            found = auc(curve_cells(scored, ["prob"], "label")).first()["auc"]
+            entry = spark.createDataFrame([(trial, fold, *settings(params), sizes[fold], found)], LEDGER)
+            entry.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/trial_{trial}_fold_{fold}")
+        with lock:
+            done.setdefault(trial, []).append(found)
+            ended = len(done[trial]) == k
+        if ended and on_trial is not None:
+            try:
+                on_trial(trial, params, _mean(done[trial]))
+            except Exception as failure:  # noqa: BLE001 - logging is optional
+                LOG.warning("trial %d not logged: %s", trial, failure)
 
     jobs = [(t, f) for t in range(len(trials)) for f in range(k)]
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        found = list(pool.map(one, jobs))
-    rows = []
-    for t, params in enumerate(trials):
-        mean = sum(found[t * k : (t + 1) * k]) / k
-        if on_trial is not None:
-            try:
-                on_trial(t, params, mean)
-            except Exception:  # noqa: BLE001 - logging is optional
-                pass
-        rows.append((t, *[float(getattr(params, n)) for n in SEARCH_SPACE], mean))
+        list(pool.map(one, jobs))
+    rows = [(t, *settings(p)[:-1], _mean(done[t])) for t, p in enumerate(trials)]
     schema = "trial int, " + ", ".join(f"{n} double" for n in SEARCH_SPACE) + ", auc double"
-    return train.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, schema)
+
+
+LEDGER = "trial int, fold int, " + ", ".join(f"{n} double" for n in SEARCH_SPACE) + ", n_trees double, rows bigint, auc double"
+
+
+def _mean(values: list[float | None]) -> float | None:
+    """The mean over all folds; a fold of a single class has no AUC, and then the setting has none."""
+    return None if None in values else sum(values) / len(values)
+
+
+def read_ledger(spark, path: str) -> DataFrame:
+    """Finished (setting, fold) pairs of a search with their AUC; empty before the first has ended."""
+    reader = spark.read.schema(LEDGER).option("recursiveFileLookup", "true")
+    try:
+        return reader.parquet(path)
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
 
 
 def best_params(trials: DataFrame, base: BoostedParams = BoostedParams()) -> BoostedParams:

@@ -13,6 +13,7 @@ split further by ``row_id``.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
@@ -250,6 +251,30 @@ def rank_in_class_by_hash(
     )
 
 
+def smallest_in_class(rows: DataFrame, quota: Callable[[Column], Column]) -> DataFrame:
+    """``class, u, id``: the row that ends the first ``quota(class rows)`` of each class in the order of (u, id).
+
+    ``u`` is a uniform 32-bit hash. Its leading twelve bits are counted, then the next twelve of the one bucket of each
+    class in which the wanted row lies; only the rows that agree with it in 24 bits are ordered. A class whose quota is
+    zero has no row.
+    """
+    known = rows.where(F.col("class").isNotNull())
+    whole = Window.partitionBy("class")
+    wanted = None
+    for keep in (20, 8):
+        head = F.shiftright("u", keep)
+        inside = known if wanted is None else known.join(F.broadcast(wanted), ["class"]).where(F.shiftright("u", 20) == F.col("head"))
+        counts = inside.groupBy("class", head.alias("head"), *([] if wanted is None else ["rest"])).agg(F.count(F.lit(1)).alias("rows"))
+        rest = quota(F.sum("rows").over(whole)) if wanted is None else F.col("rest")
+        placed = counts.select("class", "head", "rows", rest.alias("rest"), F.sum("rows").over(whole.orderBy("head")).alias("upto"))
+        found = placed.where((F.col("rest") <= F.col("upto")) & (F.col("rest") > F.col("upto") - F.col("rows")))
+        # one row for each class
+        wanted = found.select("class", "head", (F.col("rest") - F.col("upto") + F.col("rows")).alias("rest"))
+    last = known.join(F.broadcast(wanted), ["class"]).where(F.shiftright("u", 8) == F.col("head"))
+    ordered = last.withColumn("place", F.row_number().over(whole.orderBy("u", "id")))
+    return ordered.where(F.col("place") == F.col("rest")).select("class", "u", "id")
+
+
 def ranks_at(probabilities: list[float], rows: Column) -> Column:
     """Array of (q, lower 0-based rank, fraction) for numpy-style linear quantiles of ``rows`` values."""
     return F.array(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tenura.functions.expressions import hash32
-from tenura.operators.ranking import rank_in_class_by_hash
+from tenura.operators.ranking import rank_in_class_by_hash, smallest_in_class
 
 SEED = 42
 TEST_PERCENT = 20
@@ -29,10 +29,19 @@ def stratified_split(
     test_percent: int = TEST_PERCENT,
     seed: int | str = SEED,
 ) -> DataFrame:
-    """Add ``part``: exactly the first ceil(percent) of each class in hash order are ``test``."""
-    quota = F.ceil(F.col("class_rows") * test_percent / F.lit(100.0))
-    part = F.when(F.col("rank") <= quota, "test").otherwise("train")
-    return _ranked(df, row_id, label, seed).withColumn("part", part).drop("rank", "class_rows")
+    """Add ``part``: exactly the first ceil(percent) of each class in hash order are ``test``.
+
+    The last test row of each class is found from counts of the hash; then every row is compared with it where it
+    stands, so no row moves. Rows without a class are left out.
+    """
+    narrow = df.select(F.col(label).alias("class"), split_hash(row_id, seed).alias("u"), F.col(row_id).alias("id"))
+    quota = lambda rows: F.ceil(rows * test_percent / F.lit(100.0)).cast("bigint")
+    last = smallest_in_class(narrow, quota)
+    u, mine = split_hash(row_id, seed), F.get(F.filter(F.col("__last"), lambda x: x["class"] == F.col(label)), F.lit(0))
+    within = (u < mine["u"]) | ((u == mine["u"]) & (F.col(row_id) <= mine["id"]))
+    part = F.when(F.coalesce(within, F.lit(False)), "test").otherwise("train")
+    known = df.where(F.col(label).isNotNull())
+    return known.withColumn("__last", last.agg(F.collect_list(F.struct("class", "u", "id"))).scalar()).withColumn("part", part).drop("__last")
 
 
 def stratified_folds(

@@ -406,6 +406,10 @@ SELECT winner, reason, winner AS selected_model, reason AS selection_reason FROM
 
 ORACLES["stratified_split"] = f"""WITH {BASE}, k AS (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY {h("concat('42:', row_id)")}, row_id) AS k, count(*) OVER (PARTITION BY label) AS n FROM base)
 SELECT row_id, label, CASE WHEN k <= ceil(n * 20 / 100.0) THEN 'test' ELSE 'train' END AS part FROM k"""
+ORACLES["row_identity"] = """WITH d AS (SELECT *, md5(concat_ws(',', """ + ", ".join(
+    f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("text", "lang", "source", "n_chars")
+) + """)) AS digest FROM documents)
+SELECT row_number() OVER (ORDER BY digest) - 1 AS row_id, lang, source, n_chars, md5(text) AS text_md5 FROM d"""
 FOLDED = f"""folded AS (SELECT *, ((row_number() OVER (PARTITION BY label ORDER BY {h("concat('42:', row_id)")}, row_id) - 1) % 5)::INTEGER AS fold FROM base)"""
 ORACLES["stratified_folds"] = f"WITH {BASE}, {FOLDED} SELECT row_id, label, fold FROM folded"
 ORACLES["explanation_sample"] = f"""WITH {SCORES} SELECT row_id, label FROM scores ORDER BY {h("concat('explain:', row_id)")}, row_id LIMIT 2000"""

@@ -13,6 +13,7 @@ from tenura.operators import (
     correlation,
     encoding,
     features,
+    identity,
     metrics,
     models,
     profiling,
@@ -484,6 +485,12 @@ def stratified_split(spark, sf):
     return splitting.stratified_split(base_of(spark, sf).select("row_id", "label"))
 
 
+@query
+def row_identity(spark, sf):
+    docs = tables.read(spark, sf, "documents").drop("doc_id")
+    return identity.with_content_id(docs).select("row_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
+
+
 @query
 def stratified_folds(spark, sf):
     return splitting.stratified_folds(base_of(spark, sf).select("row_id", "label"))
@@ -640,7 +647,7 @@ def search_trials(spark, sf):
 def tree_attribution(spark, sf):
     train, test, columns = _parts(spark, sf)
     fitted = models.fit_boosted(train, columns)
-    trees = attribution.ensemble_nodes(fitted.ensemble)
+    trees = attribution.ensemble_nodes(spark, fitted.ensemble)
     return attribution.tree_attribution(fitted.transform(test), trees, fitted.inputs)
 
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenura.operators import attribution, cleaning, comparison, features, metrics, models, resampling, segments, splitting
+from tenura.operators.identity import with_content_id
 from tenura.plans import reports
 from tenura.roles import FLAG_SUFFIX, Roles
 from tenura.session import shared_table
@@ -34,11 +35,12 @@ class Settings:
 
 
 def with_row_id(df: DataFrame, roles: Roles) -> DataFrame:
-    """Give every row an identity once and freeze it by writing the table.
+    """Give every row an identity from its content and freeze it by writing the table.
 
-    Equal rows get different ids, and nothing later depends on the order of rows.
+    Equal rows get different ids, and neither the order of rows nor their files and partitions matter: the hold-out of
+    a table is the same however it is stored.
     """
-    return shared_table(df.withColumn(roles.row_id, F.monotonically_increasing_id()))
+    return shared_table(with_content_id(df, roles.row_id))
 
 
 def prepare(spark: SparkSession, s: Settings) -> DataFrame:
@@ -192,7 +194,7 @@ def evaluate(spark: SparkSession, s: Settings, trained: dict[str, object]) -> Da
     writers.write_predictions(segments.predictions_table(scored, "prob", "label", named), f"{s.output}/predictions")
     sample = trained["test"] if s.explain_rows is None else splitting.explanation_sample(trained["test"], s.explain_rows, id_name)
     if winner == comparison.COMPLEX:
-        trees = attribution.ensemble_nodes(fitted.ensemble)
+        trees = attribution.ensemble_nodes(spark, fitted.ensemble)
         contributions = attribution.tree_attribution(fitted.transform(sample), trees, fitted.inputs, row_id=id_name)
     else:
         contributions = attribution.linear_attribution(fitted.transformed(sample), fitted.coefficients(), row_id=id_name)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tenura.operators import attribution, models, splitting
+from tenura.operators import attribution, models, ranking, splitting
 
 
 @pytest.fixture(scope="module")
@@ -56,7 +56,7 @@ def test_top_drivers_order_and_ties(spark):
 
 def test_tree_attribution_is_exact(spark, customers):
     fitted = models.fit_boosted(customers, COLUMNS, QUICK)
-    trees = attribution.ensemble_nodes(fitted.ensemble)
+    trees = attribution.ensemble_nodes(spark, fitted.ensemble)
     sample = fitted.transform(customers.where("row_id < 25"))
     parts = attribution.tree_attribution(sample, trees, fitted.inputs).toPandas()
     sums = parts.groupby("row_id").value.sum() + attribution.expected_margin(trees)
@@ -145,3 +145,75 @@ def test_search_space_and_logging(customers):
     assert table.first()["auc"] > 0.8 and models.best_params(table, QUICK).max_depth == 3
     assert models.best_params(table.where("trial < 0"), QUICK) == QUICK
     assert models.importance_table(customers.sparkSession, {"a": -2.0, "b": 1.0}).first()["direction"] == "decreases"
+
+
+def test_search_goes_on_where_it_stopped(spark, customers, tmp_path, monkeypatch):
+    """A search that is ended after two of six fits repeats none of them, and logs each setting once."""
+    trials, path, real, fits, logged = [QUICK, models.replace(QUICK, max_depth=2), models.replace(QUICK, n_trees=2)], str(tmp_path / "ledger"), models.fit_boosted, [], []
+
+    def counted(*args):
+        if len(fits) == 2:
+            raise KeyboardInterrupt
+        fits.append(args[2])
+        return real(*args)
+
+    monkeypatch.setattr(models, "fit_boosted", counted)
+    with pytest.raises(KeyboardInterrupt):
+        models.search_boosted(customers, COLUMNS, trials, 2, parallel=1, ledger=path)
+    assert models.read_ledger(spark, path).count() == 2
+    monkeypatch.setattr(models, "fit_boosted", lambda *args: (fits.append(args[2]), real(*args))[1])
+    table = models.search_boosted(customers, COLUMNS, trials, 2, parallel=1, ledger=path, on_trial=lambda t, p, a: logged.append((t, a)))
+    assert len(fits) == 6 and sorted(t for t, _ in logged) == [0, 1, 2]
+    rows = models.read_ledger(spark, path).collect()
+    assert sorted((r["trial"], r["fold"]) for r in rows) == [(t, f) for t in range(3) for f in range(2)]
+    assert sum(r["rows"] for r in rows) == 3 * 400
+    means = {t: sum(r["auc"] for r in rows if r["trial"] == t) / 2 for t in range(3)}
+    assert {r["trial"]: r["auc"] for r in table.collect()} == pytest.approx(means)
+    # another setting under the same number is fitted anew
+    models.search_boosted(customers, COLUMNS, [models.replace(QUICK, max_depth=1)], 2, parallel=1, ledger=path)
+    assert len(fits) == 8
+
+
+def test_hold_out_does_not_depend_on_partitions(spark):
+    from tenura.plans import workflow
+    from tenura.roles import Roles
+
+    rows = [(str(i % 40), None if i % 3 else "x", "1,5" if i % 2 else "", str(i % 2)) for i in range(200)] + [("hot", "a", None, "1")] * 100
+    found = []
+    for parts in (1, 3, 17):
+        df = spark.createDataFrame(rows[::-1] if parts == 3 else rows, "a string, b string, c string, churn string").repartition(parts)
+        known = workflow.with_row_id(df, Roles())
+        assert sorted(r[0] for r in known.select(Roles().row_id).collect()) == list(range(300))
+        split = splitting.stratified_split(known, row_id=Roles().row_id, label="churn")
+        found.append(sorted(map(repr, split.collect())))
+    assert found[0] == found[1] == found[2]
+
+
+def test_equal_rows_are_numbered_by_many_tasks(spark, monkeypatch):
+    from tenura.operators import identity
+
+    monkeypatch.setattr(identity, "EQUAL_ROWS", 7)
+    df = spark.createDataFrame([("a", None)] * 50 + [("b", "")] * 3 + [("b", None)], "x string, y string")
+    got = identity.with_content_id(df).collect()
+    assert sorted(r["row_id"] for r in got) == list(range(54))
+    numbers = sorted(r["row_id"] for r in got if r["x"] == "a")
+    assert numbers == list(range(numbers[0], numbers[0] + 50))
+    assert identity.with_content_id(df.limit(0)).count() == 0
+
+
+def test_split_moves_no_feature(spark):
+    """Only counts of the hash cross an exchange; a class of one row and a null class are defined."""
+    df = spark.range(5000).select(F.col("id").alias("row_id"), (F.col("id") % 3).cast("int").alias("label"), F.rand(1).alias("feature"))
+    df = df.unionByName(spark.createDataFrame([(9001, 7, 0.5), (9002, None, 0.5)], "row_id long, label int, feature double"))
+    split = splitting.stratified_split(df)
+    # the rows themselves are only projected; the subquery that finds the last test rows never reads a feature
+    operators = [str(n) for n in split._jdf.queryExecution().optimizedPlan().toString().splitlines() if not n.lstrip().startswith(":")]
+    assert not any(word in line for line in operators for word in ("Join", "Aggregate", "Window", "Repartition"))
+    narrow = df.select(F.col("label").alias("class"), splitting.split_hash("row_id").alias("u"), F.col("row_id").alias("id"))
+    assert "feature" not in ranking.smallest_in_class(narrow, lambda n: n)._jdf.queryExecution().optimizedPlan().toString()
+    ranked = {}
+    for r in df.where("label is not null").select("label", "row_id", splitting.split_hash("row_id").alias("u")).collect():
+        ranked.setdefault(r["label"], []).append((r["u"], r["row_id"]))
+    want = {i for rows in ranked.values() for _, i in sorted(rows)[: -(-len(rows) * 20 // 100)]}
+    assert {r["row_id"] for r in split.where("part = 'test'").collect()} == want
+    assert split.count() == 5001

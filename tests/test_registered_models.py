@@ -34,4 +34,4 @@ def test_search_uses_all_trials_and_folds(parts, monkeypatch):
     monkeypatch.setattr(models, "search_boosted", lambda train, columns, trials, k=models.SEARCH_FOLDS: seen.append((trials, k)))
     queries.QUERIES["search_trials"](None, "")
     (trials, k), = seen
-    assert len(trials) == 20 and k == 3 and all(t.n_trees == 500 for t in trials)
+    assert len(trials) == 20 and k == 3 and all(t.n_trees == 300 for t in trials)
