@@ -14,15 +14,22 @@ from tenura.operators.profiling import tall
 COLLINEAR_ABOVE = 0.85
 
 
-def _pearson(x: str, y: str):
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
 def correlation_with_target(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """``series, n, r`` per column; a constant column gives NULL. Co-moments merge map-side."""
-    long = tall(df, columns, [F.col(label).cast("double").alias("y")]).where(F.col("y").isNotNull())
-    return long.groupBy("series").agg(F.count(F.lit(1)).alias("n"), _pearson("value", "y").alias("r"))
+    """``series, n, r`` per column; a constant column gives NULL, a column without any pair has no row.
+
+    One aggregate over the table as it stands: the co-moments of all columns are merged map-side, and only the single
+    row of results is turned into one row a column.
+    """
+    y = F.col(label).cast("double")
+    found = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+        found.append(F.struct(F.lit(c).alias("series"), F.count_if(both).alias("n"), F.try_divide(F.covar_pop(x, y), spread).alias("r")))
+    if not found:
+        return df.sparkSession.createDataFrame([], "series string, n bigint, r double")
+    return df.agg(F.array(*found).alias("__found")).select(F.inline("__found")).where(F.col("n") > 0)
 
 
 def top_correlated(correlations: DataFrame, k: int) -> DataFrame:
@@ -30,19 +37,12 @@ def top_correlated(correlations: DataFrame, k: int) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Lower triangle ``a, b, n, r`` over column pairs (a later than b), for a modest column list."""
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("a"), F.lit(b).alias("b"),
-                F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"),
-            )
-            for i, a in enumerate(columns)
-            for b in columns[:i]
-        ]
-    )
-    long = df.select(F.inline(pairs)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return long.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), _pearson("x", "y").alias("r"))
+    """Lower triangle ``a, b, n, r`` over column pairs (a later than b); pairs without a common row have none."""
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "a string, b string, n bigint, r double")
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = wide_correlations(df, columns).where(F.col("n") > 0)
+    return pairs.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), F.col("n").cast("bigint").alias("n"), "r")
 
 
 PAIR_SUMS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"

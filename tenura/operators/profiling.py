@@ -141,17 +141,29 @@ def outlier_share(
     min_rows: int = OUTLIER_MIN_ROWS,
     min_percent: float = OUTLIER_MIN_PERCENT,
 ) -> DataFrame:
-    """Percent of values more than ``z`` population deviations from the mean, above ``min_percent``."""
-    long = tall(df, columns)
-    stats = long.groupBy("series").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"), F.stddev_pop("value").alias("s")
-    )
-    # One row per column of the schema.
-    scored = long.join(F.broadcast(stats.where(F.col("n") >= min_rows)), "series")
-    far = F.coalesce(F.abs(F.try_divide(F.col("value") - F.col("m"), F.col("s"))) > z, F.lit(False))
+    """Percent of values more than ``z`` population deviations from the mean, above ``min_percent``.
+
+    Two aggregates over the table as it stands: means and deviations of all columns, then the values beyond them.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "series string, n bigint, n_outliers bigint, outlier_pct double")
+    value = {c: F.col(c).cast("double") for c in columns}
+    stats = df.agg(
+        F.struct(
+            *[F.struct(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).alias(f"c{i}") for i, x in enumerate(value.values())]
+        ).alias("__s")
+    ).scalar()
+    far = [
+        F.abs(F.try_divide(x - F.col(f"__s.c{i}.m"), F.col(f"__s.c{i}.s"))) > z for i, x in enumerate(value.values())
+    ]
+    counts = [
+        F.struct(F.lit(c).alias("series"), F.count(x).alias("n"), F.count_if(hit).alias("n_outliers"))
+        for (c, x), hit in zip(value.items(), far)
+    ]
+    found = df.select(*columns).withColumn("__s", stats).agg(F.array(*counts).alias("__found"))
     return (
-        scored.groupBy("series")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(far).alias("n_outliers"))
+        found.select(F.inline("__found"))
+        .where(F.col("n") >= min_rows)
         .withColumn("outlier_pct", F.col("n_outliers") * 100.0 / F.col("n"))
         .where(F.col("outlier_pct") > min_percent)
         .orderBy(F.desc("outlier_pct"), "series")

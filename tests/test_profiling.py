@@ -33,6 +33,26 @@ def test_correlations_against_pandas(spark):
     assert tall["k", "a"][1] is None and wide["k", "a"][1] is None
 
 
+def test_column_statistics_do_not_unpivot(spark):
+    df = frame(spark)
+    for found in (
+        correlation.correlation_with_target(df, ["a", "b", "k"], "label"),
+        correlation.correlation_matrix(df, ["a", "b", "k"]),
+        profiling.outlier_share(df, ["a", "b", "k"]),
+    ):
+        # rows may be made of the single row of an aggregate, not of the table
+        below = found._jdf.queryExecution().optimizedPlan().toString().split("Aggregate", 1)[1]
+        assert "Generate" not in below and "Expand" not in below
+
+
+def test_column_statistics_of_nothing(spark):
+    none = frame(spark).where("row_id < 0")
+    assert correlation.correlation_with_target(none, ["a"], "label").count() == 0
+    assert correlation.correlation_matrix(none, ["a", "b"]).count() == 0
+    assert correlation.correlation_with_target(none, [], "label").count() == 0
+    assert profiling.outlier_share(none, ["a"]).count() == 0 and profiling.outlier_share(none, []).count() == 0
+
+
 def test_collinear_rule():
     names = ["a", "b", "c", "d"]
     close = {(1, 0): 0.9, (2, 0): -0.95, (3, 2): 0.99}
