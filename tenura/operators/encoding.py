@@ -1,7 +1,8 @@
 """Fitted column transforms: target encoding, median imputation, robust scaling.
 
-Each ``fit_*`` result is a small table computed by Spark from the training rows only; each
-``apply_*`` is a projection or a join with that table.
+Each ``fit_*`` and ``crossfit_*`` result is a table computed by Spark from the training rows only and written once; each
+``apply_*`` is a projection or a join with that table. Spark knows the size of a written table and broadcasts it below
+its own threshold in bytes; a larger one joins by shuffle, where AQE splits a hot category, NULL included.
 """
 
 from __future__ import annotations
@@ -10,9 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenura.operators.profiling import tall_text
 from tenura.operators.ranking import quantiles_from_cells, value_cells
-from tenura.session import broadcast_if_small
-
-MAX_BROADCAST_CATEGORIES = 500_000
+from tenura.session import shared_table
 
 
 def _smoothed(n: Column, positives: Column, all_n: Column, all_positives: Column) -> Column:
@@ -38,25 +37,20 @@ def fit_target_encoding(train: DataFrame, columns: list[str], label: str) -> Dat
     whole = counts.groupBy("feature").agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
     # One row per column of the schema.
     joined = counts.join(F.broadcast(whole), "feature")
-    return joined.select(
+    return shared_table(joined.select(
         "feature", "category", F.col("n").cast("bigint").alias("n"),
         _smoothed(F.col("n"), F.col("pos"), F.col("all_n"), F.col("all_pos")).alias("encoding"),
         (F.col("all_pos") / F.col("all_n")).alias("overall"),
-    )
+    ))
 
 
 def apply_target_encoding(
     df: DataFrame, encoding: DataFrame, columns: list[str], *, suffix: str = "_enc"
 ) -> DataFrame:
-    """Look up each column's encoding; an unseen category gets the overall mean.
-
-    The encoding table is broadcast only after its rows were counted; a larger one joins by
-    shuffle, where AQE splits skewed categories.
-    """
-    table = broadcast_if_small(encoding, MAX_BROADCAST_CATEGORIES)
-    overall = table.agg(F.max("overall").alias("overall")).scalar()
+    """Look up each column's encoding; an unseen category gets the overall mean."""
+    overall = encoding.agg(F.max("overall").alias("overall")).scalar()
     for c in columns:
-        lookup = table.where(F.col("feature") == c).select(
+        lookup = encoding.where(F.col("feature") == c).select(
             F.col("category").alias("__k"), F.col("encoding").alias("__e")
         )
         df = (
@@ -92,19 +86,18 @@ def crossfit_encoding(train: DataFrame, columns: list[str], label: str, fold: st
     others_n, others_pos = F.col("all_n") - F.col("fold_n"), F.col("all_pos") - F.col("fold_pos")
     overall = others_pos / others_n
     smoothed = _smoothed(rest_n, rest_pos, others_n, others_pos)
-    return joined.select(
+    return shared_table(joined.select(
         "feature", "category", "fold",
         F.when(rest_n > 0, smoothed).otherwise(overall).alias("encoding"),
-    )
+    ))
 
 
 def apply_crossfit_encoding(
     train: DataFrame, encoding: DataFrame, columns: list[str], fold: str, *, suffix: str = "_enc"
 ) -> DataFrame:
     """Encode training rows by the statistics of the other folds."""
-    table = broadcast_if_small(encoding, MAX_BROADCAST_CATEGORIES)
     for c in columns:
-        lookup = table.where(F.col("feature") == c).select(
+        lookup = encoding.where(F.col("feature") == c).select(
             F.col("category").alias("__k"), F.col("fold").alias("__f"), F.col("encoding").alias("__e")
         )
         match = F.col(c).cast("string").eqNullSafe(F.col("__k")) & (F.col(fold) == F.col("__f"))

@@ -16,13 +16,13 @@ from functools import reduce
 from threading import Lock
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tenura.functions.expressions import overfit_flag
+from tenura.operators.category_bins import BINS, apply_category_bins, fit_category_bins, unseen_bins
 from tenura.operators.correlation import multicollinear_columns
 from tenura.operators.encoding import (
     apply_crossfit_encoding,
@@ -44,6 +44,8 @@ CV_FOLDS, SEARCH_FOLDS, ENCODER_FOLDS, SEARCH_TRIALS = 5, 3, 5, 20
 INVERSE_REGULARISATION, MAX_ITERATIONS = 0.1, 1000
 SEARCH_TREES = 300
 ENCODED = "_enc"
+#: Bins of a feature in the tree learner: every bin of a category, and one more.
+MAX_BINS = BINS + 1
 #: Training rows that one task of the tree learner takes at least.
 TREE_TASK_ROWS = 50_000
 CV_METRICS = ("roc_auc", "f1", "precision", "recall")
@@ -175,15 +177,20 @@ def fit_linear(train: DataFrame, columns: Columns, *, drop_collinear: bool = Tru
 
 @dataclass
 class BoostedModel:
-    """Fitted indexers and ensemble; numeric NULLs become a value below the range plus an indicator."""
+    """Fitted category bins and ensemble; numeric NULLs become a value below the range plus an indicator."""
 
     columns: Columns
     sentinels: dict[str, float]
-    model: PipelineModel
+    bins: DataFrame | None
+    unseen: dict[str, int]
+    model: object
     inputs: list[str]
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        return _boosted_inputs(df, self.columns, self.sentinels)
+        ready = _boosted_inputs(df, self.columns, self.sentinels)
+        if self.bins is not None:
+            ready = apply_category_bins(ready, self.bins, self.unseen)
+        return VectorAssembler(inputCols=self.inputs, outputCol="features").transform(ready)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.prepare(df))
@@ -193,7 +200,7 @@ class BoostedModel:
 
     @property
     def ensemble(self):
-        return self.model.stages[-1]
+        return self.model
 
     def importances(self) -> dict[str, float]:
         return dict(zip(self.inputs, (float(v) for v in self.ensemble.featureImportances.toArray())))
@@ -207,33 +214,31 @@ def _boosted_inputs(df: DataFrame, c: Columns, sentinels: dict[str, float]) -> D
 
 
 def fit_boosted(train: DataFrame, columns: Columns, params: BoostedParams = BoostedParams(), seed: int = 42) -> BoostedModel:
-    """Balanced gradient-boosted trees with native categories."""
+    """Balanced gradient-boosted trees; categories enter as ordered bins, so their number does not matter to the learner."""
     row = train.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(columns.numeric)],
-        *[F.approx_count_distinct(c).alias(f"k{i}") for i, c in enumerate(columns.categorical)],
     ).first()
     sentinels = {c: (row[f"lo{i}"] if row[f"lo{i}"] is not None else 0.0) - 1.0 for i, c in enumerate(columns.numeric)}
-    levels = max([int(1.2 * row[f"k{i}"]) + 3 for i, _ in enumerate(columns.categorical)], default=0)
-    indexed = [c + "__idx" for c in columns.categorical]
-    inputs = [*columns.numeric, *columns.flags, *[f"{c}__absent" for c in columns.numeric], *indexed]
-    stages: list = []
-    if indexed:
-        stages.append(StringIndexer(inputCols=list(columns.categorical), outputCols=indexed, handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
+    binned = [c + "__bin" for c in columns.categorical]
+    inputs = [*columns.numeric, *columns.flags, *[f"{c}__absent" for c in columns.numeric], *binned]
+    bins, unseen = None, {}
+    if binned:
+        bins = shared_table(fit_category_bins(_boosted_inputs(train, columns, sentinels), list(columns.categorical), columns.label))
+        unseen = unseen_bins(bins)
+    fitted = BoostedModel(columns, sentinels, bins, unseen, None, inputs)
     columns_per_node = max(1, round(params.colsample_bytree * len(inputs)))
-    stages.append(
-        GBTClassifier(
-            labelCol=columns.label, weightCol="weight", seed=seed, maxIter=params.n_trees,
-            stepSize=params.learning_rate, maxDepth=params.max_depth,
-            minInstancesPerNode=params.min_child_samples, subsamplingRate=params.subsample,
-            featureSubsetStrategy=str(columns_per_node), maxBins=max(32, levels),
-        )
+    learner = GBTClassifier(
+        labelCol=columns.label, weightCol="weight", seed=seed, maxIter=params.n_trees,
+        stepSize=params.learning_rate, maxDepth=params.max_depth,
+        minInstancesPerNode=params.min_child_samples, subsamplingRate=params.subsample,
+        featureSubsetStrategy=str(columns_per_node), maxBins=MAX_BINS,
     )
-    prepared = with_class_weights(_boosted_inputs(train, columns, sentinels), columns.label)
+    weighted = with_class_weights(train, columns.label)
+    ready = shared_table(fitted.prepare(weighted).select("features", columns.label, "weight"))
     # every tree is several small jobs, so a task should have rows enough to be worth its start
-    prepared = prepared.coalesce(max(1, -(-row["rows"] // TREE_TASK_ROWS)))
-    return BoostedModel(columns, sentinels, Pipeline(stages=stages).fit(prepared), inputs)
+    fitted.model = learner.fit(ready.coalesce(max(1, -(-row["rows"] // TREE_TASK_ROWS))))
+    return fitted
 
 
 # ---- validation --------------------------------------------------------------------------------
@@ -299,16 +304,25 @@ def thresholds_from(scored: DataFrame, source: str) -> DataFrame:
     )
 
 
-def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) -> DataFrame:
-    """Thresholds from out-of-fold scores; if that fails, from an inner 80/20 split."""
+def validate(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) -> tuple[DataFrame, DataFrame | None]:
+    """(thresholds, fold summary) from the same out-of-fold scores.
+
+    If a fold fails, thresholds come from an inner 80/20 split, there is no summary, and the cause is logged with its
+    trace.
+    """
     try:
-        held_out = out_of_fold(train, fit, k, **split).where(F.col("part") == "test")
-        return thresholds_from(held_out, "out_of_fold")
-    except Exception as failure:  # noqa: BLE001 - the fallback covers any failed fold
-        LOG.warning("out-of-fold thresholds failed, an inner split is used: %s", failure)
+        folds = out_of_fold(train, fit, k, **split)
+        return thresholds_from(folds.where(F.col("part") == "test"), "out_of_fold"), cv_summary(fold_metrics(folds, k=k))
+    except Exception:  # noqa: BLE001 - the fallback covers any failed fold
+        LOG.warning("out-of-fold scores failed, thresholds come from an inner split", exc_info=True)
         inner = shared_table(stratified_split(train, seed="inner", **split))
         model = fit(inner.where(F.col("part") == "train").drop("part"))
-        return thresholds_from(model.score(inner.where(F.col("part") == "test").drop("part")), "inner_split")
+        return thresholds_from(model.score(inner.where(F.col("part") == "test").drop("part")), "inner_split"), None
+
+
+def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) -> DataFrame:
+    """Thresholds from out-of-fold scores; if that fails, from an inner 80/20 split."""
+    return validate(train, fit, k, **split)[0]
 
 
 # ---- search ------------------------------------------------------------------------------------

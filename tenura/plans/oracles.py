@@ -406,6 +406,19 @@ SELECT winner, reason, winner AS selected_model, reason AS selection_reason FROM
 
 ORACLES["stratified_split"] = f"""WITH {BASE}, k AS (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY {h("concat('42:', row_id)")}, row_id) AS k, count(*) OVER (PARTITION BY label) AS n FROM base)
 SELECT row_id, label, CASE WHEN k <= ceil(n * 20 / 100.0) THEN 'test' ELSE 'train' END AS part FROM k"""
+ORACLES["model_round_trip"] = f"""WITH {BASE}, k AS (SELECT label, ceil(count(*) * 20 / 100.0) AS held FROM base GROUP BY label)
+SELECT sum(held)::BIGINT AS n_rows, 0::BIGINT AS n_different FROM k"""
+ORACLES["category_rate_bins"] = """WITH lines AS (SELECT l_partkey::VARCHAR AS l_partkey, l_suppkey::VARCHAR AS l_suppkey, l_linestatus, l_returnflag = 'R' AS y FROM lineitem WHERE l_returnflag IS NOT NULL),
+c AS (SELECT 'l_partkey' AS feature, l_partkey AS category, count(*) AS n, count_if(y) AS pos FROM lines GROUP BY l_partkey
+  UNION ALL SELECT 'l_suppkey', l_suppkey, count(*), count_if(y) FROM lines GROUP BY l_suppkey
+  UNION ALL SELECT 'l_linestatus', l_linestatus, count(*), count_if(y) FROM lines GROUP BY l_linestatus),
+t AS (SELECT feature, sum(pos)::DOUBLE / sum(n)::DOUBLE AS g FROM c GROUP BY feature),
+s AS (SELECT c.*, g, floor((pos + g * 10) / (n + 10) * 65536)::BIGINT AS step FROM c JOIN t USING (feature)),
+p AS (SELECT *, dense_rank() OVER (PARTITION BY feature ORDER BY step) - 1 AS place, sum(n) OVER (PARTITION BY feature) AS total,
+  coalesce(sum(n) OVER (PARTITION BY feature ORDER BY step RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s),
+b AS (SELECT *, CASE WHEN max(place) OVER (PARTITION BY feature) < 255 THEN place ELSE 255 * before // total END AS bin FROM p)
+SELECT feature, category, n::BIGINT AS n, pos::BIGINT AS pos, bin::INTEGER AS bin,
+  coalesce(max(CASE WHEN step <= floor(g * 65536) THEN bin END) OVER (PARTITION BY feature), 0)::INTEGER AS unseen FROM b"""
 ORACLES["row_identity"] = """WITH d AS (SELECT *, md5(concat_ws(',', """ + ", ".join(
     f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("text", "lang", "source", "n_chars")
 ) + """)) AS digest FROM documents)

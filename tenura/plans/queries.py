@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tenura.operators import (
     attribution,
+    category_bins,
     cleaning,
     comparison,
     correlation,
@@ -16,6 +18,7 @@ from tenura.operators import (
     identity,
     metrics,
     models,
+    persistence,
     profiling,
     ranking,
     resampling,
@@ -26,7 +29,8 @@ from tenura.operators import (
 from tenura.functions.expressions import clean_category, decimal_comma
 from tenura.plans import reports, tables
 from tenura.roles import FLAG_SUFFIX
-from tenura.session import shared_table
+from tenura.session import shared_folder, shared_table
+from tenura.sources import writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -618,6 +622,26 @@ def lr_scores(spark, sf):
     return models.fit_linear(train, columns).score(test)
 
 
+@query
+def category_rate_bins(spark, sf):
+    """Bins of parts, suppliers and line statuses by their rate of returned lines."""
+    lines = tables.read(spark, sf, "lineitem").withColumn("label", (F.col("l_returnflag") == "R").cast("int"))
+    return category_bins.fit_category_bins(lines, ["l_partkey", "l_suppkey", "l_linestatus"], "label")
+
+
+@query
+def model_round_trip(spark, sf):
+    """Hold-out rows, and how many a model that was written and read back scores differently."""
+    train, test, columns = _parts(spark, sf)
+    fitted = models.fit_linear(train, columns)
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    writers.write_model(persistence.pipeline(fitted), path)
+    again = persistence.load_model(spark, path).score(test).select("row_id", F.col("prob").alias("again"))
+    both = fitted.score(test).join(again, "row_id", "full")
+    differs = ~F.col("prob").eqNullSafe(F.col("again"))
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(differs).alias("n_different"))
+
+
 @query
 def gbt_scores(spark, sf):
     train, test, columns = _parts(spark, sf)

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tenura.operators import attribution, cleaning, comparison, features, metrics, models, resampling, segments, splitting
+from tenura.operators import attribution, cleaning, comparison, features, metrics, models, persistence, resampling, segments, splitting
 from tenura.operators.identity import with_content_id
 from tenura.plans import reports
 from tenura.roles import FLAG_SUFFIX, Roles
@@ -109,9 +109,13 @@ def train_and_compare(spark: SparkSession, s: Settings, prepared: DataFrame) ->
 
     def one(name: str) -> tuple[object, DataFrame, DataFrame]:
         fitted = fits[name](train)
-        thresholds = shared_table(models.select_thresholds(train, fits[name], s.folds, **keys))
-        scored = shared_table(fitted.score(test))
-        return fitted, thresholds, scored
+        thresholds, summary = models.validate(train, fits[name], s.folds, **keys)
+        if summary is not None:
+            writers.write_report(summary, f"{s.output}/cross_validation/{name}")
+        writers.write_model(persistence.pipeline(fitted), f"{s.output}/models/{name}")
+        weights = fitted.coefficients() if name == comparison.SIMPLE else fitted.importances()
+        writers.write_report(models.importance_table(spark, weights, k=None), f"{s.output}/model_weights/{name}")
+        return fitted, shared_table(thresholds), shared_table(fitted.score(test))
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         results = dict(zip(fits, pool.map(one, fits)))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tenura.operators import attribution, models, ranking, splitting
+from tenura.operators import attribution, category_bins, models, persistence, ranking, splitting
+from tenura.sources import writers
 
 
 @pytest.fixture(scope="module")
@@ -219,3 +220,50 @@ def test_split_moves_only_keys(spark, tmp_path):
     want = {i for rows in ranked.values() for _, i in sorted(rows)[: -(-len(rows) * 20 // 100)]}
     assert {r["row_id"] for r in split.where("part = 'test'").collect()} == want
     assert split.count() == 5001
+
+
+def test_bins_follow_the_smoothed_rate(spark):
+    """Few rates have a bin each; many are cut by the rows before them; NULL is a category; unseen ones sit in the middle."""
+    rows = [("a", 1)] * 30 + [("a", 0)] * 10 + [("b", 0)] * 40 + [(None, 1)] * 20 + [(None, 0)] * 20 + [("c", None)]
+    found = category_bins.fit_category_bins(spark.createDataFrame(rows, "k string, label int"), ["k"], "label")
+    assert {(r["category"], r["n"], r["pos"], r["bin"]) for r in found.collect()} == {("b", 40, 0, 0), (None, 40, 20, 1), ("a", 40, 30, 2)}
+    assert category_bins.unseen_bins(found) == {"k": 0}
+    two = category_bins.fit_category_bins(spark.createDataFrame(rows, "k string, label int"), ["k"], "label", bins=2)
+    assert {r["category"]: r["bin"] for r in two.collect()} == {"b": 0, None: 0, "a": 1}
+    asked = spark.createDataFrame([("a",), (None,), ("new",)], "k string")
+    got = category_bins.apply_category_bins(asked, found, {"k": 0}).collect()
+    assert {(r["k"], r["k__bin"]) for r in got} == {("a", 2.0), (None, 1.0), ("new", 0.0)}
+    none = spark.createDataFrame([], "k string, label int")
+    assert category_bins.fit_category_bins(none, ["k"], "label").count() == 0
+
+
+def test_a_million_categories_need_no_more_bins(spark):
+    """The learner's bins do not follow the number of categories, and the categories stay in a table."""
+    n = 1_000_000
+    df = spark.range(2 * n).select(
+        F.col("id").alias("row_id"), F.concat(F.lit("k"), (F.col("id") % n).cast("string")).alias("key"),
+        ((F.col("id") % n) % 4 == 0).cast("int").alias("label"),
+    )
+    fitted = models.fit_boosted(df, models.Columns((), ("key",)), models.BoostedParams(n_trees=2, max_depth=2, learning_rate=0.3))
+    assert fitted.model.getMaxBins() == 256 and fitted.bins.count() == n
+    assert fitted.bins.agg(F.max("bin")).first()[0] < 255
+    right = fitted.score(df.where("row_id < 2000")).where("pred = label").count()
+    assert right == 2000
+    unknown = spark.createDataFrame([(1, "never seen", 0), (2, None, 0)], "row_id long, key string, label int")
+    assert fitted.score(unknown).count() == 2
+
+
+@pytest.mark.parametrize("kind", ["linear", "boosted"])
+def test_written_model_scores_and_explains_the_same(spark, customers, tmp_path, kind):
+    fitted = models.fit_linear(customers, COLUMNS) if kind == "linear" else models.fit_boosted(customers, COLUMNS, QUICK)
+    writers.write_model(persistence.pipeline(fitted), str(tmp_path / "model"))
+    again = persistence.load_model(spark, str(tmp_path / "model"))
+    assert again.columns == fitted.columns and again.inputs == fitted.inputs
+    assert sorted(again.score(customers).collect()) == sorted(fitted.score(customers).collect())
+    weights = (lambda m: m.coefficients()) if kind == "linear" else (lambda m: m.importances())
+    assert weights(again) == weights(fitted)
+    # written as one Spark ML pipeline, it also runs as such
+    from pyspark.ml import PipelineModel
+
+    plain = PipelineModel.load(str(tmp_path / "model")).transform(customers)
+    assert plain.count() == customers.count() and "probability" in plain.columns

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tenura.operators import models
+from tenura.operators import models, persistence
 from tenura.operators.features import UsageColumns
 from tenura.plans import tables, workflow
 from tenura.roles import Roles
@@ -77,3 +77,15 @@ def test_both_runs_end_to_end(spark, tmp_path, tiny):
     assert drivers.count() == 20 and len(drivers.first()["top_drivers"]) == 3
     choice = readers.read_report(spark, f"{output}/model_selection_report").first()
     assert choice["winner"] == choice["selected_model"] == final["model"]
+    # both models were written and score the hold-out as they did
+    prepared, _ = readers.read_prepared(spark, f"{output}/prepared")
+    for name in ("logistic_regression", "gradient_boosted_trees"):
+        model = persistence.load_model(spark, f"{output}/models/{name}")
+        scored = spark.read.parquet(f"{output}/scores/{name}")
+        ids = scored.select(Roles().row_id)
+        again = model.score(prepared.join(ids, Roles().row_id, "left_semi"))
+        assert sorted(map(tuple, again.collect())) == sorted(map(tuple, scored.collect()))
+        weights = readers.read_report(spark, f"{output}/model_weights/{name}")
+        assert {r["feature"] for r in weights.collect()} == set(model.inputs)
+        folds = readers.read_report(spark, f"{output}/cross_validation/{name}")
+        assert {(r["metric"], r["part"]) for r in folds.collect()} == {(m, p) for m in ("roc_auc", "f1", "precision", "recall") for p in ("train", "test")}
