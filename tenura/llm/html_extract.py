@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,8 +27,17 @@ from .common import pieces
 
 #: Pages that training reads at most, in the order of a hash of their ids, and the largest of them.
 SAMPLE_PAGES, SAMPLE_CHARS = 600, 200_000
+#: What follows a tag's name: a quote opens a value only behind an equals sign, any other one is a character of a name.
+ATTRIBUTES = r"(?:=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'<>][^\s<>]*)|[^<>])*+"
 #: Elements whose content is no text go whole, up to their end tag; one that closes itself holds nothing.
-SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|textarea|noscript|template|svg|select|iframe|object|title)(?=[\s/>])(?:(?:[^<>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>|[^>]*>.*?(?:</\1\s*>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))", re.S | re.I)
+WHOLE = "script|style|textarea|noscript|template|svg|select|iframe|object|title"
+SCAN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<({WHOLE})(?=[\s/>])(?:{ATTRIBUTES}(?<=/)>|{ATTRIBUTES.replace('[^<>])*+', '[^>])*+')}(?:>.*?(?:</\1\s*>|\Z)|\Z))"
+    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({ATTRIBUTES})(?:>|\Z|(?=<))",
+    re.S | re.I,
+)
 NAMING = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
@@ -66,6 +76,7 @@ def parse(source: str) -> Page:
     """The element tree, with a #text leaf for each run of text; scripts, styles, comments and titles are no nodes."""
     page = Page([-1], ["#root"], [""], [""], [False])
     stack, last = [0], 0
+    places: dict[str, list[int]] = {}  # where on the stack the open elements of a name are
     add = lambda tag, names, text, hidden: (page.parent.append(stack[-1]), page.tag.append(tag), page.names.append(names), page.text.append(text), page.hidden.append(hidden))
 
     def run(raw: str) -> None:
@@ -84,16 +95,17 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if m[2]:
-            _close(page, stack, {tag}, set())
+            _close(page, stack, places, {tag}, set())
             continue
         if tag in CLOSES:
-            _close(page, stack, *CLOSES[tag], every=True)
+            _close(page, stack, places, *CLOSES[tag], every=True)
         elif tag in BLOCKS_CLOSE_P:
-            _close(page, stack, {"p"}, {"div", "article", "section", "td", "li", "body", "main", "blockquote"})
+            _close(page, stack, places, {"p"}, {"div", "article", "section", "td", "li", "body", "main", "blockquote"})
         attributes = m[4] or ""
         names = " ".join(a or b or c for a, b, c in NAMING.findall(attributes)) if "=" in attributes else ""
         add(tag, re.sub(r"[_-]+|(?<=[a-z])(?=[A-Z])", " ", names), "", page.hidden[stack[-1]] or _hides(attributes))
         if tag not in VOID and not attributes.rstrip().endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append(len(page.tag) - 1)
     run(source[last:])
     return page
@@ -111,21 +123,16 @@ def _hides(attributes: str) -> bool:
     return "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or bool(shown and shown[-1][0].lower() == "none")
 
 
-def _close(page: Page, stack: list[int], tags: set[str], until: set[str], every: bool = False) -> None:
+def _close(page: Page, stack: list[int], places: dict[str, list[int]], tags: set[str], until: set[str], every: bool = False) -> None:
     """Leave the innermost open element of ``tags`` (with ``every`` also those around it), but none of ``until``."""
-    depth = len(stack) - 1
-    cut = None
-    while depth > 0:
-        name = page.tag[stack[depth]]
-        if name in tags:
-            cut = depth
-            if not every:
-                break
-        elif name in until:
-            break
-        depth -= 1
-    if cut is not None:
-        del stack[cut:]
+    floor = max((places[t][-1] for t in until if places.get(t)), default=0)
+    inside = [places[t] for t in tags if places.get(t) and places[t][-1] > floor]
+    if not inside:
+        return
+    cut = min(own[bisect_right(own, floor)] for own in inside) if every else max(own[-1] for own in inside)
+    for node in stack[cut:]:
+        places[page.tag[node]].pop()
+    del stack[cut:]
 
 
 _TAG = {t: i for i, t in enumerate(TAGS)}
@@ -278,13 +285,13 @@ def main_texts(model: Model, sources: list[str]) -> list[str]:
     out = []
     for page, at in zip(pages, f.start[:-1], strict=True):
         parts, block = [], None
+        around: list[int] = []  # the nearest element of each node that is a block, itself included
         for k, text in enumerate(page.text):
             tag = page.tag[k]
+            around.append(around[page.parent[k]] if tag in INLINE or tag == "#text" else k)
             if tag == "#text":
                 if content[at + k] and not page.hidden[k]:
-                    own = page.parent[k]
-                    while page.tag[own] in INLINE:
-                        own = page.parent[own]
+                    own = around[k]
                     if own != block:
                         parts.append(" ")
                         block = own
@@ -311,7 +318,8 @@ def fit(pages: DataFrame, count: int = SAMPLE_PAGES) -> Model:
 def extract(pages: DataFrame, model: Model) -> DataFrame:
     """page_id, url, text, n_chars of every row; null, empty and text-free pages have an empty text.
 
-    Repeated rows and null ids are kept as they are; other columns are not read; nothing is shuffled.
+    Repeated rows and null ids are kept as they are; an empty table gives an empty table; other columns are not read,
+    whatever their names; a page is parsed whole, in time that grows with its length; nothing is shuffled.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
