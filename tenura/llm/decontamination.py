@@ -2,9 +2,12 @@
 
 Texts are compared in lower case with white space runs as one space, as UTF-8 bytes. An item of m bytes may occur with
 up to k = budget * m edits. Then at least m - q + 1 - k * q of its q-grams occur unchanged on diagonals (place in the
-document minus place in the item) that differ by at most 2k. Shared q-grams are counted in overlapping bands of
+document minus place in the item) that differ by at most 2k; k is never so large that fewer than four are left. Shared q-grams are counted in overlapping bands of
 diagonals, two to each hit; bands that reach the bound are kept and verified by an alignment within the band.
 
+Items under 32 bytes are phrases that a few edits turn into others: they are searched as they stand (k = 0), and only
+where neither end cuts a word of ASCII letters and digits. Items under q = 8 bytes, a word or so, are not searched.
+
 The benchmark is the stated query set: it is taken in blocks of bounded bytes, each broadcast and held against all rows.
 """
 
@@ -20,8 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import pieces
 
 Q, BUDGET = 8, 0.1
-#: Items of fewer bytes are phrases rather than passages and are not searched.
-SHORTEST = 32
+#: Items of fewer bytes are phrases rather than passages and are searched without edits, on word boundaries.
+PHRASE = 32
 #: Bytes of benchmark text in a broadcast block, bits of the first filter, and hits counted at once.
 BLOCK_BYTES, FILTER_BITS, HITS = 4 << 20, 22, 4_000_000
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -57,10 +60,11 @@ class Index:
 
 
 def build(rows: list[tuple[int, str]], budget: float = BUDGET) -> Index:
-    rows = [(i, b) for i, t in rows if len(b := normal(t)) >= SHORTEST]
+    rows = [(i, b) for i, t in rows if len(b := normal(t)) >= Q]
     sizes = np.array([len(b) for _, b in rows], np.int64)
     # never so many edits that the lemma would ask for fewer than four common q-grams
     edits = np.maximum(0, np.minimum((sizes * budget).astype(np.int64), (sizes - Q + 1 - 4) // Q))
+    edits[sizes < PHRASE] = 0
     grams = [q_grams(np.frombuffer(b, np.uint8)) for _, b in rows]
     every = np.concatenate([np.zeros(0, np.uint64), *grams])
     item = np.repeat(np.arange(len(rows)), [len(g) for g in grams]) if rows else np.zeros(0, np.int64)
@@ -91,6 +95,12 @@ def align(item: bytes, region: bytes, most: int) -> tuple[int, int] | None:
     return (int(cost[end]), end) if cost[end] <= most else None
 
 
+def _cuts_word(data: np.ndarray, start: int, end: int) -> bool:
+    """Does an ASCII letter or digit stand on both sides of the start or of the end?"""
+    inside = [chr(b).isalnum() and b < 128 for b in (data[start - 1] if start else 0, data[start], data[end - 1], data[end])]
+    return inside[0] and inside[1] or inside[2] and inside[3]
+
+
 def search(index: Index, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, start, end, edits): the best occurrence of every item in every text that holds it."""
     if not index.items or not texts:
@@ -149,6 +159,8 @@ def search(index: Index, texts: list[bytes]) -> Iterator[tuple[int, int, int, in
             if hi - lo < size - most:
                 continue
             found = align(index.items[i], data[lo:hi].tobytes(), most)
+            if found and size < PHRASE and _cuts_word(data, lo + found[1] - size, lo + found[1]):
+                continue  # another occurrence has a band of its own
             if found and ((text, i) not in best or found[0] < best[text, i][0]):
                 end = int(lo - begin[text]) + found[1]
                 best[text, i] = (found[0], max(0, end - size), end)
@@ -163,7 +175,7 @@ def _added(kept: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def blocks(benchmark: DataFrame, budget: float = BUDGET) -> Iterator[Index]:
-    """The benchmark's items in blocks of about BLOCK_BYTES; null and short texts are left out."""
+    """The benchmark's items in blocks of about BLOCK_BYTES; null texts and those under q bytes are left out."""
     rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
