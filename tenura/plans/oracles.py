@@ -349,6 +349,8 @@ ORACLES["segment_table"] = f"WITH {RANKED} {SEGMENTS}"
 ORACLES["top_lift"] = f"WITH {RANKED} SELECT percent, {r('churn_captured_pct / 20.0')} AS lift FROM ({SEGMENTS}) WHERE percent = 20"
 ORACLES["gain_curve"] = f"""WITH {RANKED} SELECT round_even(rank::double / n * 100, 2) AS customer_pct, round_even(label_upto::double / greatest(pos, 1) * 100, 2) AS churners_captured_pct
 FROM ranked WHERE (rank - 1) % greatest(n // 200, 1) = 0"""
+ORACLES["segmentation_report"] = f"""WITH {RANKED}, g AS (SELECT count(*)::INTEGER AS gain_points FROM ranked WHERE (rank - 1) % greatest(n // 200, 1) = 0)
+SELECT s.*, gain_points FROM ({SEGMENTS}) s, g"""
 ORACLES["campaign_reach"] = f"""WITH {RANKED}, p AS (SELECT p::INTEGER AS contact_pct, greatest(n * p // 100, 1) AS contacted, pos FROM (SELECT DISTINCT n, pos FROM ranked), range(1, 51) t(p)),
 c AS (SELECT contact_pct, contacted, label_upto AS captured, {div('label_upto', 'p.pos')} * 100 AS share FROM p JOIN ranked ON rank = contacted)
 SELECT contact_pct, contacted, captured, {r('share')} AS capture_pct, {r('captured::double / contacted * 100')} AS precision_pct, {r('share / contact_pct')} AS lift FROM c"""

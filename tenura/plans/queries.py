@@ -30,7 +30,7 @@ from tenura.functions.expressions import clean_category, decimal_comma
 from tenura.plans import reports, tables
 from tenura.roles import FLAG_SUFFIX
 from tenura.session import shared_folder, shared_table
-from tenura.sources import writers
+from tenura.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -702,6 +702,17 @@ def profile_summary(spark, sf):
     )
 
 
+@query
+def segmentation_report(spark, sf):
+    """The segmentation report as it is read back: a row for each section, with the number of gain points."""
+    ranked = _ranked(spark, sf)
+    path = f"{shared_folder(spark)}/segmentation-{uuid.uuid4().hex}"
+    writers.write_report(reports.segmentation_report(segments.segments(ranked), segments.gain_curve(ranked)), path)
+    sections = [F.struct(F.lit(p).alias("percent"), f"top_{p}_percent.*") for p in segments.SEGMENT_PERCENTS]
+    read = readers.read_segmentation(spark, path)
+    return read.select(F.size("gain_curve_data").alias("gain_points"), F.inline(F.array(*sections)))
+
+
 @query
 def kpi_row(spark, sf):
     scored = tables.scores(spark, sf)

@@ -8,6 +8,7 @@ from tenura.functions.expressions import calibration_note, discrimination_band,
 from tenura.operators.cleaning import missing_counts
 from tenura.operators.correlation import correlation_with_target, top_correlated
 from tenura.operators.profiling import cardinality, duplicate_rows
+from tenura.operators.segments import SEGMENT_PERCENTS
 from tenura.roles import FLAG_SUFFIX, Roles
 
 
@@ -120,6 +121,17 @@ def kpi_row(intervals: DataFrame, segment_table: DataFrame, thresholds: DataFram
     )
 
 
+#: What readers of the evaluation report call the metrics.
+METRIC_FIELDS = {"auc_roc": "AUC-ROC", "f1": "F1", "precision": "Precision", "recall": "Recall", "avg_precision": "Avg Prec"}
+
+
+def segmentation_report(segment_table: DataFrame, gain: DataFrame, percents: tuple[int, ...] = SEGMENT_PERCENTS) -> DataFrame:
+    """One row: a ``top_<p>_percent`` section for every segment and the points of the gain curve."""
+    section = F.struct("n_customers", "churn_rate_pct", "churn_captured_pct")
+    sections = [F.max(F.when(F.col("percent") == p, section)).alias(f"top_{p}_percent") for p in percents]
+    return segment_table.agg(*sections).withColumn("gain_curve_data", gathered(gain, ["customer_pct"]))
+
+
 def evaluation_report(
     scored: DataFrame,
     model_name: str,
@@ -132,21 +144,23 @@ def evaluation_report(
     segment_table: DataFrame,
     gain: DataFrame,
 ) -> DataFrame:
-    """The final nested report of one model; every input is a small report table."""
-    four = lambda df, names: df.select(*[F.bround(F.col(n), 4).alias(n) if n in names else F.col(n) for n in df.columns])
+    """The final nested report of one model under its readers' field names; every input is a small report table."""
     ece = calibration.select("approx_ece").scalar()
-    business_metrics = ("precision", "recall", "f1")
+    interval = F.struct(*[F.bround(F.col(c), 4).alias(c) for c in ("mean", "ci_low", "ci_high")])
+    named = intervals.agg(*[F.max(F.when(F.col("metric") == m, interval)).alias(n) for m, n in METRIC_FIELDS.items()])
+    words = {"churners_caught": "churners_caught_tp", "churners_missed": "churners_missed_fn", "false_alarms": "false_alarms_fp", "catch_rate_pct": "catch_rate_recall_pct"}
+    at_business = [F.bround(F.col(c), 4).alias(f"{c}_business") for c in ("precision", "recall", "f1")]
+    cut = thresholds.select("business_threshold").scalar()
     return scored.agg(F.count(F.lit(1)).alias("n_test_samples")).select(
         F.lit(model_name).alias("model"), "n_test_samples", F.lit(0.5).alias("threshold_used"),
-        gathered(four(intervals.select("metric", "mean", "ci_low", "ci_high"), ("mean", "ci_low", "ci_high")), ["metric"]).alias("metrics"),
+        one_row(named).alias("metrics"),
         F.bround(ece, 4).alias("calibration_approx_ece"),
         F.bround(calibration.select("weighted_ece").scalar(), 4).alias("calibration_weighted_ece"),
         calibration_note(ece).alias("calibration_note"),
         one_row(matrix.select("tn", "fp", "fn", "tp")).alias("confusion_matrix"),
-        one_row(business_interpretation(matrix).drop("series")).alias("business_interpretation_at_threshold_0_5"),
+        one_row(business_interpretation(matrix).drop("series").withColumnsRenamed(words)).alias("business_interpretation_at_threshold_0_5"),
         one_row(thresholds).alias("threshold_optimization"),
-        gathered(segment_table, ["percent"]).alias("business_segmentation"),
-        gathered(gain, ["customer_pct"]).alias("gain_curve_data"),
+        one_row(segmentation_report(segment_table, gain)).alias("business_segmentation"),
         one_row(matrix_business.select("tn", "fp", "fn", "tp")).alias("confusion_matrix_business_threshold"),
-        one_row(four(matrix_business.select(*business_metrics), business_metrics)).alias("business_threshold_metrics"),
+        one_row(matrix_business.select(cut.alias("threshold"), *at_business)).alias("business_threshold_metrics"),
     )

@@ -195,6 +195,7 @@ def evaluate(spark: SparkSession, s: Settings, trained: dict[str, object]) -> Da
         gain=segments.gain_curve(ranked),
     )
     writers.write_report(report, f"{s.output}/final_evaluation")
+    writers.write_report(report.select("business_segmentation.*"), f"{s.output}/business_segmentation")
     writers.write_predictions(segments.predictions_table(scored, "prob", "label", named), f"{s.output}/predictions")
     sample = trained["test"] if s.explain_rows is None else splitting.explanation_sample(trained["test"], s.explain_rows, id_name)
     if winner == comparison.COMPLEX:

@@ -27,6 +27,13 @@ def test_missing_output_reads_empty(spark, tmp_path):
     assert readers.read_or_empty(spark, str(tmp_path / "no"), "csv", readers.PREDICTION_SCHEMA).count() == 0
 
 
+def test_reports_of_other_versions_read_with_empty_sections(spark, tmp_path):
+    assert readers.read_evaluation(spark, str(tmp_path / "none")).count() == 0
+    spark.createDataFrame([("old", 5, "x")], "model string, n_test_samples int, unknown string").coalesce(1).write.json(str(tmp_path / "old"))
+    old = readers.read_evaluation(spark, str(tmp_path / "old")).first()
+    assert old["model"] == "old" and old["n_test_samples"] == 5 and old["metrics"] is None and old["business_segmentation"] is None
+
+
 def test_prepared_round_trip_and_report(spark, tmp_path):
     df = spark.createDataFrame([(1, " a ", 0)], "row_id int, area string, churn int")
     writers.write_prepared(df, Roles(), str(tmp_path / "p"), normalised=True)
@@ -68,7 +75,13 @@ def test_both_runs_end_to_end(spark, tmp_path, tiny):
     assert profile["n_rows"] == 150 and len(profile["top_10_corr_with_churn"]) > 3
     final = workflow.run(spark, settings).first()
     assert final["n_test_samples"] == 30 or final["n_test_samples"] == 31
-    assert {m["metric"] for m in final["metrics"]} == {"auc_roc", "f1", "precision", "recall", "avg_precision"}
+    assert set(final["metrics"].asDict()) == {"AUC-ROC", "F1", "Precision", "Recall", "Avg Prec"}
+    read = readers.read_evaluation(spark, f"{output}/final_evaluation").first()
+    assert read["metrics"]["AUC-ROC"]["ci_low"] <= read["metrics"]["AUC-ROC"]["mean"] <= read["metrics"]["AUC-ROC"]["ci_high"]
+    assert read["business_threshold_metrics"]["threshold"] == read["threshold_optimization"]["business_threshold"]
+    parts = readers.read_segmentation(spark, f"{output}/business_segmentation").first()
+    assert parts == read["business_segmentation"] and parts["top_20_percent"]["churn_captured_pct"] is not None
+    assert len(parts["gain_curve_data"]) == final["n_test_samples"]
     prep = readers.read_report(spark, f"{output}/preparation_report").first()
     assert prep["dropped_identifier_columns"] == ["Customer_ID"] and prep["dropped_columns"] == ["avg3"]
     predictions = readers.read_predictions(spark, f"{output}/predictions")
