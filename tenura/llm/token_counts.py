@@ -1,97 +1,149 @@
-"""Token counts of whole texts with a sentencepiece model.
+"""Token counts of whole texts with a sentencepiece model of merges.
 
-Two ways lead to the library's own count, both by cutting only at boundaries that no merge can cross.
+Every text is encoded in overlapping chunks with offsets, whatever its size; one that fits a chunk is a single one. Two
+neighbouring chunks are spliced where both have the same token at the same place. That boundary is stable: byte-pair
+encoding is decided by adjacent pairs alone (a token sequence is the encoding of its text exactly if every adjacent
+pair is the encoding of its own text), and each adjacent pair of the spliced sequence occurs in one of the two chunks'
+encodings. When the overlap has no such token, it is widened up to the chunk; where that fails too (a run of one
+letter, say), the text is taken again in chunks of twice the size, at last as a whole.
 
-*Ordinary texts.* When no piece of the vocabulary holds a space behind another character, no merge crosses the
-boundary between a character and a following space. The text falls apart there, and each distinct segment is
-encoded once for a batch.
-
-*Huge texts* are encoded in overlapping chunks with offsets. Two neighbouring chunks are spliced where both have the
-same token at the same place: byte-pair encoding is decided by adjacent pairs alone (a token sequence is the encoding
-of its text exactly if every adjacent pair is the encoding of its own text), and each adjacent pair of the spliced
-sequence occurs in one of the two chunks' encodings. When the overlap has no such token, it is widened; where
-no overlap within the chunk has one (a run of one letter, say), the text is encoded as a whole.
+Within a chunk, distinct segments are encoded once: when no piece of the vocabulary holds a space behind another
+character, no merge crosses the boundary between a character and a following space, and the chunk falls apart there.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import pieces
 
-#: Bytes from which a text is encoded in overlapping chunks, the bytes of a chunk, and of its first overlap.
-HUGE_BYTES, CHUNK_BYTES, OVERLAP_BYTES = 1 << 16, 1 << 15, 256
-#: Distinct segments remembered by a task.
-REMEMBERED = 400_000
+#: Bytes of a chunk beyond its overlap, and of the first overlap.
+CHUNK_BYTES, OVERLAP_BYTES = 1 << 10, 1 << 6
+#: Bytes that the remembered segments of a task may take, and about what one takes by itself, a token and a character.
+REMEMBERED_BYTES, ENTRY_BYTES, TOKEN_BYTES, CHAR_BYTES = 64 << 20, 300, 48, 4
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
+Token = tuple[int, int, int]  #: begin, end, id; places in bytes
+
+
+class Segment(NamedTuple):
+    """Tokens of a stretch of a chunk: where each ends, from the stretch's begin, and their ids."""
+
+    ends: tuple[int, ...]
+    ids: tuple[int, ...]
+
+
+class Chunk:
+    """Tokens of the bytes from ``begin`` to ``end``; places are worked out only where they are asked for."""
+
+    def __init__(self, begin: int, end: int, at: int, segments: list[Segment]):
+        self.begin, self.end, self.at, self.segments = begin, end, at, segments
+        self.count = sum([len(s.ids) for s in segments])
+
+    def head(self, stop: int) -> list[Token]:
+        """The tokens of all segments that begin before ``stop``."""
+        found: list[Token] = []
+        at = self.at
+        for s in self.segments:
+            if at >= stop:
+                break
+            self._add(found, s, at)
+            at += s.ends[-1]
+        return found
+
+    def tail(self, start: int) -> tuple[int, list[Token]]:
+        """The tokens of all segments that end behind ``start``, and the number of the first of them."""
+        at, k = self.end, len(self.segments)
+        while k and at > start:
+            k -= 1
+            at -= self.segments[k].ends[-1]
+        found: list[Token] = []
+        for s in self.segments[k:]:
+            self._add(found, s, at)
+            at += s.ends[-1]
+        return self.count - len(found), found
+
+    def _add(self, found: list[Token], segment: Segment, at: int) -> None:
+        last = max(at, self.begin)  # the space that the model puts before a chunk takes no byte
+        for end, name in zip(segment.ends, segment.ids, strict=True):
+            end = max(at + end, self.begin)
+            found.append((last, end, name))
+            last = end
+
 
 class Counter:
     """Counts tokens with one loaded model."""
 
-    def __init__(self, model_path: str, huge: int = HUGE_BYTES, chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES):
+    def __init__(self, model_path: str, chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES, remembered: int = REMEMBERED_BYTES):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=model_path)
-        self.huge, self.chunk, self.overlap = huge, chunk, overlap
+        self.chunk, self.overlap, self.remembered = max(chunk, 8), max(overlap, 1), remembered
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        keeps_text = self.model.normalize(" a  b\t\né ") == "▁▁a▁▁b\t\né▁"
-        #: Proven for this vocabulary, else every text goes through the library as a whole or in chunks.
-        self.separable = keeps_text and not any(re.search("[^▁]▁", name) for name in names)
-        self.known: dict[str, int] = {}
-
-    def count(self, texts: list[str]) -> list[int]:
-        if not self.separable:
-            return [self.count_huge(t) if len(t) > self.huge else len(self.model.encode(t)) for t in texts]
-        found: list[int] = [0] * len(texts)
-        cut = []
-        for i, text in enumerate(texts):
-            if "▁" in text:  # the model's own sign for a space: no boundary is proven
-                found[i] = len(self.model.encode(text))
-            elif len(text) > self.huge:
-                found[i] = self.count_huge(text)
-            elif text:
-                # the model puts one space before the text; each segment gets it in its turn
-                cut.append((i, re.findall(" +[^ ]*", " " + text)))
-        new = list(set().union(*(s for _, s in cut)) - self.known.keys()) if cut else []
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(set().union(*(s for _, s in cut)))
-        self.known.update(zip(new, map(len, self.model.encode([s[1:] for s in new])), strict=True))
-        if " " in self.known:  # a last space: the library adds none of its own to an empty text
-            self.known[" "] = 1
-        for i, segments in cut:
-            found[i] = sum(map(self.known.__getitem__, segments))
+        #: Does the model take texts as they are, but for one space in front? Else there are no offsets to splice by.
+        self.keeps_text = self.model.normalize(" a  b\t\né ") == "▁▁a▁▁b\t\né▁"
+        self.space = self.model.piece_to_id("▁")
+        self.separable = self.space != self.model.unk_id() and not any(re.search("[^▁]▁", name) for name in names)
+        self.known: dict[str, Segment] = {}
+        self.known_bytes = 0
+
+    def count(self, text: str) -> int:
+        """The library's number of tokens."""
+        if not text or not self.keeps_text:
+            return len(self.model.encode(text))
+        data, size = text.encode(), self.chunk
+        separable = self.separable and "▁" not in text  # the model's own sign for a space: no boundary is proven
+        while (found := self._spliced(data, size, separable)) is None:
+            size *= 2
         return found
 
-    def tokens(self, text: str, at: int) -> list[tuple[int, int, int]]:
-        """(begin, end, id) of every token, in bytes from ``at``."""
-        proto = self.model.encode(text, return_type="proto")
-        return [(at + p.begin, at + p.end, p.id) for p in proto.pieces]
-
-    def count_huge(self, text: str) -> int:
-        """Encode overlapping chunks and splice their tokens; the whole text where even the widest overlap fails."""
-        data = text.encode()
-        counted, start, end = 0, 0, _char_start(data, self.chunk)
-        left = self.tokens(data[:end].decode(), 0)
-        while end < len(data):
+    def _spliced(self, data: bytes, size: int, separable: bool) -> int | None:
+        """Tokens of all chunks of ``size``; none where two neighbours have no stable boundary in common."""
+        left = self._encoded(data, 0, size, separable)
+        counted = first = 0
+        while left.end < len(data):
             overlap, joint = self.overlap, None
-            while joint is None and end - overlap > start:
-                back = _char_start(data, end - overlap)
-                stop = _char_start(data, end + self.chunk)
-                right = self.tokens(data[back:stop].decode(), back)
-                joint = _common(left, right)
+            while joint is None:
+                back = _char_start(data, left.end - overlap)
+                if back <= left.begin:
+                    return None
+                right = self._encoded(data, back, left.end + size, separable)
+                joint = _common(left, right, first)
                 overlap *= 2
-            if joint is None:
-                return len(self.model.encode(text))
-            counted += joint[0]
-            left = right[joint[1] :]
-            start, end = left[0][0], stop
-        return counted + len(left)
+            counted += joint[0] - first
+            left, first = right, joint[1]
+        return counted + left.count - first
+
+    def _encoded(self, data: bytes, begin: int, end: int, separable: bool) -> Chunk:
+        end = _char_start(data, end)
+        text = data[begin:end].decode()
+        if not separable:
+            return Chunk(begin, end, begin, [self._segment(text, 0)])
+        # the model puts one space before the chunk; each segment gets it in its turn
+        return Chunk(begin, end, begin - 1, list(map(self._remembered, re.findall(" +[^ ]*", " " + text))))
+
+    def _segment(self, text: str, lead: int) -> Segment:
+        found = self.model.encode(text, return_type="proto").pieces
+        return Segment(tuple(p.end + lead for p in found), tuple(p.id for p in found))
+
+    def _remembered(self, text: str) -> Segment:
+        found = self.known.get(text)
+        if found is None:
+            # a last space: the library adds none of its own to an empty text
+            found = Segment((1,), (self.space,)) if text == " " else self._segment(text[1:], 1)
+            size = ENTRY_BYTES + TOKEN_BYTES * len(found.ids) + CHAR_BYTES * len(text)
+            if self.known_bytes + size > self.remembered:
+                self.known.clear()
+                self.known_bytes = 0
+            if size <= self.remembered:
+                self.known[text] = found
+                self.known_bytes += size
+        return found
 
 
 def _char_start(data: bytes, at: int) -> int:
@@ -102,28 +154,31 @@ def _char_start(data: bytes, at: int) -> int:
     return at
 
 
-def _common(left: list[tuple[int, int, int]], right: list[tuple[int, int, int]]) -> tuple[int, int] | None:
-    """Where the same token with a text of its own stands in both: (index in left, index in right)."""
-    places = {(b, e, t): j for j, (b, e, t) in enumerate(right) if e > b and j}
-    for i in range(len(left) - 1, -1, -1):
-        if left[i][1] <= right[0][0]:
-            return None
-        if (j := places.get(left[i])) is not None and _whole(left, i) and _whole(right, j):
-            return i, j
+def _common(left: Chunk, right: Chunk, first: int) -> tuple[int, int] | None:
+    """The last token from ``first`` on that stands in both with a text of its own: (number in left, number in right)."""
+    right_tokens = right.head(left.end)
+    number, left_tokens = left.tail(right.begin)
+    # the first token of a chunk may owe its form to the space before it
+    places = {token: j for j, token in enumerate(right_tokens) if j and _whole(right_tokens, j)}
+    for i in range(len(left_tokens) - 1, max(first - number, 0), -1):
+        if (j := places.get(left_tokens[i])) is not None and _whole(left_tokens, i):
+            return number + i, j
     return None
 
 
-def _whole(tokens: list[tuple[int, int, int]], i: int) -> bool:
+def _whole(tokens: list[Token], i: int) -> bool:
     """Not one of the byte tokens of a character, whose earlier ones have an empty range."""
-    return i == 0 or tokens[i - 1][1] > tokens[i - 1][0]
+    return tokens[i][1] > tokens[i][0] and tokens[i - 1][1] > tokens[i - 1][0]
 
 
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_column: str = "doc_id", text_column: str = "text",
-                 huge: int = HUGE_BYTES, chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES) -> DataFrame:
+                 chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES) -> DataFrame:
     """One row per input row: its id, bytes, tokens, and whether the tokens exceed ``limit``.
 
     Null and empty texts have 0 bytes and 0 tokens; a null id stays null; repeated rows are counted each; an empty
-    table gives an empty table; other columns are not read. Rows never move, so nothing is shuffled.
+    table gives an empty table; other columns are not read. Rows never move, so nothing is shuffled. A model that
+    changes texts before it encodes them (letter forms, runs of spaces) gives no offsets to splice by; with such a one
+    each text is encoded as a whole.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +186,8 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_column:
 
         counter = None
         for batch, texts in pieces(batches, "text"):
-            counter = counter or Counter(model_path, huge, chunk, overlap)
-            counts = pa.array(counter.count(texts.to_pylist()), pa.int64())
+            counter = counter or Counter(model_path, chunk, overlap)
+            counts = pa.array(list(map(counter.count, texts.to_pylist())), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pc.binary_length(texts).cast(pa.int64()), counts, pc.greater(counts, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text")).mapInArrow(work, SCHEMA)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -39,9 +40,50 @@ def test_counts_equal_the_library(spark, texts, library):
 
 
 def test_splicing_equals_the_whole_text(library):
-    counter = Counter(tokenizer("piece_bpe_32k.model"), 10, 300, 8)
-    for text in [" ".join(noise(40, seed=s)) for s in range(20)] + ["a" * 5000, "é日" * 900, " " * 3000]:
-        assert counter.count_huge(text) == len(library.encode(text))
+    odd = [" ".join(noise(40, seed=s)) for s in range(20)] + ["a" * 5000, "é日" * 900, " " * 3000, "x" * 90 + " y" * 400, "▁ab" * 300]
+    for chunk, overlap in [(8, 1), (64, 4), (300, 8), (1024, 64)]:
+        counter = Counter(tokenizer("piece_bpe_32k.model"), chunk, overlap, remembered=20_000)
+        for text in odd + [t for t in ODD if t]:
+            assert counter.count(text) == len(library.encode(text)), (chunk, text[:80])
+        assert counter.known_bytes <= 20_000
+
+
+def field(number, kind, data):
+    """One field of a serialized model: a number, a float or bytes."""
+    tag = bytes([number << 3 | kind]) if number < 16 else bytes([number << 3 & 127 | kind | 128, number >> 4])
+    if kind == 0:
+        return tag + bytes([data])
+    return tag + (struct.pack("<f", data) if kind == 5 else bytes([len(data) & 127 | 128, len(data) >> 7]) + data)
+
+
+def random_model(rnd, letters="abc", size=40):
+    """A model of merges at random: every piece joins two earlier ones, none holds a space behind another character."""
+    names = ["▁", *letters]
+    while len(names) < size:
+        name = rnd.choice(names) + rnd.choice(names)
+        if name not in names and not re.search("[^▁]▁", name):
+            names.append(name)
+    entries = [field(1, 2, b"<unk>") + field(2, 5, 0.0) + field(3, 0, 2)]
+    entries += [field(1, 2, n.encode()) + field(2, 5, -float(i)) + field(3, 0, 1) for i, n in enumerate(names)]
+    normal = field(1, 2, b"identity") + field(3, 0, 1) + field(4, 0, 0) + field(5, 0, 1)
+    return b"".join(field(1, 2, e) for e in entries) + field(2, 2, field(3, 0, 2)) + field(3, 2, normal)
+
+
+def test_boundaries_are_stable_in_random_vocabularies(tmp_path):
+    from sentencepiece import SentencePieceProcessor
+
+    rnd = random.Random(5)
+    for k in range(40):
+        path = tmp_path / f"{k}.model"
+        path.write_bytes(random_model(rnd, size=rnd.choice([8, 20, 60])))
+        own = SentencePieceProcessor(model_file=str(path))
+        counter = Counter(str(path), rnd.choice([8, 16, 40]), rnd.choice([1, 3, 8]))
+        assert counter.keeps_text and counter.separable
+        whole = Counter(str(path), 16, 4)
+        whole.separable = False
+        for _ in range(60):
+            text = "".join(rnd.choice(rnd.choice(["abc", "aab ", "a"])) for _ in range(rnd.randint(1, 200)))
+            assert counter.count(text) == whole.count(text) == len(own.encode(text)), (k, text)
 
 
 def test_ids_and_text_equal_the_library(spark, texts):
