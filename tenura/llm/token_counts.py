@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -24,7 +25,7 @@ from .common import pieces
 
 #: Bytes of a chunk beyond its overlap, and of the first overlap.
 CHUNK_BYTES, OVERLAP_BYTES = 1 << 10, 1 << 6
-#: Bytes that the remembered segments of a task may take, and about what one takes by itself, a token and a character.
+#: Bytes of remembered segments from which a task forgets them, and about what one takes by itself, a token and a character.
 REMEMBERED_BYTES, ENTRY_BYTES, TOKEN_BYTES, CHAR_BYTES = 64 << 20, 300, 48, 4
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -32,19 +33,22 @@ Token = tuple[int, int, int]  #: begin, end, id; places in bytes
 
 
 class Segment(NamedTuple):
-    """Tokens of a stretch of a chunk: where each ends, from the stretch's begin, and their ids."""
+    """Tokens of a stretch of a chunk; where each ends, from the stretch's begin, if the ids do not tell."""
 
-    ends: tuple[int, ...]
     ids: tuple[int, ...]
+    ends: tuple[int, ...] = ()
 
 
 class Chunk:
     """Tokens of the bytes from ``begin`` to ``end``; places are worked out only where they are asked for."""
 
-    def __init__(self, begin: int, end: int, at: int, segments: list[Segment]):
-        self.begin, self.end, self.at, self.segments = begin, end, at, segments
+    def __init__(self, begin: int, end: int, at: int, segments: list[Segment], widths: list[int]):
+        self.begin, self.end, self.at, self.segments, self.widths = begin, end, at, segments, widths
         self.count = sum([len(s.ids) for s in segments])
 
+    def ends(self, segment: Segment) -> tuple[int, ...]:
+        return segment.ends or tuple(accumulate(map(self.widths.__getitem__, segment.ids)))
+
     def head(self, stop: int) -> list[Token]:
         """The tokens of all segments that begin before ``stop``."""
         found: list[Token] = []
@@ -52,8 +56,7 @@ class Chunk:
         for s in self.segments:
             if at >= stop:
                 break
-            self._add(found, s, at)
-            at += s.ends[-1]
+            at = self._add(found, s, at)
         return found
 
     def tail(self, start: int) -> tuple[int, list[Token]]:
@@ -61,19 +64,19 @@ class Chunk:
         at, k = self.end, len(self.segments)
         while k and at > start:
             k -= 1
-            at -= self.segments[k].ends[-1]
+            at -= self.ends(self.segments[k])[-1]
         found: list[Token] = []
         for s in self.segments[k:]:
-            self._add(found, s, at)
-            at += s.ends[-1]
+            at = self._add(found, s, at)
         return self.count - len(found), found
 
-    def _add(self, found: list[Token], segment: Segment, at: int) -> None:
+    def _add(self, found: list[Token], segment: Segment, at: int) -> int:
         last = max(at, self.begin)  # the space that the model puts before a chunk takes no byte
-        for end, name in zip(segment.ends, segment.ids, strict=True):
+        for end, name in zip(self.ends(segment), segment.ids, strict=True):
             end = max(at + end, self.begin)
             found.append((last, end, name))
             last = end
+        return last
 
 
 class Counter:
@@ -84,11 +87,16 @@ class Counter:
 
         self.model = SentencePieceProcessor(model_file=model_path)
         self.chunk, self.overlap, self.remembered = max(chunk, 8), max(overlap, 1), remembered
-        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        size = self.model.get_piece_size()
+        names = [self.model.id_to_piece(i) for i in range(size)]
         #: Does the model take texts as they are, but for one space in front? Else there are no offsets to splice by.
         self.keeps_text = self.model.normalize(" a  b\t\né ") == "▁▁a▁▁b\t\né▁"
-        self.space = self.model.piece_to_id("▁")
-        self.separable = self.space != self.model.unk_id() and not any(re.search("[^▁]▁", name) for name in names)
+        self.space, self.unknown = self.model.piece_to_id("▁"), self.model.unk_id()
+        self.separable = self.space != self.unknown and not any(re.search("[^▁]▁", name) for name in names)
+        #: Single bytes of a character without a piece of its own.
+        self.bytes = {i for i in range(size) if self.model.is_byte(i)}
+        #: Bytes of text behind each piece.
+        self.widths = [1 if i in self.bytes else len(name.replace("▁", " ").encode()) for i, name in enumerate(names)]
         self.known: dict[str, Segment] = {}
         self.known_bytes = 0
 
@@ -113,7 +121,7 @@ class Counter:
                 if back <= left.begin:
                     return None
                 right = self._encoded(data, back, left.end + size, separable)
-                joint = _common(left, right, first)
+                joint = self._common(left, right, first)
                 overlap *= 2
             counted += joint[0] - first
             left, first = right, joint[1]
@@ -123,27 +131,44 @@ class Counter:
         end = _char_start(data, end)
         text = data[begin:end].decode()
         if not separable:
-            return Chunk(begin, end, begin, [self._segment(text, 0)])
+            return Chunk(begin, end, begin, [self._with_places(text, 0)], self.widths)
         # the model puts one space before the chunk; each segment gets it in its turn
-        return Chunk(begin, end, begin - 1, list(map(self._remembered, re.findall(" +[^ ]*", " " + text))))
-
-    def _segment(self, text: str, lead: int) -> Segment:
+        parts = re.findall(" +[^ ]*", " " + text)
+        if self.known_bytes > self.remembered:
+            self.known.clear()
+            self.known_bytes = 0
+        if new := list(set(parts).difference(self.known)):
+            self._remember(new)
+        return Chunk(begin, end, begin - 1, list(map(self.known.__getitem__, parts)), self.widths)
+
+    def _remember(self, texts: list[str]) -> None:
+        for text, ids in zip(texts, self.model.encode([t[1:] for t in texts], num_threads=1), strict=True):
+            if text == " ":  # a last space: the library adds none of its own to an empty text
+                found = Segment((self.space,))
+            else:
+                found = self._with_places(text[1:], 1) if self.unknown in ids else Segment(tuple(ids))
+            self.known[text] = found
+            self.known_bytes += ENTRY_BYTES + TOKEN_BYTES * len(ids) + CHAR_BYTES * len(text)
+
+    def _with_places(self, text: str, lead: int) -> Segment:
         found = self.model.encode(text, return_type="proto").pieces
-        return Segment(tuple(p.end + lead for p in found), tuple(p.id for p in found))
-
-    def _remembered(self, text: str) -> Segment:
-        found = self.known.get(text)
-        if found is None:
-            # a last space: the library adds none of its own to an empty text
-            found = Segment((1,), (self.space,)) if text == " " else self._segment(text[1:], 1)
-            size = ENTRY_BYTES + TOKEN_BYTES * len(found.ids) + CHAR_BYTES * len(text)
-            if self.known_bytes + size > self.remembered:
-                self.known.clear()
-                self.known_bytes = 0
-            if size <= self.remembered:
-                self.known[text] = found
-                self.known_bytes += size
-        return found
+        return Segment(tuple(p.id for p in found), tuple(p.end + lead for p in found))
+
+    def _common(self, left: Chunk, right: Chunk, first: int) -> tuple[int, int] | None:
+        """The last token from ``first`` on that stands in both: (number in left, number in right)."""
+        right_tokens = right.head(left.end)
+        number, left_tokens = left.tail(right.begin)
+        # the first token of a chunk may owe its form to the space before it
+        places = {token: j for j, token in enumerate(right_tokens) if j and self._whole(right_tokens, j)}
+        for i in range(len(left_tokens) - 1, max(first - number, 0), -1):
+            if (j := places.get(left_tokens[i])) is not None and self._whole(left_tokens, i):
+                return number + i, j
+        return None
+
+    def _whole(self, tokens: list[Token], i: int) -> bool:
+        """With a text of its own and no neighbour of single bytes: there, places are not those of characters."""
+        (begin, end, name), (before, at, last) = tokens[i], tokens[i - 1]
+        return end > begin and at > before and name not in self.bytes and last not in self.bytes
 
 
 def _char_start(data: bytes, at: int) -> int:
@@ -154,23 +179,6 @@ def _char_start(data: bytes, at: int) -> int:
     return at
 
 
-def _common(left: Chunk, right: Chunk, first: int) -> tuple[int, int] | None:
-    """The last token from ``first`` on that stands in both with a text of its own: (number in left, number in right)."""
-    right_tokens = right.head(left.end)
-    number, left_tokens = left.tail(right.begin)
-    # the first token of a chunk may owe its form to the space before it
-    places = {token: j for j, token in enumerate(right_tokens) if j and _whole(right_tokens, j)}
-    for i in range(len(left_tokens) - 1, max(first - number, 0), -1):
-        if (j := places.get(left_tokens[i])) is not None and _whole(left_tokens, i):
-            return number + i, j
-    return None
-
-
-def _whole(tokens: list[Token], i: int) -> bool:
-    """Not one of the byte tokens of a character, whose earlier ones have an empty range."""
-    return tokens[i][1] > tokens[i][0] and tokens[i - 1][1] > tokens[i - 1][0]
-
-
 def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_column: str = "doc_id", text_column: str = "text",
                  chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES) -> DataFrame:
     """One row per input row: its id, bytes, tokens, and whether the tokens exceed ``limit``.
