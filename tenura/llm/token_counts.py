@@ -6,17 +6,11 @@ encoding is decided by adjacent pairs alone (a token sequence is the encoding of
 pair is the encoding of its own text), and each adjacent pair of the spliced sequence occurs in one of the two chunks'
 encodings. When the overlap has no such token, it is widened up to the chunk; where that fails too (a run of one
 letter, say), the text is taken again in chunks of twice the size, at last as a whole.
-
-Within a chunk, distinct segments are encoded once: when no piece of the vocabulary holds a space behind another
-character, no merge crosses the boundary between a character and a following space, and the chunk falls apart there.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from itertools import accumulate
-from typing import NamedTuple
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,94 +19,72 @@ from .common import pieces
 
 #: Bytes of a chunk beyond its overlap, and of the first overlap.
 CHUNK_BYTES, OVERLAP_BYTES = 1 << 10, 1 << 6
-#: Bytes of remembered segments from which a task forgets them, and about what one takes by itself, a token and a character.
-REMEMBERED_BYTES, ENTRY_BYTES, TOKEN_BYTES, CHAR_BYTES = 64 << 20, 300, 48, 4
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 Token = tuple[int, int, int]  #: begin, end, id; places in bytes
 
 
-class Segment(NamedTuple):
-    """Tokens of a stretch of a chunk; where each ends, from the stretch's begin, if the ids do not tell."""
-
-    ids: tuple[int, ...]
-    ends: tuple[int, ...] = ()
-
-
 class Chunk:
-    """Tokens of the bytes from ``begin`` to ``end``; places are worked out only where they are asked for."""
+    """Tokens of the bytes from ``begin`` to ``end``; places are worked out only where they are asked for.
 
-    def __init__(self, begin: int, end: int, at: int, segments: list[Segment], widths: list[int]):
-        self.begin, self.end, self.at, self.segments, self.widths = begin, end, at, segments, widths
-        self.count = sum([len(s.ids) for s in segments])
+    ``widths`` are the bytes of text behind each token, but that the first one counts the space that the model puts
+    before a chunk, which takes no byte of the text.
+    """
 
-    def ends(self, segment: Segment) -> tuple[int, ...]:
-        return segment.ends or tuple(accumulate(map(self.widths.__getitem__, segment.ids)))
+    def __init__(self, begin: int, end: int, ids: list[int], widths: Callable[[int], int]):
+        self.begin, self.end, self.ids, self.widths = begin, end, ids, widths
+        self.count = len(ids)
 
     def head(self, stop: int) -> list[Token]:
-        """The tokens of all segments that begin before ``stop``."""
+        """The tokens that begin before ``stop``."""
         found: list[Token] = []
-        at = self.at
-        for s in self.segments:
+        at = self.begin - 1
+        for k, name in enumerate(self.ids):
             if at >= stop:
                 break
-            at = self._add(found, s, at)
+            found.append((max(at, self.begin), at := at + self.widths(k), name))
         return found
 
     def tail(self, start: int) -> tuple[int, list[Token]]:
-        """The tokens of all segments that end behind ``start``, and the number of the first of them."""
-        at, k = self.end, len(self.segments)
+        """The tokens that end behind ``start``, and the number of the first of them."""
+        found: list[Token] = []
+        at, k = self.end, self.count
         while k and at > start:
             k -= 1
-            at -= self.ends(self.segments[k])[-1]
-        found: list[Token] = []
-        for s in self.segments[k:]:
-            at = self._add(found, s, at)
-        return self.count - len(found), found
-
-    def _add(self, found: list[Token], segment: Segment, at: int) -> int:
-        last = max(at, self.begin)  # the space that the model puts before a chunk takes no byte
-        for end, name in zip(self.ends(segment), segment.ids, strict=True):
-            end = max(at + end, self.begin)
-            found.append((last, end, name))
-            last = end
-        return last
+            found.append((max(at - self.widths(k), self.begin), at, self.ids[k]))
+            at -= self.widths(k)
+        return k, found[::-1]
 
 
 class Counter:
     """Counts tokens with one loaded model."""
 
-    def __init__(self, model_path: str, chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES, remembered: int = REMEMBERED_BYTES):
+    def __init__(self, model_path: str, chunk: int = CHUNK_BYTES, overlap: int = OVERLAP_BYTES):
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=model_path)
-        self.chunk, self.overlap, self.remembered = max(chunk, 8), max(overlap, 1), remembered
+        self.chunk, self.overlap = max(chunk, 8), max(overlap, 1)
         size = self.model.get_piece_size()
-        names = [self.model.id_to_piece(i) for i in range(size)]
         #: Does the model take texts as they are, but for one space in front? Else there are no offsets to splice by.
         self.keeps_text = self.model.normalize(" a  b\t\né ") == "▁▁a▁▁b\t\né▁"
-        self.space, self.unknown = self.model.piece_to_id("▁"), self.model.unk_id()
-        self.separable = self.space != self.unknown and not any(re.search("[^▁]▁", name) for name in names)
+        self.unknown = self.model.unk_id()
         #: Single bytes of a character without a piece of its own.
         self.bytes = {i for i in range(size) if self.model.is_byte(i)}
         #: Bytes of text behind each piece.
-        self.widths = [1 if i in self.bytes else len(name.replace("▁", " ").encode()) for i, name in enumerate(names)]
-        self.known: dict[str, Segment] = {}
-        self.known_bytes = 0
+        self.widths = [1 if i in self.bytes else len(self.model.id_to_piece(i).replace("▁", " ").encode()) for i in range(size)]
 
     def count(self, text: str) -> int:
         """The library's number of tokens."""
         if not text or not self.keeps_text:
             return len(self.model.encode(text))
         data, size = text.encode(), self.chunk
-        separable = self.separable and "▁" not in text  # the model's own sign for a space: no boundary is proven
-        while (found := self._spliced(data, size, separable)) is None:
+        while (found := self._spliced(data, size)) is None:
             size *= 2
         return found
 
-    def _spliced(self, data: bytes, size: int, separable: bool) -> int | None:
+    def _spliced(self, data: bytes, size: int) -> int | None:
         """Tokens of all chunks of ``size``; none where two neighbours have no stable boundary in common."""
-        left = self._encoded(data, 0, size, separable)
+        left = self._encoded(data, 0, size)
         counted = first = 0
         while left.end < len(data):
             overlap, joint = self.overlap, None
@@ -120,39 +92,23 @@ class Counter:
                 back = _char_start(data, left.end - overlap)
                 if back <= left.begin:
                     return None
-                right = self._encoded(data, back, left.end + size, separable)
+                right = self._encoded(data, back, left.end + size)
                 joint = self._common(left, right, first)
                 overlap *= 2
             counted += joint[0] - first
             left, first = right, joint[1]
         return counted + left.count - first
 
-    def _encoded(self, data: bytes, begin: int, end: int, separable: bool) -> Chunk:
+    def _encoded(self, data: bytes, begin: int, end: int) -> Chunk:
         end = _char_start(data, end)
         text = data[begin:end].decode()
-        if not separable:
-            return Chunk(begin, end, begin, [self._with_places(text, 0)], self.widths)
-        # the model puts one space before the chunk; each segment gets it in its turn
-        parts = re.findall(" +[^ ]*", " " + text)
-        if self.known_bytes > self.remembered:
-            self.known.clear()
-            self.known_bytes = 0
-        if new := list(set(parts).difference(self.known)):
-            self._remember(new)
-        return Chunk(begin, end, begin - 1, list(map(self.known.__getitem__, parts)), self.widths)
-
-    def _remember(self, texts: list[str]) -> None:
-        for text, ids in zip(texts, self.model.encode([t[1:] for t in texts], num_threads=1), strict=True):
-            if text == " ":  # a last space: the library adds none of its own to an empty text
-                found = Segment((self.space,))
-            else:
-                found = self._with_places(text[1:], 1) if self.unknown in ids else Segment(tuple(ids))
-            self.known[text] = found
-            self.known_bytes += ENTRY_BYTES + TOKEN_BYTES * len(ids) + CHAR_BYTES * len(text)
-
-    def _with_places(self, text: str, lead: int) -> Segment:
+        ids = self.model.encode(text)
+        if "▁" not in text and self.unknown not in ids:
+            return Chunk(begin, end, ids, lambda k: self.widths[ids[k]])
+        # the model's own sign for a space, or characters without a piece: their widths are only known to the library
         found = self.model.encode(text, return_type="proto").pieces
-        return Segment(tuple(p.id for p in found), tuple(p.end + lead for p in found))
+        ends = [-1, *[p.end for p in found]]
+        return Chunk(begin, end, ids, lambda k: ends[k + 1] - ends[k])
 
     def _common(self, left: Chunk, right: Chunk, first: int) -> tuple[int, int] | None:
         """The last token from ``first`` on that stands in both: (number in left, number in right)."""

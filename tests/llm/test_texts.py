@@ -42,10 +42,9 @@ def test_counts_equal_the_library(spark, texts, library):
 def test_splicing_equals_the_whole_text(library):
     odd = [" ".join(noise(40, seed=s)) for s in range(20)] + ["a" * 5000, "é日" * 900, " " * 3000, "x" * 90 + " y" * 400, "▁ab" * 300]
     for chunk, overlap in [(8, 1), (64, 4), (300, 8), (1024, 64)]:
-        counter = Counter(tokenizer("piece_bpe_32k.model"), chunk, overlap, remembered=20_000)
+        counter = Counter(tokenizer("piece_bpe_32k.model"), chunk, overlap)
         for text in odd + [t for t in ODD if t]:
             assert counter.count(text) == len(library.encode(text)), (chunk, text[:80])
-        assert len(counter.known) < 200
 
 
 def field(number, kind, data):
@@ -57,11 +56,11 @@ def field(number, kind, data):
 
 
 def random_model(rnd, letters="abc", size=40):
-    """A model of merges at random: every piece joins two earlier ones, none holds a space behind another character."""
+    """A model of merges at random: every piece joins two earlier ones."""
     names = ["▁", *letters]
     while len(names) < size:
         name = rnd.choice(names) + rnd.choice(names)
-        if name not in names and not re.search("[^▁]▁", name):
+        if name not in names:
             names.append(name)
     entries = [field(1, 2, b"<unk>") + field(2, 5, 0.0) + field(3, 0, 2)]
     entries += [field(1, 2, n.encode()) + field(2, 5, -float(i)) + field(3, 0, 1) for i, n in enumerate(names)]
@@ -78,12 +77,10 @@ def test_boundaries_are_stable_in_random_vocabularies(tmp_path):
         path.write_bytes(random_model(rnd, size=rnd.choice([8, 20, 60])))
         own = SentencePieceProcessor(model_file=str(path))
         counter = Counter(str(path), rnd.choice([8, 16, 40]), rnd.choice([1, 3, 8]))
-        assert counter.keeps_text and counter.separable
-        whole = Counter(str(path), 16, 4)
-        whole.separable = False
+        assert counter.keeps_text
         for _ in range(60):
-            text = "".join(rnd.choice(rnd.choice(["abc", "aab ", "a"])) for _ in range(rnd.randint(1, 200)))
-            assert counter.count(text) == whole.count(text) == len(own.encode(text)), (k, text)
+            text = "".join(rnd.choice(rnd.choice(["abc", "aab ", "a", "abz "])) for _ in range(rnd.randint(1, 200)))
+            assert counter.count(text) == len(own.encode(text)), (k, text)
 
 
 def test_ids_and_text_equal_the_library(spark, texts):
