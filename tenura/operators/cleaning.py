@@ -29,18 +29,10 @@ def type_measures(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def parse_quality(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column: texts present, numbers parsed, share lost, and a warning above the limit."""
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).alias("raw"), decimal_comma(F.col(c)).alias("parsed"))
-            for c in columns
-        ]
-    )
-    counted = (
-        df.select(F.inline(pairs))
-        .groupBy("column")
-        .agg(F.count("raw").alias("n_text"), F.count("parsed").alias("n_parsed"))
-    )
+    """Per column: texts present, numbers parsed, share lost, and a warning above the limit; from one aggregate row."""
+    counts = [F.struct(F.count(c).alias("n_text"), F.count(decimal_comma(F.col(c))).alias("n_parsed")).alias(c) for c in columns]
+    entries = [F.struct(F.lit(c).alias("column"), f"{c}.n_text", f"{c}.n_parsed") for c in columns]
+    counted = df.agg(*counts).select(F.inline(F.array(*entries)))
     lost = F.coalesce(F.try_divide(F.col("n_text") - F.col("n_parsed"), F.col("n_text")), F.lit(0.0))
     return counted.withColumn("lost_share", lost).withColumn("warn", F.col("lost_share") > PARSE_LOSS_LIMIT)
 
@@ -82,13 +74,11 @@ def apply_domain_rules(
 
 
 def rule_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """One row per rule with the number of rows it changes; one pass, map-side counts."""
-    entries = [F.struct(F.lit(name).alias("rule"), hit.alias("hit")) for name, hit in rules.items()]
-    return (
-        df.select(F.inline(F.array(*entries)))
-        .groupBy("rule")
-        .agg(F.count_if("hit").alias("violations"))
-    )
+    """One row per rule with the number of rows it changes; one aggregate row, nothing is unpivoted."""
+    if not rules:
+        return df.sparkSession.createDataFrame([], "rule string, violations long")
+    entries = [F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations")) for name in rules]
+    return df.agg(*[F.count_if(hit).alias(name) for name, hit in rules.items()]).select(F.inline(F.array(*entries)))
 
 
 def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:

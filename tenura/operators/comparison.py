@@ -139,7 +139,7 @@ def common_importances(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def spearman(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Rank correlation with mid-ranks: ``n, rho, agreement``.
+    """Rank correlation with mid-ranks: ``n, rho, p_value, agreement``.
 
     Mid-ranks come from counts of distinct values through the bucketed order, so the input may
     also be a large table.
@@ -150,29 +150,30 @@ def spearman(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     side = lambda name: ranks.where(F.col("series") == name).select(F.col("value").alias(name), F.col("r").alias(f"r_{name}"))
     ranked = pairs.join(side(a), a).join(side(b), b)
     rho = F.try_divide(F.covar_pop(f"r_{a}", f"r_{b}"), F.stddev_pop(f"r_{a}") * F.stddev_pop(f"r_{b}"))
-    return ranked.agg(F.count(F.lit(1)).alias("n"), rho.alias("rho")).withColumn(
+    found = ranked.agg(F.count(F.lit(1)).alias("n"), rho.alias("rho"))
+    return found.withColumn("p_value", spearman_p_value(F.col("rho"), F.col("n"))).withColumn(
         "agreement", F.when(F.col("rho") > AGREEMENT_RHO, "agreement").otherwise("disagreement")
     )
 
 
-def spearman_p_value(rho: float, n: int, steps: int = 4000) -> float:
-    """Two-sided Student-t tail for one reported correlation (a single number on the driver).
+def spearman_p_value(rho: Column, n: Column) -> Column:
+    """Two-sided Student-t tail of a correlation of ``n`` pairs; NULL for fewer than three and for a NULL correlation.
 
-    With t = sqrt(df) * tan(a) the density is proportional to cos(a)^(df-1), so both the tail and
-    the whole come from the same Simpson sum over the angle.
+    With t = sqrt(df) * tan(a), sin(a) is the correlation, and the mass within -/+ t is a finite sum of powers of cos(a).
     """
     df = n - 2
-    if df <= 0:
-        return float("nan")
-    if abs(rho) >= 1.0:
-        return 0.0
-    start = math.asin(abs(rho))  # t / sqrt(df + t^2) equals |rho|
-
-    def mass(low: float) -> float:
-        h = (math.pi / 2 - low) / steps
-        inner = (
-            (4 if i % 2 else 2) * math.cos(low + i * h) ** (df - 1) for i in range(1, steps)
-        )
-        return h / 3 * (math.cos(low) ** (df - 1) + sum(inner) + max(math.cos(math.pi / 2), 0.0) ** (df - 1))
-
-    return min(1.0, mass(start) / mass(0.0))
+    even = F.when(df % 2 == 0, 1).otherwise(0)
+    sine = F.least(F.abs(rho), F.lit(1.0))
+    square = 1 - sine * sine
+    first = F.when(even == 1, 1.0).otherwise(F.sqrt(square))
+    start = F.struct(first.alias("term"), F.when(df == 1, 0.0).otherwise(first).alias("total"))
+    last = F.floor((df - 3 + even) / 2)
+
+    def add(so_far: Column, k: Column) -> Column:
+        term = so_far["term"] * square * (2 * k - even) / (2 * k + 1 - even)
+        return F.struct(term.alias("term"), (so_far["total"] + term).alias("total"))
+
+    steps = F.when(last >= 1, F.sequence(F.lit(1).cast("long"), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<bigint>"))
+    total = F.aggregate(steps, start, add)["total"]
+    within = F.when(even == 1, sine * total).otherwise(2 / math.pi * (F.asin(sine) + sine * total))
+    return F.when((df >= 1) & rho.isNotNull(), F.greatest(1 - within, F.lit(0.0)))

@@ -111,13 +111,14 @@ def campaign_reach(ranked: DataFrame, low: int = CONTACT_PERCENTS[0], high: int
     )
 
 
-def predictions_table(df: DataFrame, prob: str, label: str, thresholds: dict[str, float]) -> DataFrame:
-    """The export columns; the file writer sorts them."""
+def predictions_table(df: DataFrame, prob: str, label: str, thresholds: dict[str, float], *, row_id: str | None = None) -> DataFrame:
+    """The export columns; the file writer sorts them, equal probabilities by ``row_id`` if it is named here."""
     flags = threshold_predictions(prob, thresholds)
     return df.select(
         F.col(prob).alias("churn_probability"),
         *[column.alias(name) for name, column in flags.items()],
         F.col(label).cast("int").alias("true_label"),
+        *([F.col(row_id).alias("row_id")] if row_id else []),
     )
 
 

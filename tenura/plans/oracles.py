@@ -496,10 +496,26 @@ lab AS (SELECT rank, churn_probability, place, feature || ' (' || printf('%+.3f'
 w AS (SELECT rank, churn_probability, round_even(churn_probability * 100, 1) AS risk_pct, max(t) FILTER (WHERE place = 1) AS primary_driver,
     max(t) FILTER (WHERE place = 2) AS driver_2, max(t) FILTER (WHERE place = 3) AS driver_3 FROM lab GROUP BY rank, churn_probability)
 SELECT * FROM w WHERE churn_probability >= 0.5 AND contains(lower(concat_ws(' ', primary_driver, driver_2, driver_3)), 'idle_')"""
+# The two-sided tail of Student's t as a finite sum with gamma functions; the angle's sine is the correlation.
+AGREEMENT = f""", f AS (SELECT count(*) AS n, {pearson('ra', 'rb')} AS rho FROM k),
+t AS (SELECT *, n - 2 AS df, least(abs(rho), 1) AS s, sqrt(1 - least(abs(rho), 1) * least(abs(rho), 1)) AS c FROM f),
+m AS (SELECT *, CASE WHEN df % 2 = 0
+    THEN s * list_sum(list_transform(range(0, df // 2), lambda k: gamma(k + 0.5) / (sqrt(pi()) * gamma(k + 1)) * c ** (2 * k)))
+    ELSE 2 / pi() * (asin(s) + s * coalesce(list_sum(list_transform(range(0, (df - 1) // 2), lambda k: sqrt(pi()) / 2 * gamma(k + 1) / gamma(k + 1.5) * c ** (2 * k + 1))), 0)) END AS inside FROM t)
+SELECT n, {r('rho')} AS rho, CASE WHEN df >= 1 AND rho IS NOT NULL THEN {r('greatest(1 - inside, 0)')} END AS p_value, CASE WHEN rho > 0.7 THEN 'agreement' ELSE 'disagreement' END AS agreement FROM m"""
 ORACLES["spearman_importance"] = f"""WITH {BASE}, im AS (SELECT area IN ('AMERICA', 'EUROPE') AS west, series, abs({pearson('value', 'tall.label')}) AS i FROM tall JOIN base USING (row_id) GROUP BY 1, 2),
 p AS (SELECT a.series, a.i AS a, b.i AS b FROM im a JOIN im b ON a.series = b.series AND a.west AND NOT b.west),
 k AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2 AS rb FROM p)
-SELECT count(*) AS n, {r(pearson('ra', 'rb'))} AS rho, CASE WHEN {pearson('ra', 'rb')} > 0.7 THEN 'agreement' ELSE 'disagreement' END AS agreement FROM k"""
+{AGREEMENT}"""
+ORACLES["importance_agreement"] = f"""WITH {BASE}, {CONTRIB}, c AS (SELECT feature, avg(abs(value)) AS a, any_value(abs(weight)) AS b
+  FROM con JOIN (VALUES {', '.join(f"('{c}', {w!r}::double)" for c, w in COEFFICIENTS.items())}) w(feature, weight) USING (feature) GROUP BY feature),
+p AS (SELECT feature, a, b FROM c),
+k AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2 AS rb FROM p)
+{AGREEMENT}"""
+ORACLES["typed_lines"] = """SELECT l_orderkey AS row_id, l_linenumber, CASE WHEN l_linestatus = 'F' THEN '1' WHEN l_returnflag <> 'R' THEN '0' END AS truck,
+  (l_returnflag = 'R')::INTEGER AS label FROM lineitem"""
+ORACLES["undeclared_text"] = """SELECT 'p_name' AS feature, count(DISTINCT p_name) AS n_values FROM part UNION ALL SELECT 'p_brand' AS feature, count(DISTINCT p_brand) AS n_values FROM part UNION ALL SELECT 'p_type' AS feature, count(DISTINCT p_type) AS n_values FROM part"""
+ORACLES["class_values"] = f"WITH {BASE} SELECT {r('avg12')} AS avg12 FROM base WHERE label = 1 AND avg12 IS NOT NULL"
 
 CLASSES = "count(*) AS n_rows, round_even(avg(label), 4) AS churn_rate, count(*) FILTER (WHERE label = 1) AS churn_count, count(*) FILTER (WHERE label = 0) AS no_churn_count"
 COLLINEAR = [*BASE_NUMERIC, "spend"]

@@ -28,7 +28,7 @@ from tenura.operators import (
 )
 from tenura.functions.expressions import clean_category, decimal_comma
 from tenura.plans import reports, tables
-from tenura.roles import FLAG_SUFFIX
+from tenura.roles import FLAG_SUFFIX, Roles
 from tenura.session import shared_folder, shared_table
 from tenura.sources import readers, writers
 
@@ -97,6 +97,30 @@ def domain_rules(spark, sf):
     return rounded(ruled.select("row_id", "acctbal", "n_orders", "placed", "avg12"))
 
 
+@query
+def typed_lines(spark, sf):
+    """Order lines without identifiers, a binary category as text, and the target as a label."""
+    lines = tables.read(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("Customer_ID"), F.col("l_orderkey").alias("row_id"), "l_linenumber",
+        F.when(F.col("l_linestatus") == "F", 1).when(F.col("l_returnflag") != "R", 0).alias("truck"),
+        (F.col("l_returnflag") == "R").cast("string").alias("churn"),
+    )
+    typed = cleaning.categories_as_text(cleaning.drop_identifiers(lines, Roles()), ["truck"])
+    return cleaning.with_label(typed.withColumn("churn", F.col("churn").cast("boolean")), "churn")
+
+
+@query
+def class_values(spark, sf):
+    return rounded(cleaning.class_values(tables.customer_base(spark, sf), "avg12", "label", 1))
+
+
+@query
+def undeclared_text(spark, sf):
+    """Text columns of the parts that the catalogue does not name, with their number of values."""
+    parts = tables.read(spark, sf, "part")
+    return profiling.cardinality(parts, tables.BASE_ROLES.undeclared_text(parts)).select("feature", "n_values")
+
+
 @query
 def rule_violations(spark, sf):
     base = tables.customer_base(spark, sf)
@@ -600,6 +624,14 @@ def spearman_importance(spark, sf):
     return rounded(comparison.spearman(pairs))
 
 
+@query
+def importance_agreement(spark, sf):
+    """Do mean absolute contributions rank the inputs as their coefficients do?"""
+    found = attribution.global_importance(_contributions(spark, sf)[0], k=None)
+    weights = models.importance_table(spark, {c: abs(w) for c, w in COEFFICIENTS.items()}, k=None)
+    return rounded(comparison.spearman(comparison.common_importances(found, weights)))
+
+
 # ---- models ------------------------------------------------------------------------------------
 
 

@@ -57,6 +57,7 @@ def preparation_report(raw: DataFrame, prepared: DataFrame, decisions: dict, rol
             "dropped_columns": texts(decisions["sparse"]),
             "dropped_identifier_columns": texts(decisions.get("identifiers", [])),
             "dropped_high_missing_columns": texts(decisions["sparse"]),
+            "undeclared_text_columns": texts(decisions.get("undeclared", [])),
             "was_missing_flags": texts([c for c in features if c.endswith(FLAG_SUFFIX)]),
             "engineered_features": texts([c for c in engineered if c in features]),
             "missing_value_summary": gathered(missing, [F.col("missing_pct") * -1, "column"]),

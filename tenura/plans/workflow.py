@@ -49,7 +49,12 @@ def prepare(spark: SparkSession, s: Settings) -> DataFrame:
     raw = with_row_id(readers.read_delimited(spark, s.source), roles)
     readers.require_valid_source(raw, roles.target)
     ids = roles.identifiers(raw)
-    typed = cleaning.type_measures(raw, roles.measures(raw)).withColumn(roles.target, F.col(roles.target).try_cast("int"))
+    measures = [c for c in roles.measures(raw) if c not in ids]
+    writers.write_report(cleaning.parse_quality(raw, measures), f"{s.output}/parse_quality")
+    typed = cleaning.type_measures(raw, measures).withColumn(roles.target, F.col(roles.target).try_cast("int"))
+    typed = cleaning.categories_as_text(typed, list(roles.binary))
+    predicates = cleaning.domain_predicates(typed, **s.rules)
+    writers.write_report(cleaning.rule_violations(typed, predicates), f"{s.output}/rule_violations")
     ruled = cleaning.apply_domain_rules(typed, **s.rules).drop(*ids)
     inputs = [c for c in ruled.columns if c not in (roles.row_id, roles.target)]
     rates = cleaning.missing_rates(ruled, inputs)
@@ -59,7 +64,7 @@ def prepare(spark: SparkSession, s: Settings) -> DataFrame:
     writers.write_prepared(built, roles, f"{s.output}/prepared", normalised=True)
     prepared, _ = readers.read_prepared(spark, f"{s.output}/prepared")
     engineered = [s.usage.delta_name, "drop_rate", "old_phone"]
-    decisions = {"sparse": sparse, "identifiers": ids, "skipped": skipped}
+    decisions = {"sparse": sparse, "identifiers": ids, "skipped": skipped, "undeclared": roles.undeclared_text(built)}
     report = reports.preparation_report(raw.drop(roles.row_id), prepared, decisions, roles, engineered)
     writers.write_report(report, f"{s.output}/preparation_report")
     return prepared
@@ -196,7 +201,7 @@ def evaluate(spark: SparkSession, s: Settings, trained: dict[str, object]) -> Da
     )
     writers.write_report(report, f"{s.output}/final_evaluation")
     writers.write_report(report.select("business_segmentation.*"), f"{s.output}/business_segmentation")
-    writers.write_predictions(segments.predictions_table(scored, "prob", "label", named), f"{s.output}/predictions")
+    writers.write_predictions(segments.predictions_table(scored, "prob", "label", named, row_id="row_id"), f"{s.output}/predictions")
     sample = trained["test"] if s.explain_rows is None else splitting.explanation_sample(trained["test"], s.explain_rows, id_name)
     if winner == comparison.COMPLEX:
         trees = attribution.ensemble_nodes(spark, fitted.ensemble)
@@ -208,6 +213,11 @@ def evaluate(spark: SparkSession, s: Settings, trained: dict[str, object]) -> Da
     drivers = attribution.top_drivers(contributions, scored.join(sample.select(F.col(id_name).alias("row_id")), "row_id", "left_semi"))
     writers.write_report(drivers, f"{s.output}/top_churn_drivers")
     writers.write_report(attribution.global_importance(contributions), f"{s.output}/importance")
+    weights = {c: abs(w) for c, w in trained["results"][comparison.SIMPLE][0].coefficients().items()}
+    pairs = comparison.common_importances(
+        attribution.global_importance(contributions, k=None), models.importance_table(spark, weights, k=None)
+    )
+    writers.write_report(comparison.spearman(pairs).withColumn("pairs", reports.gathered(pairs, ["feature"])), f"{s.output}/importance_agreement")
     return spark.read.json(f"{s.output}/final_evaluation")
 
 

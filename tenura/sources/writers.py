@@ -33,8 +33,9 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
-    """Predictions in descending probability; the range sort keeps part files in order."""
-    predictions.orderBy(F.desc("churn_probability")).write.mode("overwrite").option("header", True).csv(path)
+    """Predictions in descending probability, then by row id, which is not written; the range sort keeps part files in order."""
+    ties = [c for c in ("row_id",) if c in predictions.columns]
+    predictions.orderBy(F.desc("churn_probability"), *ties).drop(*ties).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_model(model: MLWritable, path: str) -> None:

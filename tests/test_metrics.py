@@ -118,11 +118,14 @@ def test_decision_table(spark, significant, recall, auc, winner):
     assert got["winner"] == got["selected_model"] == winner and got["reason"] == got["selection_reason"]
 
 
-def test_spearman_p_value():
-    # Student-t tails from published tables: t = 2.228 with 10 degrees of freedom is p = 0.05.
-    rho = 2.228 / math.sqrt(10 + 2.228**2)
-    assert math.isclose(comparison.spearman_p_value(rho, 12), 0.05, abs_tol=1e-4)
-    assert comparison.spearman_p_value(0.0, 12) == pytest.approx(1.0)
+def test_spearman_p_value(spark):
+    # Student-t tails from published tables: two-sided p = 0.05, first with 1, 2, 3, 9, 10 and 60 degrees of freedom.
+    tails = {1: 12.706, 2: 4.303, 3: 3.182, 9: 2.262, 10: 2.228, 60: 2.000}
+    rows = [(t / math.sqrt(df + t**2), df + 2, 0.05) for df, t in tails.items()]
+    rows += [(0.0, 12, 1.0), (1.0, 12, 0.0), (-1.0, 5, 0.0), (0.5, 2, None), (0.5, 0, None), (None, 9, None), (0.5, 3, 2 / 3)]
+    got = spark.createDataFrame(rows, "rho double, n long, want double").select(comparison.spearman_p_value(F.col("rho"), F.col("n")).alias("p"), "want")
+    for r in got.collect():
+        assert r["p"] is r["want"] is None or r["p"] == pytest.approx(r["want"], abs=1e-4)
 
 
 def test_poisson_weights_look_poisson():

@@ -84,6 +84,12 @@ def test_both_runs_end_to_end(spark, tmp_path, tiny):
     assert len(parts["gain_curve_data"]) == final["n_test_samples"]
     prep = readers.read_report(spark, f"{output}/preparation_report").first()
     assert prep["dropped_identifier_columns"] == ["Customer_ID"] and prep["dropped_columns"] == ["avg3"]
+    assert prep["undeclared_text_columns"] == []
+    quality = {r["column"]: r for r in readers.read_report(spark, f"{output}/parse_quality").collect()}
+    assert set(quality) == set(tables.BASE_NUMERIC) and not any(r["warn"] for r in quality.values())
+    assert readers.read_report(spark, f"{output}/rule_violations").count() == 0  # no column of these rules is there
+    agreement = readers.read_report(spark, f"{output}/importance_agreement").first()
+    assert agreement["n"] == len(agreement["pairs"]) and 0 <= agreement["p_value"] <= 1 and abs(agreement["rho"]) <= 1
     predictions = readers.read_predictions(spark, f"{output}/predictions")
     assert predictions.count() == final["n_test_samples"]
     drivers = readers.read_report(spark, f"{output}/top_churn_drivers")
