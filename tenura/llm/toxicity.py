@@ -74,11 +74,11 @@ def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _joined(codes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Single letters that separators hold apart become one word (``i.d.i.o.t``)."""
-    if len(codes) < 5:
+    if len(codes) < 3:
         return codes, text
     gap = codes == 0
     drop = np.zeros(len(codes), bool)
-    drop[2:-2] = gap[2:-2] & ~gap[1:-3] & ~gap[3:-1] & (text[1:-3] == text[3:-1])
+    drop[1:-1] = gap[1:-1] & ~gap[:-2] & ~gap[2:] & (text[:-2] == text[2:])
     alone = np.zeros(len(codes), bool)  # a letter between two separators, or at an end of the text
     inner = np.concatenate([[True], text[1:] != text[:-1]]) | np.concatenate([[True], gap[:-1]])
     alone = ~gap & inner & (np.concatenate([gap[1:], [True]]) | np.concatenate([text[1:] != text[:-1], [True]]))
