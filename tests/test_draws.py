@@ -68,3 +68,11 @@ def test_no_rows(spark):
     none = spark.createDataFrame([], "row_id bigint, prob double, label int")
     weights = resampling.multinomial_weights(none, 3, packed=True)
     assert resampling.replicate_cells(none, ["prob"], "label", weights).count() == 0
+
+
+def test_retention_flags_pass_over_a_written_table(spark, tiny):
+    """The joined table is computed once, not for each of its averages, medians and counts."""
+    from tenura.plans.queries import QUERIES
+
+    plan = QUERIES["retention_flags"](spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_custkey" not in plan and "Join" in plan
