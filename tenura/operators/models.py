@@ -48,6 +48,8 @@ ENCODED = "_enc"
 MAX_BINS = BINS + 1
 #: Training rows that one task of the tree learner takes at least.
 TREE_TASK_ROWS = 50_000
+#: Fits of a search at a time at most: each is a thread of the driver that starts small jobs.
+MAX_FITS = 16
 CV_METRICS = ("roc_auc", "f1", "precision", "recall")
 
 
@@ -347,6 +349,11 @@ def search_trials(trials: int = SEARCH_TRIALS, seed: int = 42, base: BoostedPara
     return drawn
 
 
+def concurrent_fits(rows: int, cores: int) -> int:
+    """Fits of so many rows that fill the cores, as a small fit is one task at a time; two at least, sixteen at most."""
+    return max(2, min(MAX_FITS, cores // max(1, -(-rows // TREE_TASK_ROWS))))
+
+
 def search_boosted(
     train: DataFrame,
     columns: Columns,
@@ -354,14 +361,15 @@ def search_boosted(
     k: int = SEARCH_FOLDS,
     *,
     on_trial: Callable[[int, BoostedParams, float], None] | None = None,
-    parallel: int = 2,
+    parallel: int | None = None,
     ledger: str | None = None,
 ) -> DataFrame:
     """``trial, <params>, auc``: mean held-out AUC per setting over the same folds.
 
     Every finished (setting, fold) is written to the ``ledger`` folder at once, with its setting and the rows it was
     judged on; a search that starts on a ledger takes over what is there for the same setting and rows, so one that was
-    ended goes on where it stopped. ``on_trial`` is called when the last fold of a setting ends; a failing callback
+    ended goes on where it stopped. ``parallel`` fits run at a time, by default as many as fill the cores.
+    ``on_trial`` is called when the last fold of a setting ends; a failing callback
     never stops the search.
     """
     spark = train.sparkSession
@@ -394,6 +402,8 @@ def search_boosted(
                 LOG.warning("trial %d not logged: %s", trial, failure)
 
     jobs = [(t, f) for t in range(len(trials)) for f in range(k)]
+    rows = sum(sizes.values()) - min(sizes.values(), default=0)
+    parallel = parallel or concurrent_fits(rows, spark.sparkContext.defaultParallelism)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         list(pool.map(one, jobs))
     rows = [(t, *settings(p)[:-1], _mean(done[t])) for t, p in enumerate(trials)]
