@@ -16,7 +16,7 @@ turns that into a score.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import product
 
@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import held_out, pieces
+from .common import give_back, held_out, pieces
 
 BITS, LENGTH = 5, 4
 SIZE = 1 << BITS * LENGTH
@@ -36,6 +36,8 @@ SHORT = 300
 #: Labelled documents of each class that training reads at most, and characters of each of them.
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 40_000
 LANDMARKS, ROUNDS, POSITIVES, HARD, EASY = 96, 3, 3, 2, 4
+#: Characters that are looked at together, and numbers of a matrix of windows that are held at once.
+RUN_CHARS, CELLS = 1 << 18, 1 << 20
 GAPS = [np.cumsum((0, *gap)) for gap in product((1, 2), repeat=LENGTH - 1)]
 WEIGHTS = [DECAY ** int(gap[-1] - (LENGTH - 1)) for gap in GAPS]
 LOOK_ALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
@@ -55,8 +57,25 @@ def _fold_table(size: int = 0x250) -> np.ndarray:
 FOLD = _fold_table()
 
 
+def _together(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of neighbours that have RUN_CHARS characters at most (a larger one is alone)."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    at = 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + RUN_CHARS, "right")) - 1)
+        yield at, to
+        at = to
+
+
 def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all texts, each followed by PAD separators, and where each text begins (one more entry)."""
+    """Codes of all texts (a byte each), each followed by PAD separators, and where each text begins (one more entry)."""
+    found = [_folded(texts[a:b]) for a, b in _together(np.array([len(t) for t in texts], np.int64))]
+    sizes = np.concatenate([np.zeros(1, np.int64), *[own for _, own in found]])
+    return np.concatenate([np.zeros(0, np.uint8), *[codes for codes, _ in found]]), np.cumsum(sizes)
+
+
+def _folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of these texts, and how many each has."""
     lengths = np.array([len(t) for t in texts], np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = FOLD[np.minimum(points, len(FOLD) - 1)]
@@ -67,9 +86,9 @@ def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     codes, text = _joined(codes, text)
     sizes = np.bincount(text, minlength=len(texts)) + PAD + 1
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    out = np.zeros(starts[-1], np.uint32)
+    out = np.zeros(starts[-1], np.uint8)
     out[np.arange(len(codes)) + (PAD + 1) * text + 1] = codes  # a text begins with a separator
-    return out, starts
+    return out, sizes
 
 
 def _joined(codes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,13 +125,31 @@ def decisions(weights: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _by_runs(codes: np.ndarray, starts: np.ndarray, values: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For runs of texts: the first, the one behind the last, and ``values`` of their codes as among all texts.
+
+    The codes behind a run that its last windows reach are passed on too, so no value depends on how texts are cut.
+    """
+    for a, b in _together(np.diff(starts)):
+        yield a, b, values(codes[starts[a] : starts[b] + 2 * PAD])[: starts[b] - starts[a]]
+
+
+def _decided(weights: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    return lambda codes: np.append(decisions(weights, codes), np.full(PAD, -1e9, np.float32))
+
+
 def summaries(weights: np.ndarray, bias: float, texts: list[str]) -> np.ndarray:
     """Per text: the highest decision, how many separate windows pass each of LEVELS, and the length (logarithms)."""
     if not texts:
         return np.zeros((0, 2 + len(LEVELS)))
     codes, starts = folded(texts)
-    value = np.append(decisions(weights, codes), np.full(PAD, -1e9, np.float32)) + np.float32(bias)
+    found = [_summed(value + np.float32(bias), starts[a : b + 1] - starts[a]) for a, b, value in _by_runs(codes, starts, _decided(weights))]
+    return np.concatenate(found)
+
+
+def _summed(value: np.ndarray, starts: np.ndarray) -> np.ndarray:
     value[(starts[1:, None] - np.arange(1, PAD - 3)).ravel()] = -1e9  # windows that would reach into the next text
+    texts = starts[1:]
     out = np.empty((len(texts), 2 + len(LEVELS)))
     out[:, 0] = np.maximum.reduceat(value, starts[:-1])
     out[:, -1] = np.log(np.maximum(np.diff(starts) - PAD, SHORT))
@@ -144,7 +181,7 @@ def _vectors(codes: np.ndarray, at: np.ndarray) -> np.ndarray:
     out = np.empty((len(at), STARTS * len(GAPS)), np.uint32)
     for g, gap in enumerate(GAPS):
         for k in range(STARTS):
-            found = codes[at + k + gap[0]]
+            found = codes[at + k + gap[0]].astype(np.uint32)
             for offset in gap[1:]:
                 found = found << BITS | codes[at + k + offset]
             out[:, g * STARTS + k] = found
@@ -213,12 +250,18 @@ def _top(values: np.ndarray, starts: np.ndarray, count: int) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+def _top_of(codes: np.ndarray, starts: np.ndarray, values: Callable[[np.ndarray], np.ndarray], count: int) -> np.ndarray:
+    """_top of the values of all texts, which are worked out run by run."""
+    found = [starts[a] + _top(value, starts[a : b + 1] - starts[a], count) for a, b, value in _by_runs(codes, starts, values)]
+    return np.concatenate(found)
+
+
 def _spread(vectors: np.ndarray, count: int) -> np.ndarray:
     """Windows far from each other by the kernel: each next one is the least like those chosen."""
     known, local = np.unique(vectors, return_inverse=True)
     local = local.reshape(vectors.shape)
-    norm = lambda rows: np.sqrt(((_dense := _scatter(local[rows], len(known))) ** 2).sum(1))
-    norms = np.concatenate([norm(np.arange(a, min(a + 200, len(vectors)))) for a in range(0, len(vectors), 200)])
+    step = max(1, CELLS // len(known))
+    norms = np.concatenate([np.sqrt((_scatter(local[a : a + step], len(known)) ** 2).sum(1)) for a in range(0, len(vectors), step)])
     chosen, like = [], np.zeros(len(vectors))
     at = int(norms.argmax())
     for _ in range(min(count, len(vectors))):
@@ -239,10 +282,34 @@ def _scatter(local: np.ndarray, size: int) -> np.ndarray:
 
 def _runs(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """How many texts hold each run of four characters."""
-    found = subsequences(codes, GAPS[0])
-    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[: len(found)]
-    pairs = np.unique(text.astype(np.int64) << BITS * LENGTH | found)
-    return np.bincount(pairs & SIZE - 1, minlength=SIZE)
+    out = np.zeros(SIZE, np.int64)
+    for a, b, found in _by_runs(codes, starts, lambda codes: subsequences(codes, GAPS[0])):
+        text = np.repeat(np.arange(b - a), np.diff(starts[a : b + 1]))[: len(found)]
+        pairs = np.unique(text.astype(np.int64) << BITS * LENGTH | found)
+        out += np.bincount(pairs & SIZE - 1, minlength=SIZE)
+    return out
+
+
+def _inside(starts: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Positions of the windows with these numbers, counting those that begin within a text."""
+    before = starts - PAD * np.arange(len(starts))
+    return place + PAD * (np.searchsorted(before, place, "right") - 1)
+
+
+def _other_half(codes: np.ndarray, starts: np.ndarray, machines: list[tuple[np.ndarray, float] | None]) -> np.ndarray:
+    """The windows of each text that look worst to the machine of the other half, where that has one, of those near the worst."""
+    found = []
+    for a, b in _together(np.diff(starts)):
+        own, local = np.full(starts[b] - starts[a], -1e9, np.float32), starts[a : b + 1] - starts[a]
+        half = np.repeat(np.arange(a, b) % 2, np.diff(local))
+        for k, machine in enumerate(machines):
+            if machine is not None:
+                value = _decided(machine[0])(codes[starts[a] : starts[b] + 2 * PAD])[: len(own)] + machine[1]
+                own[half != k] = value[half != k]
+        best = np.maximum.reduceat(own, local[:-1])
+        chosen = _top(own, local, POSITIVES)
+        found.append(starts[a] + chosen[own[chosen] >= np.clip(best[np.searchsorted(local, chosen, "right") - 1], -0.5, 0)])
+    return np.concatenate(found)
 
 
 def train(toxic: list[str], clean: list[str], check_toxic: list[str], check_clean: list[str], seed: int = 7) -> Model:
@@ -255,27 +322,24 @@ def train(toxic: list[str], clean: list[str], check_toxic: list[str], check_clea
     a, b = _runs(*bad), _runs(*good)
     odds = np.log((a + 0.5) / (len(toxic) + 1)) - np.log((b + 0.5) / (len(clean) + 1))
     table = np.where(a >= 2, np.clip(odds, 0, None) * np.sqrt(a), 0).astype(np.float32)
+    del a, b, odds
     plain = lambda codes: np.append(table[subsequences(codes, GAPS[0])], np.zeros(PAD, np.float32))
     slide = lambda x: sum(np.append(x[k:], np.zeros(k, np.float32)) for k in range(STARTS))
-    hard = _vectors(good[0], _top(slide(plain(good[0])), good[1], 1))
-    inside = np.setdiff1d(np.arange(len(good[0]) - PAD), (good[1][1:, None] - PAD + np.arange(PAD)).ravel())
-    easy = _vectors(good[0], rng.choice(inside, min(len(inside), EASY * len(clean)), replace=False))
-    value = lambda codes, weights: np.append(decisions(weights, codes), np.full(PAD, -1e9, np.float32))
-    at = _top(slide(plain(bad[0])), bad[1], 1)
+    hard = _vectors(good[0], _top_of(*good, lambda codes: slide(plain(codes)), 1))
+    inside = len(good[0]) - PAD * len(clean)
+    easy = _vectors(good[0], _inside(good[1], rng.choice(inside, min(inside, EASY * len(clean)), replace=False)))
+    at = _top_of(*bad, lambda codes: slide(plain(codes)), 1)
     for _ in range(ROUNDS - 1):
         # the windows of each half of the toxic documents are chosen by the machine of the other half
-        own = np.full(len(bad[0]), -1e9, np.float32)
+        machines = []
         for half in (0, 1):
             of = lambda at: (np.searchsorted(bad[1], at, "right") - 1) % 2 == half  # noqa: B023, E731
             if not of(at).any() or of(at).all():
+                machines.append(None)
                 continue
-            weights, bias = _machine(_vectors(bad[0], at[of(at)]), hard, easy)
-            other = ~of(np.arange(len(bad[0])))
-            own[other] = value(bad[0], weights)[other] + bias
-            hard = np.unique(np.vstack([hard, _vectors(good[0], _top(value(good[0], weights), good[1], HARD))]), axis=0)
-        best = np.maximum.reduceat(own, bad[1][:-1])
-        chosen = _top(own, bad[1], POSITIVES)
-        chosen = chosen[own[chosen] >= np.clip(best[np.searchsorted(bad[1], chosen, "right") - 1], -0.5, 0)]
+            machines.append(_machine(_vectors(bad[0], at[of(at)]), hard, easy))
+            hard = np.unique(np.vstack([hard, _vectors(good[0], _top_of(*good, _decided(machines[-1][0]), HARD))]), axis=0)
+        chosen = _other_half(*bad, machines)
         at = chosen if len(chosen) else at
     weights, bias = _machine(_vectors(bad[0], at), hard, easy)
     toxic, clean = check_toxic or toxic, check_clean or clean
@@ -333,7 +397,10 @@ def training_texts(docs: DataFrame, labels: DataFrame, count: int = SAMPLE_DOCS)
 
 def fit(docs: DataFrame, labels: DataFrame, count: int = SAMPLE_DOCS) -> Model:
     texts = training_texts(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), count)
-    return train(**texts)
+    model = train(**texts)
+    del texts
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
