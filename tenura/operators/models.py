@@ -248,18 +248,19 @@ def fit_boosted(train: DataFrame, columns: Columns, params: BoostedParams = Boos
 Fit = Callable[[DataFrame], object]
 
 
-def out_of_fold(train: DataFrame, fit: Fit, k: int = CV_FOLDS, *, parallel: int = 2, **split) -> DataFrame:
+def out_of_fold(train: DataFrame, fit: Fit, k: int = CV_FOLDS, *, parallel: int = 2, parts: tuple[str, ...] = ("train", "test"), **split) -> DataFrame:
     """Each training row scored once, by the model of the folds it is not in.
 
     Returns ``fold, part, row_id, label, prob, pred`` with the training-side scores as
-    ``part = 'train'`` and the held-out side as ``part = 'test'``.
+    ``part = 'train'`` and the held-out side as ``part = 'test'``; only the wanted ``parts`` are scored.
     """
     folded = shared_table(stratified_folds(train, k, **split))
 
     def one(fold: int) -> DataFrame:
         model = fit(folded.where(F.col("fold") != fold).drop("fold"))
         part = F.when(F.col("fold") == fold, "test").otherwise("train")
-        return model.score(folded, keep=("fold",)).withColumn("part", part).withColumn("fold", F.lit(fold))
+        rows = folded if set(parts) == {"train", "test"} else folded.where(part.isin(*parts))
+        return model.score(rows, keep=("fold",)).withColumn("part", part).withColumn("fold", F.lit(fold))
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         parts = list(pool.map(one, range(k)))
@@ -306,15 +307,17 @@ def thresholds_from(scored: DataFrame, source: str) -> DataFrame:
     )
 
 
-def validate(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) -> tuple[DataFrame, DataFrame | None]:
+def validate(train: DataFrame, fit: Fit, k: int = CV_FOLDS, *, summary: bool = True, **split) -> tuple[DataFrame, DataFrame | None]:
     """(thresholds, fold summary) from the same out-of-fold scores.
 
-    If a fold fails, thresholds come from an inner 80/20 split, there is no summary, and the cause is logged with its
+    Without ``summary`` there is none, and the training sides of the folds, which only it reads, are not scored. If a fold
+    fails, thresholds come from an inner 80/20 split, there is no summary, and the cause is logged with its
     trace.
     """
     try:
-        folds = out_of_fold(train, fit, k, **split)
-        return thresholds_from(folds.where(F.col("part") == "test"), "out_of_fold"), cv_summary(fold_metrics(folds, k=k))
+        folds = out_of_fold(train, fit, k, parts=("train", "test") if summary else ("test",), **split)
+        best = thresholds_from(folds.where(F.col("part") == "test"), "out_of_fold")
+        return best, cv_summary(fold_metrics(folds, k=k)) if summary else None
     except Exception:  # noqa: BLE001 - the fallback covers any failed fold
         LOG.warning("out-of-fold scores failed, thresholds come from an inner split", exc_info=True)
         inner = shared_table(stratified_split(train, seed="inner", **split))
@@ -324,7 +327,7 @@ def validate(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) -> tuple[Da
 
 def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) -> DataFrame:
     """Thresholds from out-of-fold scores; if that fails, from an inner 80/20 split."""
-    return validate(train, fit, k, **split)[0]
+    return validate(train, fit, k, summary=False, **split)[0]
 
 
 # ---- search ------------------------------------------------------------------------------------
