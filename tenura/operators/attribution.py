@@ -20,6 +20,9 @@ from tenura.session import shared_folder
 # Report sizes.
 TOP_CUSTOMERS, TOP_DRIVERS, TOP_FEATURES, INSIGHTS = 100, 3, 15, 4
 
+#: Features of a tree's path up to which all patterns of its decisions are worked out, and paths at a time.
+PATTERN_FEATURES, PATTERN_PATHS = 8, 256
+
 # Feature -> business label.
 FEATURE_LABELS = {
     "eqpdays": "Equipment Age",
@@ -201,30 +204,46 @@ def _subset_weights(m: int) -> np.ndarray:
 
 
 def _path_values(ones: np.ndarray, zeros: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Shapley factor of each feature of a path, for paths (rows) by features (columns).
+    """Shapley factor of each feature of a path, for paths by patterns by features.
 
-    ``ones`` says whether a feature's decisions hold, ``zeros`` is the training share that follows them. The product of
-    (zero + one * t) over all features is built once; each feature is taken out of it again by one division.
+    ``ones`` (patterns by features) says whether a feature's decisions hold, ``zeros`` (paths by features) is the training
+    share that follows them. The product of (zero + one * t) over all features is built once; each feature is taken out of
+    it again by one division.
     """
-    paths, m = ones.shape
-    whole = np.zeros((paths, m + 1))
-    whole[:, 0] = 1.0
+    (patterns, m), paths = ones.shape, len(zeros)
+    shares = zeros[:, None, :]
+    whole = np.zeros((paths, patterns, m + 1))
+    whole[..., 0] = 1.0
     for j in range(m):
-        whole[:, 1 : j + 2] = whole[:, 1 : j + 2] * zeros[j] + whole[:, : j + 1] * ones[:, j : j + 1]
-        whole[:, 0] *= zeros[j]
-    out = np.empty((paths, m))
+        whole[..., 1 : j + 2] = whole[..., 1 : j + 2] * shares[..., j : j + 1] + whole[..., : j + 1] * ones[:, j : j + 1]
+        whole[..., 0] *= shares[..., j]
+    out = np.empty((paths, patterns, m))
     for k in range(m):
+        share = shares[..., k : k + 1]
         # with the feature's decisions met: divide by (zero + t) from the top; else by the constant zero
-        rest = np.zeros((paths, m))
-        rest[:, m - 1] = whole[:, m]
+        rest = np.zeros((paths, patterns, m))
+        rest[..., m - 1] = whole[..., m]
         for s in range(m - 1, 0, -1):
-            rest[:, s - 1] = whole[:, s] - zeros[k] * rest[:, s]
-        if zeros[k] > 0:
-            rest = np.where(ones[:, k : k + 1] > 0, rest, whole[:, :m] / zeros[k])
-        out[:, k] = (ones[:, k] - zeros[k]) * (rest @ weights)
+            rest[..., s - 1] = whole[..., s] - shares[..., k] * rest[..., s]
+        by_zero = np.divide(whole[..., :m], share, out=rest.copy(), where=share > 0)
+        rest = np.where(ones[:, k : k + 1] > 0, rest, by_zero)
+        out[..., k] = (ones[:, k] - shares[..., k]) * (rest @ weights)
     return out
 
 
+def _pattern_values(paths: list) -> Iterator[np.ndarray | None]:
+    """Per path the Shapley factors of all patterns of its decisions, features by patterns; none where they are too many."""
+    for start in range(0, len(paths), PATTERN_PATHS):
+        shares = [[z for _, _, z in parts] for _, parts in paths[start : start + PATTERN_PATHS]]
+        found: list[np.ndarray | None] = [None] * len(shares)
+        for m in {len(z) for z in shares if 0 < len(z) <= PATTERN_FEATURES}:
+            mine = [i for i, z in enumerate(shares) if len(z) == m]
+            ones = (np.arange(1 << m)[:, None] >> np.arange(m) & 1).astype(float)
+            for i, values in zip(mine, _path_values(ones, np.array([shares[i] for i in mine]), _subset_weights(m))):
+                found[i] = np.ascontiguousarray(values.T)
+        yield from found
+
+
 def attribute_batch(x: np.ndarray, trees: list[dict], n_features: int) -> tuple[np.ndarray, float]:
     """Exact path-dependent Shapley values of a batch, and the expected log-odds.
 
@@ -232,31 +251,39 @@ def attribute_batch(x: np.ndarray, trees: list[dict], n_features: int) -> tuple[
     and with ``zero`` = the training share that does. A leaf's worth for a coalition is the product
     of the members' ``one`` and the others' ``zero``, so its Shapley values follow from the
     elementary symmetric polynomials of the path. They only depend on which decisions a row meets,
-    so each pattern of a leaf is worked out once.
+    so all patterns of a tree's leaves are worked out together and each row looks up its own; a path
+    of more than eight features has too many, and there only the patterns that rows meet are.
     """
-    phi = np.zeros((len(x), n_features))
+    columns = np.ascontiguousarray(x.T)
+    phi = np.zeros((n_features, len(x)))
     base = 0.0
     for tree in trees:
         if "paths" not in tree:
             tree["paths"] = leaf_paths(tree)
-        goes_left = {}
+        side_of = {}
         for node, f in enumerate(tree["feature"]):
             if f >= 0:
                 rule = tree["rule"][node]
-                goes_left[node] = np.isin(x[:, f], list(rule)) if rule is not None else x[:, f] <= tree["threshold"][node]
-        for value, parts in tree["paths"]:
-            base += value * float(np.prod([z for _, _, z in parts])) if parts else value
+                left = np.isin(columns[f], list(rule)) if rule is not None else columns[f] <= tree["threshold"][node]
+                side_of[node, True], side_of[node, False] = left, ~left
+        for (value, parts), known in zip(tree["paths"], _pattern_values(tree["paths"])):
+            zeros = np.array([z for _, _, z in parts])
+            base += value * float(np.prod(zeros)) if parts else value
             if not parts:
                 continue
             met = np.zeros(len(x), np.int64)
             for k, (_, decisions, _) in enumerate(parts):
-                met |= np.logical_and.reduce([goes_left[n] == side for n, side in decisions]).astype(np.int64) << k
-            patterns, of_row = np.unique(met, return_inverse=True)
-            ones = (patterns[:, None] >> np.arange(len(parts)) & 1).astype(float)
-            factors = _path_values(ones, np.array([z for _, _, z in parts]), _subset_weights(len(parts)))
-            for k, (f, _, _) in enumerate(parts):
-                phi[:, f] += value * factors[of_row, k]
-    return phi, base
+                held = side_of[decisions[0]]
+                for decision in decisions[1:]:
+                    held = held & side_of[decision]
+                met |= held.astype(np.int64) << k
+            if known is None:
+                patterns, met = np.unique(met, return_inverse=True)
+                ones = (patterns[:, None] >> np.arange(len(parts)) & 1).astype(float)
+                known = _path_values(ones, zeros[None], _subset_weights(len(parts)))[0].T
+            for (f, _, _), factors in zip(parts, value * known):
+                phi[f] += factors.take(met)
+    return phi.T, base
 
 
 def tree_attribution(
