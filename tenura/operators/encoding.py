@@ -7,10 +7,12 @@ its own threshold in bytes; a larger one joins by shuffle, where AQE splits a ho
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tenura.operators.profiling import tall_text
-from tenura.operators.ranking import quantiles_from_cells, value_cells
+from tenura.operators.ranking import cells_at_ranks, quantiles_from_cells, value_cells
 from tenura.session import shared_table
 
 
@@ -120,10 +122,18 @@ def fit_after_imputation(train: DataFrame, columns: list[str]) -> tuple[dict[str
 
     The imputed rows all equal the median, so in the sorted column they stand right behind the
     values up to it: the quartiles after imputation come from the same cells, with the later ones
-    moved up by the number of missing rows.
+    moved up by the number of missing rows. A quartile's rank is thus one of the known values' as it
+    stands, or less the missing rows, or falls on the median; only cells near these ranks are ordered.
     """
     rows = train.count()
-    cells = value_cells(train, columns).select("series", "value", "n", "n_before", "n_total").persist()
+    places = [math.floor(q * (rows - 1)) + i for q in (0.25, 0.5, 0.75) for i in (0, 1)]
+
+    def wanted(known: Column) -> Column:
+        middle = F.floor(F.lit(0.5) * (known - 1))
+        after = [F.lit(r) - moved for r in places for moved in (F.lit(0), F.lit(rows) - known)]
+        return F.array(*[r.cast("bigint") for r in (middle, middle + 1, *after)])
+
+    cells = cells_at_ranks(train, columns, wanted).persist()
     medians = dict.fromkeys(columns, 0.0) | {
         r["series"]: r["quantile"] for r in quantiles_from_cells(cells, ["series"], [0.5]).collect()
     }
@@ -133,7 +143,7 @@ def fit_after_imputation(train: DataFrame, columns: list[str]) -> tuple[dict[str
     known = cells.select("series", "value", "n", (F.col("n_before") + moved).alias("n_before"), F.lit(rows).alias("n_total"))
     filled = (
         cells.groupBy("series", "n_total")
-        .agg(F.coalesce(F.sum(F.when(F.col("value") <= median, F.col("n"))), F.lit(0)).alias("n_before"))
+        .agg(F.coalesce(F.max(F.when(F.col("value") <= median, F.col("n_before") + F.col("n"))), F.lit(0)).alias("n_before"))
         .select("series", median.alias("value"), (F.lit(rows) - F.col("n_total")).alias("n"), "n_before", F.lit(rows).alias("n_total"))
         .where(F.col("n") > 0)
     )

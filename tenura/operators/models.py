@@ -156,9 +156,10 @@ def fit_linear(train: DataFrame, columns: Columns, *, drop_collinear: bool = Tru
     encoding = None
     if kept.categorical:
         encoding = fit_target_encoding(train, list(kept.categorical), kept.label)
-        folded = stratified_folds(
+        # the statistics and the rows both read the folds, which are dealt by shuffle
+        folded = shared_table(stratified_folds(
             train, ENCODER_FOLDS, row_id=kept.row_id, label=kept.label, seed="encode", output="__fold"
-        )
+        ))
         cross = crossfit_encoding(folded, list(kept.categorical), kept.label, "__fold")
         train = apply_crossfit_encoding(folded, cross, list(kept.categorical), "__fold", suffix=ENCODED)
     train = shared_table(train.select(kept.row_id, kept.label, *inputs))
