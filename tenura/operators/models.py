@@ -308,27 +308,29 @@ def thresholds_from(scored: DataFrame, source: str) -> DataFrame:
     )
 
 
-def validate(train: DataFrame, fit: Fit, k: int = CV_FOLDS, *, summary: bool = True, **split) -> tuple[DataFrame, DataFrame | None]:
+def validate(train: DataFrame, fit: Fit, k: int = CV_FOLDS, *, summary: bool = True, fallback: bool = False, **split) -> tuple[DataFrame, DataFrame | None]:
     """(thresholds, fold summary) from the same out-of-fold scores.
 
-    Without ``summary`` there is none, and the training sides of the folds, which only it reads, are not scored. If a fold
-    fails, thresholds come from an inner 80/20 split, there is no summary, and the cause is logged with its
-    trace.
+    Without ``summary`` there is none, and the training sides of the folds, which only it reads, are not scored. A fold
+    that fails fails the validation. Only with ``fallback`` does it go on: thresholds then come from an inner 80/20
+    split and say so, there is no summary, and the cause is logged with its trace.
     """
     try:
         folds = out_of_fold(train, fit, k, parts=("train", "test") if summary else ("test",), **split)
         best = thresholds_from(folds.where(F.col("part") == "test"), "out_of_fold")
         return best, cv_summary(fold_metrics(folds, k=k)) if summary else None
     except Exception:  # noqa: BLE001 - the fallback covers any failed fold
+        if not fallback:
+            raise
         LOG.warning("out-of-fold scores failed, thresholds come from an inner split", exc_info=True)
         inner = shared_table(stratified_split(train, seed="inner", **split))
         model = fit(inner.where(F.col("part") == "train").drop("part"))
         return thresholds_from(model.score(inner.where(F.col("part") == "test").drop("part")), "inner_split"), None
 
 
-def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, **split) -> DataFrame:
-    """Thresholds from out-of-fold scores; if that fails, from an inner 80/20 split."""
-    return validate(train, fit, k, summary=False, **split)[0]
+def select_thresholds(train: DataFrame, fit: Fit, k: int = CV_FOLDS, *, fallback: bool = True, **split) -> DataFrame:
+    """Thresholds from out-of-fold scores; if that fails, from an inner 80/20 split, or with ``fallback=False`` none."""
+    return validate(train, fit, k, summary=False, fallback=fallback, **split)[0]
 
 
 # ---- search ------------------------------------------------------------------------------------
