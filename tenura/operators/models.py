@@ -22,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tenura.functions.expressions import overfit_flag
+from tenura.operators import one_task_trees
 from tenura.operators.category_bins import BINS, apply_category_bins, fit_category_bins, unseen_bins
 from tenura.operators.correlation import multicollinear_columns
 from tenura.operators.encoding import (
@@ -216,8 +217,22 @@ def _boosted_inputs(df: DataFrame, c: Columns, sentinels: dict[str, float]) -> D
     return df.withColumns(absent).withColumns(filled | texts)
 
 
-def fit_boosted(train: DataFrame, columns: Columns, params: BoostedParams = BoostedParams(), seed: int = 42) -> BoostedModel:
-    """Balanced gradient-boosted trees; categories enter as ordered bins, so their number does not matter to the learner."""
+@dataclass
+class BoostedRows:
+    """Training rows made ready once, for any number of fits."""
+
+    prepared: BoostedModel  #: without a learner
+    ready: DataFrame  #: features, label and weight
+    rows: int
+
+
+def in_one_task(rows: int, c: Columns) -> bool:
+    """Are so many rows few enough for one task that grows all trees of a fit?"""
+    return 0 < rows * (2 * len(c.numeric) + len(c.flags) + len(c.categorical)) <= one_task_trees.ONE_TASK_CELLS
+
+
+def boosted_rows(train: DataFrame, columns: Columns) -> BoostedRows:
+    """Category bins, values for NULL and class weights of the rows; categories enter as ordered bins, so their number does not matter to the learner."""
     row = train.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(columns.numeric)],
@@ -229,19 +244,28 @@ def fit_boosted(train: DataFrame, columns: Columns, params: BoostedParams = Boos
     if binned:
         bins = shared_table(fit_category_bins(_boosted_inputs(train, columns, sentinels), list(columns.categorical), columns.label))
         unseen = unseen_bins(bins)
-    fitted = BoostedModel(columns, sentinels, bins, unseen, None, inputs)
-    columns_per_node = max(1, round(params.colsample_bytree * len(inputs)))
+    prepared = BoostedModel(columns, sentinels, bins, unseen, None, inputs)
+    weighted = with_class_weights(train, columns.label)
+    return BoostedRows(prepared, shared_table(prepared.prepare(weighted).select("features", columns.label, "weight")), row["rows"])
+
+
+def fit_boosted(train: DataFrame | BoostedRows, columns: Columns, params: BoostedParams = BoostedParams(), seed: int = 42) -> BoostedModel:
+    """Balanced gradient-boosted trees. Rows that were made ready are one of many fits, which one task each grows if they are not too many."""
+    known = train if isinstance(train, BoostedRows) else boosted_rows(train, columns)
+    inputs = len(known.prepared.inputs)
+    columns_per_node = max(1, round(params.colsample_bytree * inputs))
     learner = GBTClassifier(
         labelCol=columns.label, weightCol="weight", seed=seed, maxIter=params.n_trees,
         stepSize=params.learning_rate, maxDepth=params.max_depth,
         minInstancesPerNode=params.min_child_samples, subsamplingRate=params.subsample,
         featureSubsetStrategy=str(columns_per_node), maxBins=MAX_BINS,
     )
-    weighted = with_class_weights(train, columns.label)
-    ready = shared_table(fitted.prepare(weighted).select("features", columns.label, "weight"))
-    # every tree is several small jobs, so a task should have rows enough to be worth its start
-    fitted.model = learner.fit(ready.coalesce(max(1, -(-row["rows"] // TREE_TASK_ROWS))))
-    return fitted
+    if known is train and in_one_task(known.rows, columns):
+        model = one_task_trees.fit(known.ready, learner, inputs)
+    else:
+        # every tree is several small jobs, so a task should have rows enough to be worth its start
+        model = learner.fit(known.ready.coalesce(max(1, -(-known.rows // TREE_TASK_ROWS))))
+    return replace(known.prepared, model=model)
 
 
 # ---- validation --------------------------------------------------------------------------------
@@ -374,7 +398,8 @@ def search_boosted(
 
     Every finished (setting, fold) is written to the ``ledger`` folder at once, with its setting and the rows it was
     judged on; a search that starts on a ledger takes over what is there for the same setting and rows, so one that was
-    ended goes on where it stopped. ``parallel`` fits run at a time, by default as many as fill the cores.
+    ended goes on where it stopped. The rows of a fold are made ready once for all settings. ``parallel`` fits run at a
+    time, by default as many as fill the cores.
     ``on_trial`` is called when the last fold of a setting ends; a failing callback
     never stops the search.
     """
@@ -385,7 +410,17 @@ def search_boosted(
     known = {(r["trial"], r["fold"]): r for r in read_ledger(spark, ledger).collect()}
     settings = lambda p: (*[float(getattr(p, n)) for n in SEARCH_SPACE], float(p.n_trees))
     done: dict[int, list[float]] = {}
-    lock = Lock()
+    lock, sides = Lock(), {f: (Lock(), []) for f in range(k)}
+
+    def side(fold: int) -> tuple[BoostedRows, DataFrame]:
+        """Training rows and held-out vectors of a fold, made by the first fit that asks."""
+        mine, made = sides[fold]
+        with mine:
+            if not made:
+                rows = boosted_rows(folded.where(F.col("fold") != fold), columns)
+                held = rows.prepared.prepare(folded.where(F.col("fold") == fold))
+                made += rows, shared_table(held.select(columns.row_id, columns.label, "features"))
+        return made[0], made[1]
 
     def one(job: tuple[int, int]) -> None:
         trial, fold = job
@@ -393,8 +428,8 @@ def search_boosted(
         if row is not None and tuple(row[n] for n in (*SEARCH_SPACE, "n_trees")) == settings(params) and row["rows"] == sizes[fold]:
             found = row["auc"]
         else:
-            model = fit_boosted(folded.where(F.col("fold") != fold), columns, params)
-            scored = model.score(folded.where(F.col("fold") == fold))
+            rows, held = side(fold)
+            scored = shared_table(_scored(fit_boosted(rows, columns, params).model.transform(held), columns, ()))
             found = auc(curve_cells(scored, ["prob"], "label")).first()["auc"]
             entry = spark.createDataFrame([(trial, fold, *settings(params), sizes[fold], found)], LEDGER)
             entry.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/trial_{trial}_fold_{fold}")
@@ -408,8 +443,8 @@ def search_boosted(
                 LOG.warning("trial %d not logged: %s", trial, failure)
 
     jobs = [(t, f) for t in range(len(trials)) for f in range(k)]
-    rows = sum(sizes.values()) - min(sizes.values(), default=0)
-    parallel = parallel or concurrent_fits(rows, spark.sparkContext.defaultParallelism)
+    rows, cores = sum(sizes.values()) - min(sizes.values(), default=0), spark.sparkContext.defaultParallelism
+    parallel = parallel or concurrent_fits(1 if in_one_task(rows, columns) else rows, cores)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         list(pool.map(one, jobs))
     rows = [(t, *settings(p)[:-1], _mean(done[t])) for t, p in enumerate(trials)]
