@@ -411,6 +411,8 @@ def search_boosted(
     settings = lambda p: (*[float(getattr(p, n)) for n in SEARCH_SPACE], float(p.n_trees))
     done: dict[int, list[float]] = {}
     lock, sides = Lock(), {f: (Lock(), []) for f in range(k)}
+    judging, judged = Lock(), {}
+    waiting: dict[int, dict[int, object]] = {f: {} for f in range(k)}
 
     def side(fold: int) -> tuple[BoostedRows, DataFrame]:
         """Training rows and held-out vectors of a fold, made by the first fit that asks."""
@@ -429,8 +431,18 @@ def search_boosted(
             found = row["auc"]
         else:
             rows, held = side(fold)
-            scored = shared_table(_scored(fit_boosted(rows, columns, params).model.transform(held), columns, ()))
-            found = auc(curve_cells(scored, ["prob"], "label")).first()["auc"]
+            model = fit_boosted(rows, columns, params).model
+            with lock:
+                waiting[fold][trial] = model
+            with judging:
+                # all that wait for this fold, unless another one judged this fit with its own
+                with lock:
+                    some = dict(waiting[fold]) if trial in waiting[fold] else {}
+                if some:
+                    judged.update({(t, fold): value for t, value in _held_out_auc(some, held, columns).items()})
+                    with lock:
+                        waiting[fold] = {t: m for t, m in waiting[fold].items() if t not in some}
+            found = judged[job]
             entry = spark.createDataFrame([(trial, fold, *settings(params), sizes[fold], found)], LEDGER)
             entry.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/trial_{trial}_fold_{fold}")
         with lock:
@@ -444,7 +456,8 @@ def search_boosted(
 
     jobs = [(t, f) for t in range(len(trials)) for f in range(k)]
     rows, cores = sum(sizes.values()) - min(sizes.values(), default=0), spark.sparkContext.defaultParallelism
-    parallel = parallel or concurrent_fits(1 if in_one_task(rows, columns) else rows, cores)
+    # of fits in one task each some wait to be judged while others grow
+    parallel = parallel or (concurrent_fits(1, 2 * cores) if in_one_task(rows, columns) else concurrent_fits(rows, cores))
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         list(pool.map(one, jobs))
     rows = [(t, *settings(p)[:-1], _mean(done[t])) for t, p in enumerate(trials)]
@@ -452,6 +465,17 @@ def search_boosted(
     return spark.createDataFrame(rows, schema)
 
 
+def _held_out_auc(fitted: dict[int, object], held: DataFrame, c: Columns) -> dict[int, float | None]:
+    """AUC of every model on the same rows, by one query."""
+    wide, names = held.withColumn("label", F.col(c.label).cast("int")), [f"prob_{t}" for t in fitted]
+    for name, model in zip(names, fitted.values()):
+        prob = F.get(vector_to_array("probability"), F.lit(1))
+        wide = model.transform(wide).withColumn(name, prob).drop("probability", "rawPrediction", "prediction")
+    scored = shared_table(wide.select("label", *names))
+    found = {r["series"]: r["auc"] for r in auc(curve_cells(scored, names, "label")).collect()}
+    return {t: found.get(f"prob_{t}") for t in fitted}
+
+
 LEDGER = "trial int, fold int, " + ", ".join(f"{n} double" for n in SEARCH_SPACE) + ", n_trees double, rows bigint, auc double"
 
 
